@@ -1,0 +1,139 @@
+"""Denormalised dashboard report: fact + dimensions, flags, scores and ranks."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from stockrisk import constants as K
+from stockrisk.functions.risk import (
+    horizon_bucket,
+    priority_band,
+    priority_score,
+    status_sort_order,
+)
+from stockrisk.operators.ranking import sequence_number
+from stockrisk.schemas import REPORT_COLUMNS
+
+
+def _flag(cond: Column) -> Column:
+    """CASE WHEN cond THEN true ELSE false: NULL conditions give false."""
+    return F.when(cond, F.lit(True)).otherwise(F.lit(False))
+
+
+def enrich(fct: DataFrame, product: DataFrame, warehouse: DataFrame, date: DataFrame) -> DataFrame:
+    """Left-join the fact to its dimensions; unmatched attributes stay NULL.
+
+    No broadcast is forced: dimensions read from stored tables carry their
+    real size, so the planner broadcasts them while they are under the
+    broadcast threshold and falls back to a sort-merge join beyond it.
+    """
+    f = fct.alias("f")
+    out = (
+        f.join(product.alias("p"), F.col("f.product_id") == F.col("p.product_id"), "left")
+        .join(warehouse.alias("w"), F.col("f.warehouse_id") == F.col("w.warehouse_id"), "left")
+        .join(date.alias("d"), F.col("f.snapshot_date") == F.col("d.date_day"), "left")
+    )
+    return out.select(
+        "f.*",
+        "p.product_name",
+        "p.category",
+        "w.warehouse_name",
+        "d.year_num",
+        "d.quarter_num",
+        "d.month_num",
+        "d.month_name",
+        "d.week_num",
+        "d.day_of_month",
+        "d.day_of_week_num",
+    )
+
+
+def latest_date(df: DataFrame) -> Column:
+    """The newest snapshot date as a scalar subquery.
+
+    ``max(..) over ()`` would move every row into one partition; a scalar
+    aggregate shuffles one partial row per task and is broadcast as a value.
+    """
+    return df.agg(F.max("snapshot_date")).scalar()
+
+
+def with_latest(df: DataFrame, latest: Column | None = None) -> DataFrame:
+    latest = latest_date(df) if latest is None else latest
+    return df.withColumn("is_latest_snapshot", _flag(F.col("snapshot_date") == latest))
+
+
+def with_flags(df: DataFrame) -> DataFrame:
+    key = F.concat(
+        F.col("snapshot_date").cast("string"),
+        F.lit(K.REPORT_KEY_SEPARATOR),
+        F.col("product_id"),
+        F.lit(K.REPORT_KEY_SEPARATOR),
+        F.col("warehouse_id"),
+    )
+    return (
+        df.withColumn("warehouse_product_snapshot_key", key)
+        .withColumn("at_risk_flag", _flag(F.col("stock_status").isin(*K.AT_RISK_STATUSES)))
+        .withColumn("zero_inventory_flag", _flag(F.col("qty_on_hand") == 0))
+        .withColumn(
+            "stockout_event_flag",
+            _flag((F.coalesce(F.col("prev_qty_on_hand"), F.lit(0)) > 0) & (F.col("qty_on_hand") == 0)),
+        )
+        .withColumn("replenishment_event_flag", _flag(F.coalesce(F.col("received_units"), F.lit(0)) > 0))
+        .withColumn("stockout_horizon_bucket", horizon_bucket(F.col("days_until_stockout")))
+        .withColumn("stock_status_sort_order", status_sort_order(F.col("stock_status")))
+    )
+
+
+def with_scores(df: DataFrame) -> DataFrame:
+    score = priority_score(F.col("qty_on_hand"), F.col("days_until_stockout"))
+    return df.withColumn("risk_priority_score", score).withColumn(
+        "risk_priority_band", priority_band(F.col("risk_priority_score"))
+    )
+
+
+def priority_order(with_warehouse: bool = True) -> list[Column]:
+    """Score desc, days asc (missing days last), quantity, product [, warehouse]."""
+    order = [
+        F.col("risk_priority_score").desc(),
+        F.coalesce(F.col("days_until_stockout"), F.lit(float(K.RANK_MISSING_DAYS))).asc(),
+        F.col("qty_on_hand").asc(),
+        F.col("product_id").asc(),
+    ]
+    if with_warehouse:
+        order.append(F.col("warehouse_id").asc())
+    return order
+
+
+def with_latest_ranks(df: DataFrame) -> DataFrame:
+    """Priority ranks on the latest snapshot; NULL on every historical row.
+
+    Only latest rows are ranked (a filter, then a distributed sort), and the
+    history is passed through untouched, so no date is ever funnelled into a
+    single window partition.
+    """
+    latest = df.where(F.col("is_latest_snapshot"))
+    ranked = sequence_number(latest, priority_order(True), "latest_rank_overall")
+    ranked = sequence_number(ranked, priority_order(False), "latest_rank_in_warehouse", ["warehouse_id"])
+    history = (
+        df.where(~F.col("is_latest_snapshot"))
+        .withColumn("latest_rank_overall", F.lit(None).cast("bigint"))
+        .withColumn("latest_rank_in_warehouse", F.lit(None).cast("bigint"))
+    )
+    return history.unionByName(ranked)
+
+
+def report_base(fct: DataFrame, product: DataFrame, warehouse: DataFrame, date: DataFrame) -> DataFrame:
+    """Every report column except the two ranks (enough for KPIs and flags).
+
+    The latest date is taken from the date dimension: it holds exactly the
+    fact's dates, one row each.
+    """
+    enriched = enrich(fct, product, warehouse, date)
+    latest = date.agg(F.max("date_day")).scalar()
+    return with_scores(with_flags(with_latest(enriched, latest)))
+
+
+def report(fct: DataFrame, product: DataFrame, warehouse: DataFrame, date: DataFrame) -> DataFrame:
+    """The 34-column report, in published column order."""
+    return with_latest_ranks(report_base(fct, product, warehouse, date)).select(*REPORT_COLUMNS)

@@ -1,0 +1,9 @@
+"""Streaming entry points.
+
+The models are batch, full-refresh jobs over daily snapshots; nothing in
+them is incremental or stateful, so this package holds no operators. A
+deployment that lands snapshots continuously can still drive the batch
+pipeline per micro-batch with ``foreachBatch`` calling
+:func:`stockrisk.plans.pipeline.run_pipeline`; every write is an overwrite,
+so replays are idempotent.
+"""
