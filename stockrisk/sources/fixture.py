@@ -44,8 +44,19 @@ def product_number(partkey: Column) -> Column:
     return F.floor(partkey / PARTS_PER_PRODUCT).cast("bigint")
 
 
+def _zero_pad(num: Column, width: int) -> Column:
+    """Decimal text of a non-negative number, left-padded with zeros to ``width`` (never cut)."""
+    text = num.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def product_code(num: Column) -> Column:
-    return F.format_string("SKU%06d", num)
+    return F.concat(F.lit("SKU"), _zero_pad(num, 6))
+
+
+def _month_day_year(d: Column) -> Column:
+    """``M/d/yyyy`` text of a date from its integer parts (no formatter per row)."""
+    return F.concat_ws("/", F.month(d).cast("string"), F.dayofmonth(d).cast("string"), F.year(d).cast("string"))
 
 
 def raw_snapshots(lineitem: DataFrame) -> DataFrame:
@@ -56,7 +67,7 @@ def raw_snapshots(lineitem: DataFrame) -> DataFrame:
         product_code(k),
         F.when(k % TRAILING_PAD_EVERY == 0, F.lit(" ")).otherwise(F.lit("")),
     )
-    warehouse = F.format_string("WH%02d", F.col("l_suppkey") % WAREHOUSES + 1)
+    warehouse = F.concat(F.lit("WH"), _zero_pad(F.col("l_suppkey") % WAREHOUSES + 1, 2))
     qty = F.when(F.col("l_orderkey") % NULL_QTY_EVERY == 0, F.lit(None).cast("bigint")).otherwise(
         (F.greatest(F.lit(0.0), F.col("l_quantity") - QTY_FLOOR) + (k % QTY_CLASSES) * QTY_STEP_PER_CLASS).cast(
             "bigint"
@@ -69,7 +80,7 @@ def raw_snapshots(lineitem: DataFrame) -> DataFrame:
     load_dt = (
         F.when(F.col("l_orderkey") % BLANK_DATE_EVERY == 0, F.lit(" "))
         .when(F.col("l_orderkey") % NULL_DATE_EVERY == 0, F.lit(None).cast("string"))
-        .otherwise(F.date_format(period_start, "M/d/yyyy"))
+        .otherwise(_month_day_year(period_start))
     )
     horizon = F.lit(dt.datetime.combine(HORIZON_END, dt.time())).cast(lineitem.schema["l_shipdate"].dataType)
     return lineitem.where(F.col("l_shipdate") < horizon).select(

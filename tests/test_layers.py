@@ -1,0 +1,87 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import Row
+
+from stockrisk.operators.layers import dedup_bronze, stage, stage_rejects, to_silver
+from stockrisk.schemas import RAW
+from stockrisk.sources.readers import read_product_master
+
+
+def raw_df(spark, rows):
+    return spark.createDataFrame(rows, RAW)
+
+
+def test_dedup_keeps_highest_quantity_and_null_loses(spark):
+    rows = [
+        ("A", "W1", 5, "1/1/2025"),
+        ("A", "W1", 9, "1/1/2025"),
+        ("A", "W1", None, "1/1/2025"),
+        ("B", "W1", None, "1/1/2025"),
+        ("B", "W1", None, "1/1/2025"),
+        ("C", "W1", 3, "1/2/2025"),
+    ]
+    out = {(r.product_id, r.qty_on_hand) for r in dedup_bronze(raw_df(spark, rows)).collect()}
+    assert out == {("A", 9), ("B", None), ("C", 3)}
+
+
+def test_dedup_is_on_untrimmed_keys(spark):
+    rows = [("A", "W1", 1, "1/1/2025"), ("A ", "W1", 2, "1/1/2025"), ("A", "W1", 3, "01/01/2025")]
+    assert dedup_bronze(raw_df(spark, rows)).count() == 3
+
+
+def test_dedup_keeps_extra_columns_of_winning_row(spark):
+    df = spark.createDataFrame(
+        [("A", "W1", 5, "1/1/2025", "x"), ("A", "W1", 7, "1/1/2025", "y")],
+        "product_id string, warehouse_id string, qty_on_hand bigint, load_dt string, batch string",
+    )
+    [row] = dedup_bronze(df).collect()
+    assert (row.qty_on_hand, row.batch) == (7, "y")
+    assert dedup_bronze(df).columns == df.columns
+
+
+def test_silver_has_four_columns_in_order(spark):
+    df = raw_df(spark, [("A", "W1", 1, "1/1/2025")])
+    assert to_silver(df).columns == ["product_id", "warehouse_id", "load_dt", "qty_on_hand"]
+
+
+def test_stage_trims_all_whitespace_and_filters(spark):
+    rows = [
+        ("\tA ", " W1\t", 4, " 1/5/2025\t"),
+        ("B", "W1", 1, "01/05/2025"),
+        ("C", "W1", None, "1/5/2025"),
+        ("D", "W1", 1, "   "),
+        ("E", "W1", 1, None),
+        (None, "W1", 1, "1/5/2025"),
+        ("F", None, 1, "1/5/2025"),
+        ("", "W1", 2, "1/6/2025"),
+    ]
+    stg = stage(to_silver(raw_df(spark, rows)))
+    got = sorted((r.product_id, r.warehouse_id, r.snapshot_date, r.qty_on_hand) for r in stg.collect())
+    assert got == [
+        ("", "W1", dt.date(2025, 1, 6), 2),
+        ("A", "W1", dt.date(2025, 1, 5), 4),
+        ("B", "W1", dt.date(2025, 1, 5), 1),
+    ]
+    reasons = {r.product_id: r.reject_reason for r in stage_rejects(to_silver(raw_df(spark, rows))).collect()}
+    assert reasons == {
+        "C": "qty_on_hand is null",
+        "D": "load_dt is blank",
+        "E": "load_dt is null",
+        None: "product_id is null",
+        "F": "warehouse_id is null",
+    }
+
+
+@pytest.mark.parametrize("bad", ["13/1/2025", "2/30/2025", "2025-01-05"])
+def test_stage_fails_on_bad_date_text(spark, bad):
+    stg = stage(to_silver(raw_df(spark, [("A", "W1", 1, bad)])))
+    with pytest.raises(Exception):
+        stg.collect()
+
+
+def test_product_seed_with_crlf_line_ends(spark, tmp_path):
+    p = tmp_path / "seed.csv"
+    p.write_bytes(b"product_id,product_name,category\r\nSKU0001,Face Serum,beauty\r\nSKU0002,Oats,grocery\r\n")
+    rows = read_product_master(spark, str(p)).collect()
+    assert rows == [Row("SKU0001", "Face Serum", "beauty"), Row("SKU0002", "Oats", "grocery")]

@@ -1,0 +1,59 @@
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from stockrisk.plans.catalog import QUERIES
+from stockrisk.plans.pipeline import build_models, build_report, run_pipeline
+from stockrisk.schemas import REPORT_COLUMNS
+from stockrisk.session import shared_path
+from stockrisk.sources.fixture import load_product_master, load_raw
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_pipeline_counts_and_roundtrip(spark):
+    res = run_pipeline(spark, load_raw(spark, SF), "t_bronze_db", "t_silver_db", shared_path(spark, "lake"))
+    assert res.counts == {"raw": 5627, "bronze": 3712, "silver": 3712}
+    assert res.silver.columns == ["product_id", "warehouse_id", "load_dt", "qty_on_hand"]
+    assert res.silver.count() == 3712
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == REPORT_COLUMNS
+    assert df.count() == 3605
+
+
+def test_report_invariants(spark):
+    m = build_models(QUERIES["silver_snapshot"](spark, SF), load_product_master(spark, SF))
+    rpt = build_report(m).cache()
+    n = rpt.count()
+    assert n == m.fct.count() == m.stg.count() == 3605
+    assert rpt.where(F.col("reorder_flag") != F.col("at_risk_flag")).count() == 0
+    assert rpt.where(F.col("daily_units_sold_proxy") * F.col("received_units") != 0).count() == 0
+    assert (
+        rpt.where(
+            F.col("prev_qty_on_hand").isNotNull()
+            & (F.col("inventory_delta") != F.col("received_units") - F.col("daily_units_sold_proxy"))
+        ).count()
+        == 0
+    )
+    latest = rpt.where("is_latest_snapshot")
+    k = latest.count()
+    assert k == 41
+    assert sorted(r[0] for r in latest.select("latest_rank_overall").collect()) == list(range(1, k + 1))
+    per_wh = latest.groupBy("warehouse_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("latest_rank_in_warehouse").alias("lo"),
+        F.max("latest_rank_in_warehouse").alias("hi"), F.countDistinct("latest_rank_in_warehouse").alias("d"),
+    )
+    assert all(r.lo == 1 and r.hi == r.n == r.d for r in per_wh.collect())
+    assert rpt.where(F.col("product_name").isNull()).count() == 352
+    assert rpt.where((F.col("qty_on_hand") == 0) & F.col("days_until_stockout").isNull()).count() == 3
+    counts = {r.stock_status: r["count"] for r in rpt.groupBy("stock_status").count().collect()}
+    assert counts == {"CRITICAL": 941, "LOW": 778, "MEDIUM": 1205, "HEALTHY": 681}
+    rpt.unpersist()
+
+
+def test_kpis_match_fixture_figures(spark):
+    [k] = QUERIES["kpi_latest"](spark, SF).collect()
+    assert (k.critical_skus, k.low_stock_skus, k.warehouses_at_risk, k.avg_days_until_stockout) == (7, 11, 4, 16.5664)
+    assert (k.critical_positions, k.at_risk_positions) == (11, 20)

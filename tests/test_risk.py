@@ -1,0 +1,110 @@
+import datetime as dt
+
+import pytest
+
+from stockrisk.operators.report import with_flags, with_scores
+from stockrisk.operators.risk import fact
+from stockrisk.schemas import FACT, STG
+
+D0 = dt.date(2025, 1, 1)
+
+
+def stg_df(spark, rows):
+    return spark.createDataFrame(rows, STG)
+
+
+def series(spark, qtys, days=None, product="P", warehouse="W"):
+    days = days or list(range(len(qtys)))
+    return stg_df(spark, [(product, warehouse, D0 + dt.timedelta(days=d), q) for d, q in zip(days, qtys)])
+
+
+def by_date(df):
+    return sorted(df.collect(), key=lambda r: r.snapshot_date)
+
+
+def test_fact_schema(spark):
+    f = fact(series(spark, [10, 8]))
+    assert f.schema == FACT or [(x.name, x.dataType) for x in f.schema] == [(x.name, x.dataType) for x in FACT]
+
+
+def test_first_row_has_null_delta_and_zero_movements(spark):
+    r = by_date(fact(series(spark, [10, 7, 12])))
+    assert (r[0].prev_qty_on_hand, r[0].inventory_delta, r[0].daily_units_sold_proxy, r[0].received_units) == (
+        None,
+        None,
+        0,
+        0,
+    )
+    assert (r[1].inventory_delta, r[1].daily_units_sold_proxy, r[1].received_units) == (-3, 3, 0)
+    assert (r[2].inventory_delta, r[2].daily_units_sold_proxy, r[2].received_units) == (5, 0, 5)
+
+
+def test_rolling_usage_is_seven_rows(spark):
+    # sold: 0, 8, 1, 1, 1, 1, 1, 1 -> the 8th row's frame drops the first two values only when 7 rows
+    qtys = [100, 92, 91, 90, 89, 88, 87, 86]
+    r = by_date(fact(series(spark, qtys)))
+    assert r[6].avg_daily_usage_7d == pytest.approx((0 + 8 + 1 + 1 + 1 + 1 + 1) / 7)
+    assert r[7].avg_daily_usage_7d == pytest.approx((8 + 1 + 1 + 1 + 1 + 1 + 1) / 7)
+    assert r[1].avg_daily_usage_7d == pytest.approx(4.0)
+
+
+def test_rolling_usage_counts_rows_not_days(spark):
+    r = by_date(fact(series(spark, [10, 6, 4], days=[0, 1, 8])))
+    assert r[2].avg_daily_usage_7d == pytest.approx((0 + 4 + 2) / 3)
+
+
+def test_series_are_independent(spark):
+    a = series(spark, [10, 5], product="A")
+    b = series(spark, [50, 60], product="B")
+    rows = {(r.product_id, r.snapshot_date): r for r in fact(a.unionByName(b)).collect()}
+    assert rows[("B", D0 + dt.timedelta(days=1))].prev_qty_on_hand == 50
+    assert rows[("A", D0 + dt.timedelta(days=1))].daily_units_sold_proxy == 5
+
+
+@pytest.mark.parametrize(
+    "days,status,bucket,score,band",
+    [
+        (3.0, "CRITICAL", "0-3 days", 95, "P1 - Immediate"),
+        (3.5, "CRITICAL", "4-7 days", 85, "P2 - Urgent"),
+        (7.0, "CRITICAL", "4-7 days", 85, "P2 - Urgent"),
+        (7.5, "LOW", "8-14 days", 70, "P2 - Urgent"),
+        (14.0, "LOW", "8-14 days", 70, "P2 - Urgent"),
+        (14.5, "MEDIUM", "15-30 days", 40, "P3 - Watch"),
+        (30.0, "MEDIUM", "15-30 days", 40, "P3 - Watch"),
+        (30.5, "HEALTHY", "31+ days", 15, "P4 - Healthy"),
+    ],
+)
+def test_edges_exact_and_just_above(spark, days, status, bucket, score, band):
+    # usage 2 per snapshot (drop of 4 over two rows), quantity 2*days.
+    qty = int(days * 2)
+    rows = [("P", "W", D0, qty + 4), ("P", "W", D0 + dt.timedelta(days=1), qty)]
+    r = by_date(with_scores(with_flags(fact(stg_df(spark, rows)))))[1]
+    assert r.days_until_stockout == pytest.approx(days)
+    assert (r.stock_status, r.stockout_horizon_bucket, r.risk_priority_score, r.risk_priority_band) == (
+        status,
+        bucket,
+        score,
+        band,
+    )
+    assert r.reorder_flag == (days <= 14)
+    assert r.at_risk_flag == (days <= 14)
+
+
+def test_zero_stock_with_and_without_usage(spark):
+    no_usage = by_date(with_scores(with_flags(fact(series(spark, [0, 0], product="N")))))[1]
+    assert no_usage.days_until_stockout is None
+    assert no_usage.stock_status == "HEALTHY"
+    assert no_usage.reorder_flag is False
+    assert no_usage.stockout_horizon_bucket == "No usage signal"
+    assert (no_usage.risk_priority_score, no_usage.risk_priority_band) == (100, "P1 - Immediate")
+    assert no_usage.at_risk_flag is False
+    used = by_date(with_scores(with_flags(fact(series(spark, [5, 0], product="U")))))[1]
+    assert used.days_until_stockout == 0.0
+    assert used.stock_status == "CRITICAL"
+    assert used.stockout_event_flag is True
+    assert used.risk_priority_score == 100
+
+
+def test_no_usage_positive_stock_scores_five(spark):
+    r = by_date(with_scores(with_flags(fact(series(spark, [5, 9])))))[1]
+    assert (r.risk_priority_score, r.risk_priority_band, r.replenishment_event_flag) == (5, "P4 - Healthy", True)
