@@ -51,6 +51,12 @@ def run_pipeline(
     return PipelineResult(bronze, spark.table(silver_w.table), counts)
 
 
+def layer_counts(spark: SparkSession, result: PipelineResult) -> DataFrame:
+    """The observed row counts of a pipeline run as a (layer, row_count) table."""
+    rows = [(layer, int(n)) for layer, n in result.counts.items()]
+    return spark.createDataFrame(rows, "layer string, row_count bigint")
+
+
 @dataclass
 class Models:
     silver: DataFrame
@@ -91,8 +97,11 @@ def build_models(silver: DataFrame, seed: DataFrame, pin_tables: bool = True) ->
     warehouse = dim_warehouse(fct if pin_tables else stg)
     date = dim_date(fct if pin_tables else stg)
     if pin_tables:
-        warehouse = pin(warehouse.coalesce(1), "dim_warehouse")
-        date = pin(date.coalesce(1), "dim_date")
+        # One file each. ``repartition`` (not ``coalesce``) keeps the final
+        # distinct aggregate parallel and moves only its output: one row per
+        # warehouse or per calendar day.
+        warehouse = pin(warehouse.repartition(1), "dim_warehouse")
+        date = pin(date.repartition(1), "dim_date")
     return Models(silver, stg, fct, seed, product, warehouse, date)
 
 
