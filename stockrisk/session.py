@@ -51,6 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A machine-local folder would vanish with the executor that wrote it.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="stockrisk-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -82,7 +82,8 @@ def raw_snapshots(lineitem: DataFrame) -> DataFrame:
         .when(F.col("l_orderkey") % NULL_DATE_EVERY == 0, F.lit(None).cast("string"))
         .otherwise(_month_day_year(period_start))
     )
-    horizon = F.lit(dt.datetime.combine(HORIZON_END, dt.time())).cast(lineitem.schema["l_shipdate"].dataType)
+    # A date literal cast to the column's type: midnight, whatever the session time zone.
+    horizon = F.lit(HORIZON_END).cast(lineitem.schema["l_shipdate"].dataType)
     return lineitem.where(F.col("l_shipdate") < horizon).select(
         code.alias("product_id"),
         warehouse.alias("warehouse_id"),
