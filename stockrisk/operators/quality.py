@@ -27,9 +27,7 @@ NON_NEGATIVE_COLUMNS = [
 
 def not_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column_name, failures): NULL rows per column, all columns in one pass."""
-    counts = df.agg(
-        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"_n{i}") for i, c in enumerate(cols)]
-    )
+    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"_n{i}") for i, c in enumerate(cols)])
     pairs = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(cols))
     return counts.selectExpr(f"stack({len(cols)}, {pairs}) as (column_name, failures)")
 
@@ -69,12 +67,16 @@ def grain(df: DataFrame, keys: list[str] = FACT_GRAIN) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
 
 
-def non_negative(df: DataFrame) -> DataFrame:
-    """Fact rows with a negative quantity or metric (NULL metrics count as 0)."""
+def _negative() -> F.Column:
     cond = F.col("qty_on_hand") < 0
     for c in NON_NEGATIVE_COLUMNS[1:]:
         cond = cond | (F.coalesce(F.col(c), F.lit(0)) < 0)
-    return df.where(cond)
+    return cond
+
+
+def non_negative(df: DataFrame) -> DataFrame:
+    """Fact rows with a negative quantity or metric (NULL metrics count as 0)."""
+    return df.where(_negative())
 
 
 # --- The published suite: 44 not_null, 5 unique, 3 relationships, ----------
@@ -161,6 +163,29 @@ SUITE: list[Check] = [
 ]
 
 
+_FUSED = ("not_null", "accepted_values", "non_negative")
+
+
+def _failure_count(c: Check) -> F.Column:
+    """The failure count of a check that reduces to one aggregate over its model."""
+    col = F.col(c.column) if c.check != "non_negative" else None
+    if c.check == "not_null":
+        return F.count(F.when(col.isNull(), 1))
+    if c.check == "accepted_values":
+        # one failure per distinct unaccepted value; NULL is not judged
+        return F.countDistinct(F.when(col.isNotNull() & ~col.isin(list(c.values)), col))
+    return F.count(F.when(_negative(), 1))
+
+
+def _fused(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All aggregate-shaped checks of one model in a single pass over it."""
+    counts = df.agg(*[_failure_count(c).cast("bigint").alias(f"_f{i}") for i, c in enumerate(checks)])
+    rows = ", ".join(f"'{c.check}', '{c.column}', _f{i}" for i, c in enumerate(checks))
+    return counts.selectExpr(
+        f"stack({len(checks)}, {rows}) as (check_name, column_name, failures)"
+    ).select("check_name", F.lit(model).alias("model"), "column_name", "failures")
+
+
 def _count_rows(df: DataFrame, check: Check) -> DataFrame:
     return df.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
         F.lit(check.check).alias("check_name"),
@@ -175,28 +200,21 @@ def quality_report(models: dict[str, DataFrame], suite: list[Check] = SUITE) ->
 
     ``failures`` is the number of rows the check's query returns: NULL rows,
     duplicated values, unaccepted values, orphan child rows, duplicated grain
-    keys, negative rows.
+    keys, negative rows. NULL counts, accepted values and sign checks of a
+    model are fused into one aggregate over it; uniqueness, grain and
+    relationships group by their own keys.
     """
     parts: list[DataFrame] = []
-    by_model: dict[str, list[str]] = {}
+    fused: dict[str, list[Check]] = {}
     for c in suite:
-        if c.check == "not_null":
-            by_model.setdefault(c.model, []).append(c.column)
-    for model, cols in by_model.items():
-        parts.append(
-            not_null(models[model], cols).select(
-                F.lit("not_null").alias("check_name"),
-                F.lit(model).alias("model"),
-                "column_name",
-                F.col("failures").cast("bigint").alias("failures"),
-            )
-        )
+        if c.check in _FUSED:
+            fused.setdefault(c.model, []).append(c)
+    for model, checks in fused.items():
+        parts.append(_fused(model, models[model], checks))
     for c in suite:
         df = models.get(c.model)
         if c.check == "unique":
             parts.append(_count_rows(unique(df, c.column), c))
-        elif c.check == "accepted_values":
-            parts.append(_count_rows(accepted_values(df, c.column, list(c.values)), c))
         elif c.check == "relationships":
             orphans = relationships(df, c.column, models[c.parent], c.parent_column)
             parts.append(
@@ -209,8 +227,6 @@ def quality_report(models: dict[str, DataFrame], suite: list[Check] = SUITE) ->
             )
         elif c.check == "grain":
             parts.append(_count_rows(grain(df), c))
-        elif c.check == "non_negative":
-            parts.append(_count_rows(non_negative(df), c))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -53,3 +53,36 @@ def test_non_negative_catches_shifted_quantities(spark):
     assert non_negative(fact(stg)).count() == 0
     shifted = stg.selectExpr("product_id", "warehouse_id", "snapshot_date", "qty_on_hand - 3 as qty_on_hand")
     assert non_negative(fact(shifted)).count() == 1
+
+
+def test_fused_report_equals_single_checks(spark):
+    from stockrisk.operators.quality import quality_report
+    from stockrisk.plans.catalog import _silver
+    from stockrisk.plans.pipeline import build_models, build_report
+    from stockrisk.sources.fixture import load_product_master, load_raw
+
+    sf = "/root/testdata/sf0.001"
+    m = build_models(_silver(spark, sf), load_product_master(spark, sf))
+    models = m.as_dict()
+    models["rpt_inventory_risk_dashboard"] = build_report(m)
+    # a silver stand-in that fails: raw rows keep NULL dates and duplicates
+    models["inventory_silver"] = load_raw(spark, sf)
+    got = {(r.check_name, r.model, r.column_name): r.failures for r in quality_report(models).collect()}
+    assert len(got) == 58
+    for c in SUITE:
+        df = models[c.model]
+        if c.check == "not_null":
+            want = df.where(df[c.column].isNull()).count()
+        elif c.check == "unique":
+            want = unique(df, c.column).count()
+        elif c.check == "accepted_values":
+            want = accepted_values(df, c.column, list(c.values)).count()
+        elif c.check == "relationships":
+            want = relationships(df, c.column, models[c.parent], c.parent_column).groupBy().sum("n_records").first()[0] or 0
+        elif c.check == "grain":
+            want = grain(df).count()
+        else:
+            want = non_negative(df).count()
+        assert got[(c.check, c.model, c.column)] == want, c
+    assert got[("not_null", "inventory_silver", "load_dt")] > 0
+    assert got[("relationships", "fct_inventory_risk", "product_id")] == 352
