@@ -124,5 +124,8 @@ def publish(m: Models, rpt: DataFrame | None = None) -> dict[str, DataFrame]:
     ]:
         out[name] = materialize(df, name, "view")
     if rpt is not None:
-        out["rpt_inventory_risk_dashboard"] = materialize(rpt, "rpt_inventory_risk_dashboard", "table")
+        # Dashboards filter by date: one folder per snapshot date prunes them.
+        out["rpt_inventory_risk_dashboard"] = materialize(
+            rpt, "rpt_inventory_risk_dashboard", "table", partition_by=["snapshot_date"]
+        )
     return out

@@ -63,14 +63,32 @@ def pin(df: DataFrame, name: str = "pinned", fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Publish a model as a temporary view or as a table (full refresh)."""
+def materialize(
+    df: DataFrame,
+    name: str,
+    kind: str = "view",
+    path: str | None = None,
+    fmt: str = "parquet",
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """Publish a model as a temporary view or as a table (full refresh).
+
+    With ``partition_by`` the table is written in one folder per value. The
+    rows are first rebalanced on those columns, so each value is written by
+    few tasks (not one small file per task and value), while adaptive
+    execution still splits a value holding an outsized share of the rows
+    over several writers.
+    """
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)
     if kind == "table":
         target = path or shared_path(spark, name)
-        df.write.format(fmt).mode("overwrite").option("path", target).saveAsTable(name)
+        writer_input = df.hint("rebalance", *partition_by) if partition_by else df
+        writer = writer_input.write.format(fmt).mode("overwrite").option("path", target)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(name)
         return spark.table(name)
     raise ValueError(f"unknown materialisation {kind!r}")

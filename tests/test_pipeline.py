@@ -57,3 +57,17 @@ def test_kpis_match_fixture_figures(spark):
     [k] = QUERIES["kpi_latest"](spark, SF).collect()
     assert (k.critical_skus, k.low_stock_skus, k.warehouses_at_risk, k.avg_days_until_stockout) == (7, 11, 4, 16.5664)
     assert (k.critical_positions, k.at_risk_positions) == (11, 20)
+
+
+def test_publish_registers_models_and_partitions_report(spark):
+    from stockrisk.plans.pipeline import publish
+
+    m = build_models(QUERIES["silver_snapshot"](spark, SF), load_product_master(spark, SF))
+    out = publish(m, build_report(m))
+    assert spark.table("stg_inventory_silver").count() == 3605
+    rpt = out["rpt_inventory_risk_dashboard"]
+    assert rpt.count() == 3605
+    latest = rpt.where(F.col("snapshot_date") == "2001-04-29")
+    assert "PartitionFilters: [isnotnull(snapshot_date" in latest._jdf.queryExecution().executedPlan().toString()
+    assert latest.count() == 41
+    assert latest.where(F.col("latest_rank_overall").isNull()).count() == 0
