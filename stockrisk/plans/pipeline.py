@@ -129,3 +129,34 @@ def publish(m: Models, rpt: DataFrame | None = None) -> dict[str, DataFrame]:
             rpt, "rpt_inventory_risk_dashboard", "table", partition_by=["snapshot_date"]
         )
     return out
+
+
+@dataclass
+class RunResult:
+    pipeline: PipelineResult
+    models: Models
+    report: DataFrame
+    quality: DataFrame
+
+
+def run_all(
+    spark: SparkSession,
+    raw: DataFrame,
+    seed: DataFrame,
+    root: str | None = None,
+    fmt: str = "parquet",
+) -> RunResult:
+    """Everything in order: bronze and silver jobs, the models, the report, the checks.
+
+    The silver table written by the pipeline is the input of the models, as
+    in the published flow; the quality report is returned lazily.
+    """
+    from stockrisk.operators.quality import quality_report
+
+    lake = run_pipeline(spark, raw, root=root, fmt=fmt)
+    models = build_models(lake.silver, seed)
+    published = publish(models, build_report(models))
+    rpt = published["rpt_inventory_risk_dashboard"]
+    checks = models.as_dict()
+    checks["rpt_inventory_risk_dashboard"] = rpt
+    return RunResult(lake, models, rpt, quality_report(checks))
