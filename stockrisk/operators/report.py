@@ -59,8 +59,16 @@ def latest_date(df: DataFrame) -> Column:
 
 
 def with_latest(df: DataFrame, latest: Column | None = None) -> DataFrame:
+    """``is_latest_snapshot``: the row's date equals the newest date (false for a NULL date).
+
+    Written as ``date = latest AND date IS NOT NULL`` -- the same values as
+    CASE WHEN date = latest THEN true ELSE false (the latest date is NULL only
+    when no row has a date) -- because this form reaches the parquet scan as
+    a pushed filter, so latest-only readers skip the history's row groups.
+    """
     latest = latest_date(df) if latest is None else latest
-    return df.withColumn("is_latest_snapshot", _flag(F.col("snapshot_date") == latest))
+    d = F.col("snapshot_date")
+    return df.withColumn("is_latest_snapshot", (d == latest) & d.isNotNull())
 
 
 def with_flags(df: DataFrame) -> DataFrame:

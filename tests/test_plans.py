@@ -59,3 +59,8 @@ def test_report_has_no_single_partition_exchange_over_rows(spark):
     # row_number window over report rows
     main = p.split("Subquery")[0]
     assert "row_number()" not in main
+
+
+def test_latest_only_readers_push_the_date_to_the_fact_scan(spark):
+    p = plan(QUERIES["kpi_latest"](spark, SF))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(snapshot_date,ScalarSubquery", p), p
