@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
-from tools.compare import digest
+from tools.compare import digest, type_diffs
 
 SF = "/root/testdata/sf0.001"
 SQL = oracle_sql()
@@ -28,9 +28,10 @@ def test_every_query_has_sql():
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(SQL[name])
-    o_cols = [d[0] for d in cur.description]
-    o_rows = cur.fetchall()
+    rel = con.sql(SQL[name])
+    o_cols, o_types = rel.columns, rel.types
+    o_rows = rel.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
+    assert type_diffs(df.dtypes, o_cols, o_types) == []
     assert len(s_rows) == len(o_rows)
     assert digest(df.columns, s_rows) == digest(o_cols, o_rows)
