@@ -21,7 +21,7 @@ from stockrisk.operators.quality import (
     unique,
 )
 from stockrisk.operators.ranking import sequence_number
-from stockrisk.operators.report import (
+from stockrisk.operators.reporting import (
     enrich,
     report,
     report_base,

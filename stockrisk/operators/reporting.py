@@ -79,17 +79,17 @@ def with_flags(df: DataFrame) -> DataFrame:
         F.lit(K.REPORT_KEY_SEPARATOR),
         F.col("warehouse_id"),
     )
-    return (
-        df.withColumn("warehouse_product_snapshot_key", key)
-        .withColumn("at_risk_flag", _flag(F.col("stock_status").isin(*K.AT_RISK_STATUSES)))
-        .withColumn("zero_inventory_flag", _flag(F.col("qty_on_hand") == 0))
-        .withColumn(
-            "stockout_event_flag",
-            _flag((F.coalesce(F.col("prev_qty_on_hand"), F.lit(0)) > 0) & (F.col("qty_on_hand") == 0)),
-        )
-        .withColumn("replenishment_event_flag", _flag(F.coalesce(F.col("received_units"), F.lit(0)) > 0))
-        .withColumn("stockout_horizon_bucket", horizon_bucket(F.col("days_until_stockout")))
-        .withColumn("stock_status_sort_order", status_sort_order(F.col("stock_status")))
+    qty = F.col("qty_on_hand")
+    return df.withColumns(
+        {
+            "warehouse_product_snapshot_key": key,
+            "at_risk_flag": _flag(F.col("stock_status").isin(*K.AT_RISK_STATUSES)),
+            "zero_inventory_flag": _flag(qty == 0),
+            "stockout_event_flag": _flag((F.coalesce(F.col("prev_qty_on_hand"), F.lit(0)) > 0) & (qty == 0)),
+            "replenishment_event_flag": _flag(F.coalesce(F.col("received_units"), F.lit(0)) > 0),
+            "stockout_horizon_bucket": horizon_bucket(F.col("days_until_stockout")),
+            "stock_status_sort_order": status_sort_order(F.col("stock_status")),
+        }
     )
 
 
@@ -123,10 +123,9 @@ def with_latest_ranks(df: DataFrame) -> DataFrame:
     latest = df.where(F.col("is_latest_snapshot"))
     ranked = sequence_number(latest, priority_order(True), "latest_rank_overall")
     ranked = sequence_number(ranked, priority_order(False), "latest_rank_in_warehouse", ["warehouse_id"])
-    history = (
-        df.where(~F.col("is_latest_snapshot"))
-        .withColumn("latest_rank_overall", F.lit(None).cast("bigint"))
-        .withColumn("latest_rank_in_warehouse", F.lit(None).cast("bigint"))
+    no_rank = F.lit(None).cast("bigint")
+    history = df.where(~F.col("is_latest_snapshot")).withColumns(
+        {"latest_rank_overall": no_rank, "latest_rank_in_warehouse": no_rank}
     )
     return history.unionByName(ranked)
 

@@ -27,23 +27,15 @@ def with_deltas(stg: DataFrame) -> DataFrame:
 
     The first snapshot of a series has a NULL change but zero sold/received.
     """
-    prev = F.lag("qty_on_hand").over(series_window())
-    delta = F.col("qty_on_hand") - F.col("prev_qty_on_hand")
-    return (
-        stg.withColumn("prev_qty_on_hand", prev)
-        .withColumn("inventory_delta", delta)
-        .withColumn(
-            "daily_units_sold_proxy",
-            F.when(F.col("prev_qty_on_hand").isNull(), F.lit(0).cast("bigint"))
-            .when(delta < 0, F.abs(delta))
-            .otherwise(F.lit(0).cast("bigint")),
-        )
-        .withColumn(
-            "received_units",
-            F.when(F.col("prev_qty_on_hand").isNull(), F.lit(0).cast("bigint"))
-            .when(delta > 0, delta)
-            .otherwise(F.lit(0).cast("bigint")),
-        )
+    prev = F.col("prev_qty_on_hand")
+    delta = F.col("qty_on_hand") - prev
+    zero = F.lit(0).cast("bigint")
+    return stg.withColumn("prev_qty_on_hand", F.lag("qty_on_hand").over(series_window())).withColumns(
+        {
+            "inventory_delta": delta,
+            "daily_units_sold_proxy": F.when(prev.isNull(), zero).when(delta < 0, F.abs(delta)).otherwise(zero),
+            "received_units": F.when(prev.isNull(), zero).when(delta > 0, delta).otherwise(zero),
+        }
     )
 
 
@@ -60,10 +52,9 @@ def with_usage(deltas: DataFrame, rows: int = K.USAGE_WINDOW_ROWS) -> DataFrame:
 def with_risk(usage: DataFrame) -> DataFrame:
     """Days until stockout, reorder flag and stock status."""
     u = F.col("avg_daily_usage_7d")
-    return (
-        usage.withColumn("days_until_stockout", days_until_stockout(F.col("qty_on_hand"), u))
-        .withColumn("reorder_flag", reorder_flag(u, F.col("days_until_stockout")))
-        .withColumn("stock_status", stock_status(u, F.col("days_until_stockout")))
+    days = F.col("days_until_stockout")
+    return usage.withColumn("days_until_stockout", days_until_stockout(F.col("qty_on_hand"), u)).withColumns(
+        {"reorder_flag": reorder_flag(u, days), "stock_status": stock_status(u, days)}
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stockrisk import constants as K
 from stockrisk.operators import dims, kpis, layers, quality, risk
-from stockrisk.operators.report import enrich
+from stockrisk.operators.reporting import enrich
 from stockrisk.plans.pipeline import Models, build_models, build_report, build_report_base, run_pipeline
 from stockrisk.schemas import FACT_GRAIN, RAW_COLUMNS, RAW_GRAIN, SILVER_COLUMNS
 from stockrisk.session import shared_path

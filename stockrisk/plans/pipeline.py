@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stockrisk.operators.dims import dim_date, dim_product, dim_warehouse
 from stockrisk.operators.layers import dedup_bronze, stage, to_silver
-from stockrisk.operators.report import report, report_base
+from stockrisk.operators.reporting import report, report_base
 from stockrisk.operators.risk import fact
 from stockrisk.session import shared_path
 from stockrisk.sources.sinks import ensure_database, materialize, pin, write_layer

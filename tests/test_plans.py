@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from stockrisk.operators.layers import dedup_bronze
-from stockrisk.operators.report import latest_date
+from stockrisk.operators.reporting import latest_date
 from stockrisk.operators.risk import fact
 from stockrisk.plans.catalog import QUERIES, _stg
 from stockrisk.sources.fixture import load_raw

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockrisk.operators.dims import dim_date, dim_product, dim_warehouse
 from stockrisk.operators.ranking import sequence_number
-from stockrisk.operators.report import priority_order, report
+from stockrisk.operators.reporting import priority_order, report
 from stockrisk.operators.risk import fact
 from stockrisk.schemas import REPORT_COLUMNS, STG
 from stockrisk.sources.fixture import load_product_master

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from stockrisk.operators.report import with_flags, with_scores
+from stockrisk.operators.reporting import with_flags, with_scores
 from stockrisk.operators.risk import fact
 from stockrisk.schemas import FACT, STG
 
