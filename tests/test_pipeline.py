@@ -93,3 +93,18 @@ def test_run_all_from_csv(spark, tmp_path):
         ("relationships", "fct_inventory_risk", "product_id"),
         ("not_null", "inventory_silver", "load_dt"),
     }
+
+
+def test_command_line_reports_failing_checks(spark, tmp_path, capsys):
+    from stockrisk.__main__ import main
+
+    raw_path, seed_path = str(tmp_path / "raw"), str(tmp_path / "seed")
+    load_raw(spark, SF).write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(raw_path)
+    load_product_master(spark, SF).write.option("header", True).csv(seed_path)
+    code = main(["--raw", raw_path, "--seed", seed_path, "--root", str(tmp_path / "lake")])
+    out = capsys.readouterr().out
+    assert code == 1
+    assert "56 of 58 checks pass" in out
+    assert "FAIL relationships fct_inventory_risk.product_id: 352" in out
