@@ -85,3 +85,12 @@ def test_product_seed_with_crlf_line_ends(spark, tmp_path):
     p.write_bytes(b"product_id,product_name,category\r\nSKU0001,Face Serum,beauty\r\nSKU0002,Oats,grocery\r\n")
     rows = read_product_master(spark, str(p)).collect()
     assert rows == [Row("SKU0001", "Face Serum", "beauty"), Row("SKU0002", "Oats", "grocery")]
+
+
+def test_dedup_with_one_key_holding_a_third_of_rows(spark):
+    hot = [("HOT", "W1", i % 500, "1/1/2025") for i in range(3000)]
+    cold = [(f"P{i}", "W1", i, "1/1/2025") for i in range(6000)]
+    df = raw_df(spark, hot + cold).repartition(8)
+    out = dedup_bronze(df)
+    assert out.count() == 6001
+    assert out.where("product_id = 'HOT'").first().qty_on_hand == 499
