@@ -51,3 +51,12 @@ def test_filter_report_applies_all_filters(spark):
     assert [(r.warehouse_id, r.category, r.snapshot_date) for r in out] == [("W1", "food", dt.date(2025, 1, 1))]
     assert filter_report(rpt).count() == 5
     assert filter_report(rpt, date_from="2025-01-03").where(F.col("snapshot_date") < "2025-01-03").count() == 0
+
+
+def test_write_layer_takes_other_formats(spark):
+    root = shared_path(spark, "lake")
+    ensure_database(spark, "t_orc_db", f"{root}/t_orc_db.db")
+    df = spark.createDataFrame([("A", 1)], "k string, v bigint")
+    res = write_layer(df, "t_orc_db", "t", f"{root}/t_orc", fmt="orc")
+    assert res.rows == 1
+    assert read_layer(spark, f"{root}/t_orc", "orc").collect()[0].k == "A"
