@@ -46,6 +46,8 @@ def sequence_number(
     runs = pinned.groupBy("_part", *groups).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
     )
+    # Running count over the count table. Without groups this window has no
+    # partition key and runs in one task -- over one row per range partition.
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.select(
         F.col("_part").alias("_o_part"),
