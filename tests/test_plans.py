@@ -64,3 +64,24 @@ def test_report_has_no_single_partition_exchange_over_rows(spark):
 def test_latest_only_readers_push_the_date_to_the_fact_scan(spark):
     p = plan(QUERIES["kpi_latest"](spark, SF))
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(snapshot_date,ScalarSubquery", p), p
+
+
+def _single_partition_inputs(p: str) -> list[str]:
+    lines = p.splitlines()
+    return [lines[i + 1].strip() for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+
+
+def test_single_partition_exchanges_only_move_aggregates(spark):
+    """Every SinglePartition exchange sits on a scalar aggregate or on the per-range-partition counts."""
+    from stockrisk.operators.ranking import sequence_number
+
+    df = spark.range(2000).withColumn("k", F.col("id") % 7)
+    plans = [
+        plan(sequence_number(df, [F.col("k"), F.col("id")], "rn")),
+        plan(QUERIES["rpt_dashboard"](spark, SF)),
+        plan(QUERIES["kpi_latest"](spark, SF)),
+    ]
+    inputs = [i for p in plans for i in _single_partition_inputs(p)]
+    assert inputs
+    for child in inputs:
+        assert re.search(r"HashAggregate\(keys=\[(_part#\d+)?\]", child), child
