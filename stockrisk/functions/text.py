@@ -23,11 +23,6 @@ def trim_ws(col: Column | str) -> Column:
 def parse_load_date(col: Column | str) -> Column:
     """Parse month/day/year text (padding optional) to a date.
 
-    Under ANSI mode malformed text fails the query, like the source model;
-    use :func:`try_parse_load_date` to quarantine instead.
+    Under ANSI mode malformed text fails the query, like the source model.
     """
     return F.to_date(F.col(col) if isinstance(col, str) else col, LOAD_DATE_FORMAT)
-
-
-def try_parse_load_date(col: Column | str) -> Column:
-    return F.try_to_date(F.col(col) if isinstance(col, str) else col, LOAD_DATE_FORMAT)
