@@ -21,8 +21,12 @@ def trim_ws(col: Column | str) -> Column:
 
 
 def parse_load_date(col: Column | str) -> Column:
-    """Parse month/day/year text (padding optional) to a date.
+    """Parse month/day/year text (padding optional) to a date; malformed text fails the query.
 
-    Under ANSI mode malformed text fails the query, like the source model.
+    The failure does not depend on the session's ANSI setting: the text is
+    parsed leniently and a NULL result for non-NULL text raises an error.
     """
-    return F.to_date(F.col(col) if isinstance(col, str) else col, LOAD_DATE_FORMAT)
+    text = F.col(col) if isinstance(col, str) else col
+    parsed = F.try_to_date(text, LOAD_DATE_FORMAT)
+    bad = F.raise_error(F.concat(F.lit("unparsable load date: "), text))
+    return F.when(parsed.isNull() & text.isNotNull(), bad.cast("date")).otherwise(parsed)

@@ -94,3 +94,16 @@ def test_dedup_with_one_key_holding_a_third_of_rows(spark):
     out = dedup_bronze(df)
     assert out.count() == 6001
     assert out.where("product_id = 'HOT'").first().qty_on_hand == 499
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_date_fails_whatever_the_ansi_setting(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = stage(to_silver(raw_df(spark, [("A", "W1", 1, "1/5/2025")]))).collect()
+        assert good[0].snapshot_date == dt.date(2025, 1, 5)
+        with pytest.raises(Exception, match="unparsable load date: 2/30/2025"):
+            stage(to_silver(raw_df(spark, [("A", "W1", 1, "2/30/2025")]))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
