@@ -60,7 +60,8 @@ def pin(df: DataFrame, name: str = "pinned", fmt: str = "parquet") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.format(fmt).mode("overwrite").save(path)
-    return spark.read.format(fmt).load(path)
+    # The schema is known: reading it back needs no footer inference.
+    return spark.read.format(fmt).schema(df.schema).load(path)
 
 
 def materialize(
