@@ -12,6 +12,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from stockrisk.operators.quality import SUITE
 from stockrisk.plans.pipeline import run_all
 from stockrisk.sources.readers import read_product_master, read_raw
 
@@ -32,7 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     failing = res.quality.where(F.col("failures") > 0).collect()
     for r in failing:
         print(f"FAIL {r.check_name} {r.model}.{r.column_name}: {r.failures}")
-    print(f"{58 - len(failing)} of 58 checks pass")
+    print(f"{len(SUITE) - len(failing)} of {len(SUITE)} checks pass")
     return 1 if failing else 0
 
 
