@@ -108,3 +108,21 @@ def test_command_line_reports_failing_checks(spark, tmp_path, capsys):
     assert code == 1
     assert "56 of 58 checks pass" in out
     assert "FAIL relationships fct_inventory_risk.product_id: 352" in out
+
+
+def test_figures_agree_with_each_other(spark):
+    from stockrisk.operators.kpis import kpi_latest, risk_trend, warehouse_distribution, warehouse_risk_history
+    from stockrisk.plans.pipeline import build_report_base
+
+    m = build_models(QUERIES["silver_snapshot"](spark, SF), load_product_master(spark, SF))
+    base = build_report_base(m).cache()
+    [k] = kpi_latest(base).collect()
+    [t] = risk_trend(base).where(F.col("snapshot_date") == k.snapshot_date).collect()
+    for c in ["critical_skus", "low_stock_skus", "critical_positions", "low_positions", "at_risk_positions"]:
+        assert t[c] == k[c], c
+    shares = warehouse_distribution(base).groupBy("warehouse_id").agg(F.sum("share_of_warehouse").alias("s")).collect()
+    assert all(abs(r.s - 1.0) < 1e-5 for r in shares)
+    hist = warehouse_risk_history(base).collect()
+    assert sum(r.positions for r in hist) == 3605
+    assert all(r.snapshot_days == 78 or r.snapshot_days <= 78 for r in hist)
+    base.unpersist()
