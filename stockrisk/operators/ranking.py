@@ -11,8 +11,9 @@ per-(partition, group) counts turns positions into exact ranks:
 The sorted rows are pinned (written under the shared checkpoint folder)
 before the counts are taken, because the range bounds come from sampling and
 a recomputation could cut partitions elsewhere. The count table has at most
-(range partitions + groups) rows, which bounds the broadcast that joins it
-back. A hot group is simply spread over many range partitions.
+(range partitions + groups) rows; it is broadcast back when that is known
+to be small and joined by a shuffle otherwise. A hot group is simply spread
+over many range partitions.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from pyspark.sql import functions as F
 
 from stockrisk.sources.sinks import pin
 
+# Offset rows (range partition x group runs) up to which the table is broadcast.
+MAX_BROADCAST_RUNS = 1_000_000
+
 
 def sequence_number(
     df: DataFrame,
@@ -59,6 +63,11 @@ def sequence_number(
     cond = F.col("_part") == F.col("_o_part")
     for i, g in enumerate(groups):
         cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{i}"))
-    joined = pinned.join(F.broadcast(offsets), cond, "inner")
+    # Without groups the offset table has one row per range partition: a
+    # proven bound, broadcast as is. With groups it also grows with the
+    # number of groups, so its size is counted first (a small aggregate) and
+    # a shuffle join takes over beyond the limit.
+    small = not groups or offsets.count() <= MAX_BROADCAST_RUNS
+    joined = pinned.join(F.broadcast(offsets) if small else offsets, cond, "inner")
     rank = (F.col("_o_offset") + (F.col("_pos") - F.col("_o_first")) + 1).cast("bigint")
     return joined.select(*cols, rank.alias(name))

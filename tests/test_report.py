@@ -74,3 +74,13 @@ def test_seed_adapter_has_unique_products(spark):
     seed = load_product_master(spark, "/root/testdata/sf0.001")
     assert seed.count() == 18
     assert seed.select("product_id").distinct().count() == 18
+
+
+def test_sequence_number_without_broadcast_beyond_the_limit(spark, monkeypatch):
+    import stockrisk.operators.ranking as ranking
+
+    monkeypatch.setattr(ranking, "MAX_BROADCAST_RUNS", 0)
+    df = spark.createDataFrame([(f"g{i % 5}", i) for i in range(200)], "g string, id int")
+    got = ranking.sequence_number(df, [F.col("id").asc()], "rn", ["g"])
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id")).cast("bigint"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
