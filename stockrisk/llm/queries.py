@@ -4,20 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockrisk.llm import simhash
+from stockrisk.llm import language, mixing, order_minhash, pii, quality, sentencepieces, sharding, simhash
 from stockrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digest(table(spark, sf_dir, "documents"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_pii_bootstrap": op3_pii_bootstrap,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_quality_gam": op6_quality_gam,
+    "op7_sharding": op7_sharding,
+    "op8_order_minhash": op8_order_minhash,
+    "op9_language_id": op9_language_id,
+    "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLE_SQL: dict[str, str] = {}
