@@ -38,8 +38,16 @@ BASE = {
 }
 _BASE = {kind: re.compile(pattern) for kind, pattern in BASE.items()}
 
-# What a mention may look like when its base pattern doesn't hold it.
-_MENTION = re.compile(r"[^\s@]*@[^\s@]*[^\s@.,;:!?]|[+(]?[0-9](?:[\x20().:/-]{0,2}[0-9])*")
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+
+# Mentions: runs of digits with the marks that stand between them, and words with an at sign.
+_TRIGGER = re.compile("[0-9@]")
+_NUMBER = re.compile(r"[0-9](?:[\x20().:/-]{0,2}[0-9])*")
+_WORD_REST = re.compile(r"\S*")
+_LEADS = ("", "+", "(", "+(")
+_TAILS = ".,;:!?)\"'"
 _DIGIT = re.compile("[0-9]")
 ROUNDS = 3
 MIN_SEEDS = 3  # distinct seed instances a pattern needs
@@ -71,20 +79,60 @@ def _holds(kind: str, found: str) -> bool:
     return 9 <= len(digits) <= 15
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the email pattern, in time proportional to the text: each at sign is looked at once."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        before = text[done:at]
+        local = len(before) - len(before.rstrip(_LOCAL))
+        domain = _DOMAIN.match(text, at + 1) if local else None
+        if domain:
+            yield at - local, domain.end()
+        done = domain.end() if domain else at + 1
+        at = text.find("@", done)
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the ip pattern, in time proportional to the text: fours of a dotted run of numbers."""
+    for run in _DOTTED.finditer(text):
+        parts = run.group().split(".")
+        start = run.start()
+        for i in range(0, len(parts) - 3, 4):
+            end = start + sum(map(len, parts[i : i + 4])) + 3
+            yield start, end
+            start = end + 1
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of all base spans, in order."""
+    found: dict[str, Iterator[tuple[int, int]]] = {}
+    if "@" in text:
+        found["email"] = _emails(text)
+    if _DIGIT.search(text):
+        found["ip"] = _addresses(text)
+        found |= {k: (m.span() for m in _BASE[k].finditer(text)) for k in ("card", "phone")}
     spans = []
-    has = {"email": "@" in text, "phone": "+" in text}
-    digit = _DIGIT.search(text) is not None
     for number, kind in enumerate(KINDS):
-        if not has.get(kind, True) or (kind != "email" and not digit):
-            continue
-        for m in _BASE[kind].finditer(text):
-            if _holds(kind, m.group()):
-                spans.append((m.start(), number, m.end()))
+        spans += [(s, number, e) for s, e in found.get(kind, ()) if _holds(kind, text[s:e])]
     return sorted(spans)
 
 
+def _mentions(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the mentions of a text. A number that is part of a longer word is that word."""
+    done = 0
+    while m := _TRIGGER.search(text, done):
+        at = m.start()
+        before = text[done:at]
+        lead = before.rsplit(None, 1)[-1] if before and not before[-1].isspace() else ""
+        end = _NUMBER.match(text, at).end() if m.group() != "@" else at
+        rest = _WORD_REST.match(text, end)
+        if m.group() == "@" or lead not in _LEADS or rest.group().strip(_TAILS):
+            end = max(at + 1, end + len(rest.group().rstrip(_TAILS)))
+        yield at - len(lead), end
+        done = end
+
+
 def looks_like(form: str) -> int:
     """Kind a mention resembles, or -1."""
     if "@" in form:
@@ -109,20 +157,14 @@ def _context(text: str, start: int, end: int) -> tuple[str, str]:
 def scan_text(text: str) -> tuple[list, list]:
     """Base spans (kind, start, end) and mentions (start, end, form, kind, seed, before, around) of a text."""
     base = base_spans(text)
-    mentions = []
-    for start, number, end in base:
-        mentions.append((start, end, text[start:end].lower(), number, 1, *_context(text, start, end)))
-    if "@" in text or _DIGIT.search(text):
-        at = 0
-        ends = 0  # the furthest end of the base spans that begin before the mention's end
-        for m in _MENTION.finditer(text):
-            start, end = m.span()
-            while at < len(base) and base[at][0] < end:
-                ends = max(ends, base[at][2])
-                at += 1
-            if ends <= start:
-                form = m.group().lower()
-                mentions.append((start, end, form, looks_like(form), 0, *_context(text, start, end)))
+    mentions = [(s, e, text[s:e].lower(), number, 1, *_context(text, s, e)) for s, number, e in base]
+    if base or "@" in text or _DIGIT.search(text):
+        low = 0
+        for s, _, e in [*base, (len(text), 0, len(text))]:
+            for a, b in _mentions(text[low:s]):  # nothing for a negative gap: spans that overlap
+                form = text[low + a : low + b].lower()
+                mentions.append((low + a, low + b, form, looks_like(form), 0, *_context(text, low + a, low + b)))
+            low = max(low, e)
     return [(number, start, end) for start, number, end in base], mentions
 
 
@@ -229,12 +271,11 @@ def redact(docs: DataFrame) -> DataFrame:
     read = docs.withColumn("_text_key", text_key(F.col("text"))).join(
         held.select("_key", F.col("spans").alias("_spans")), F.col("_text_key") == F.col("_key"), "left"
     )
-    new = F.when(F.col("_spans").isNotNull(), masked).otherwise(F.col("text"))
-    columns = {"text": new.alias("text")}
+    columns = {"text": F.coalesce("_masked", "text").alias("text")}
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("_spans").isNotNull(), F.length(masked).cast(docs.schema["n_chars"].dataType))
-        columns["n_chars"] = changed.otherwise(docs["n_chars"]).alias("n_chars")
-    return read.select(*[columns.get(c, docs[c]) for c in docs.columns])
+        changed = F.length("_masked").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.coalesce(changed, docs["n_chars"]).alias("n_chars")
+    return read.withColumn("_masked", masked).select(*[columns.get(c, docs[c]) for c in docs.columns])
 
 
 def span_digest(docs: DataFrame) -> DataFrame:
@@ -244,7 +285,8 @@ def span_digest(docs: DataFrame) -> DataFrame:
     def written(spans: str) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
 
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)
-    ]
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(number).alias(f"n_{kind}") for number, kind in enumerate(KINDS)]
     return detect(docs).select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
