@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,13 +30,14 @@ from stockrisk.sources.sinks import pin
 K = 2
 SLOTS = 64
 PICKS = 2
-SEED = 0
-_WORDS: dict[bytes, int] = {}  # hashes of words met by this task
-_WORD_TABLE = 200_000
+_RANKS = 1 << 17  # ranks worked out at once
 
 _rng = np.random.default_rng(20240)
 _MULTIPLY = _rng.integers(0, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, 1024, dtype=np.uint64)
+_BYTE = _rng.integers(0, 2**63, 256, dtype=np.uint64)
+_PLACE = _rng.integers(0, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -46,25 +46,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    table = _WORDS
-    new = [w for w in set(words) if w not in table]
-    if len(table) + len(new) > _WORD_TABLE:
-        table.clear()
-        new = list(set(words))
-    table.update((w, xxhash.xxh64_intdigest(w, SEED)) for w in new)
-    return np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))
+def _word_hashes(data: bytes) -> np.ndarray:
+    """A hash of each word (run of bytes that are no ASCII white space), in order."""
+    codes = np.frombuffer(data, dtype=np.uint8)
+    inside = np.zeros(len(codes) + 2, dtype=bool)
+    inside[1:-1] = ~_BLANK[codes]
+    turns = np.flatnonzero(inside[1:] != inside[:-1])  # where words begin and end, by turns
+    if not len(turns):
+        return np.zeros(0, dtype=np.uint64)
+    codes = codes[inside[1:-1]]
+    size = turns[1::2] - turns[::2]
+    first = np.cumsum(size) - size
+    place = np.arange(len(codes)) - np.repeat(first, size)
+    summed = np.add.reduceat(_BYTE[codes] * _PLACE[place & (len(_PLACE) - 1)], first)
+    return _mix(summed + size.astype(np.uint64))
 
 
 def elements(text: str, k: int = K) -> np.ndarray:
     """Hashes of a text's occurrence-numbered k-mers, in text order."""
-    words = text.encode("utf-8", "surrogatepass").split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    hashed = _word_hashes(words)
-    n = max(1, len(words) - k + 1)
+    hashed = _word_hashes(text.encode("utf-8", "surrogatepass"))
+    if not len(hashed):
+        return hashed
+    n = max(1, len(hashed) - k + 1)
     kmers = np.zeros(n, dtype=np.uint64)
-    for i in range(min(k, len(words))):
+    for i in range(min(k, len(hashed))):
         kmers = _mix(kmers * np.uint64(3) + hashed[i : i + n])
     order = np.argsort(kmers, kind="stable")
     ranked = kmers[order]
@@ -83,14 +88,18 @@ def fingerprint(text: str | None, k: int = K, slots: int = SLOTS, picks: int = P
         return out.astype(np.uint16)
     take = min(picks, len(own))
     chosen = np.empty((slots, take), dtype=np.int64)
-    for s in range(slots):
-        rank = own * _MULTIPLY[s] + _ADD[s]
+    together = max(1, _RANKS // len(own))  # slots whose ranks are worked out in one go
+    for low in range(0, slots, together):
+        multiply = _MULTIPLY[low : min(low + together, slots), None]
+        rank = own[None, :] * multiply
+        rank += _ADD[low : low + len(multiply), None]
         rank ^= rank >> np.uint64(32)  # the low bits of a product are weak, its order must not lean on them
-        rank *= _MULTIPLY[s]
+        rank *= multiply
+        each = np.arange(len(multiply))
         for p in range(take):
-            at = int(rank.argmin())
-            chosen[s, p] = at
-            rank[at] = np.uint64(2**64 - 1)
+            at = rank.argmin(axis=1)
+            chosen[low : low + len(multiply), p] = at
+            rank[each, at] = np.uint64(2**64 - 1)
     chosen.sort(axis=1)
     for p in range(take):
         out = _mix(out * np.uint64(5) + own[chosen[:, p]] + np.uint64(p + 1))
