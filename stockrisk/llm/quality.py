@@ -83,7 +83,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int =
     picked = [marked.where(F.col("label") == k).orderBy(order, "doc_id").limit(sample) for k in (0, 1)]
     # At most 2 * sample ids.
     chosen = F.broadcast(picked[0].unionByName(picked[1]).withColumnRenamed("doc_id", "_id"))
-    texts = docs.join(chosen, docs.doc_id == chosen._id).select("doc_id", "text", "label")
+    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -95,8 +95,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int =
     return np.array(rows["features"].tolist()).reshape(len(rows), len(FEATURES)), rows["label"].to_numpy(float)
 
 
-def score(docs: DataFrame, model: gam.Model) -> DataFrame:
-    """``docs`` with a column ``score``: probability that the text is good."""
+def score(docs: DataFrame, model: gam.Model, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name``: probability that the text is good."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf("double")
@@ -104,7 +104,7 @@ def score(docs: DataFrame, model: gam.Model) -> DataFrame:
         rows = np.array([features(t) for t in texts]).reshape(len(texts), len(FEATURES))
         return pd.Series(held.value.score(rows))
 
-    return docs.withColumn("score", scored("text"))
+    return docs.withColumn(name, scored("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> gam.Model:
@@ -113,8 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` whose score reaches the threshold, columns unchanged."""
-    good = score(docs.select(F.struct(*docs.columns).alias("row"), "text"), fit(docs, labels))
-    return good.where(F.col("score") >= threshold).select("row.*")
+    scored = score(docs, fit(docs, labels), "_quality_score")
+    return scored.where(F.col("_quality_score") >= threshold).drop("_quality_score")
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

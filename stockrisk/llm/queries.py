@@ -7,12 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockrisk.llm import language, mixing, order_minhash, pii, quality, sentencepieces, sharding, simhash
+from stockrisk.llm import embedding_dedup, language, mixing, order_minhash, pii, quality, sentencepieces, sharding, simhash, style_tree
 from stockrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op2_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.page_report(table(spark, sf_dir, "pages"))
+
+
 def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(table(spark, sf_dir, "documents"))
 
@@ -46,6 +54,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pq_near_dedup": op1_pq_near_dedup,
+    "op2_site_style_tree": op2_site_style_tree,
     "op3_pii_bootstrap": op3_pii_bootstrap,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,

@@ -6,7 +6,7 @@ rows are range-partitioned on them, ranges that turn out overfull are
 subdivided (a range's other texts by a second hash, one very common text by
 the hash of its ids), and exact byte and row sums of the ranges place every
 row on one line of bytes, cut into equal shards. Equal texts share a shard
-unless they alone overfill a range; those are spread by row.
+unless together they are over an eighth of one; those are spread by row.
 
 The sample, the boundaries and the table of ranges are bounded by
 ``ranges``, which grows with the rows so that a range stays a task's work.
@@ -30,6 +30,7 @@ ROWS_PER_RANGE = 1 << 20
 SAMPLES_PER_RANGE = 32
 PREFIX_BITS = 12
 OVERFULL = 1.25  # times the mean range
+WHOLE_SHARE = 1 / 8  # of a shard: equal texts up to this size are kept together
 
 
 def _unit(hashed: Column) -> Column:
@@ -88,7 +89,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = N
         F.array_contains("bounds", F.col("h")).alias("at_bound"),
     )
     mean = max(total, 1) / ranges
-    pieces = F.when(F.col("bytes") > OVERFULL * mean, F.ceil(F.col("bytes") / mean)).otherwise(1)
+    # Copies of one text at a boundary are parted only where they are too much for one shard.
+    most = F.when(F.col("at_bound"), max(total, 1) / shards * WHOLE_SHARE).otherwise(OVERFULL * mean)
+    pieces = F.when(F.col("bytes") > most, F.ceil(F.col("bytes") / mean)).otherwise(1)
     parts = pin(
         ranged.groupBy("range", "at_bound").agg(F.sum("size").alias("bytes")).select(
             F.col("range").alias("_r"), F.col("at_bound").alias("_a"), pieces.cast("int").alias("pieces")
