@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from stockrisk.operators.quality import SUITE
-from stockrisk.plans.pipeline import run_all
+from stockrisk.plans.pipeline import Lake, run_all
 from stockrisk.sources.readers import read_product_master, read_raw
 
 
@@ -22,13 +22,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--raw", required=True, help="raw snapshot CSV path, or a table name with --raw-table")
     ap.add_argument("--raw-table", action="store_true")
     ap.add_argument("--seed", required=True, help="product master CSV path")
-    ap.add_argument("--root", default=None, help="folder for the bronze and silver tables")
+    ap.add_argument("--root", default=None, help="folder for all published tables; by default the catalog manages them")
     ap.add_argument("--format", default="parquet")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("stockrisk").getOrCreate()
     raw = read_raw(spark, table=args.raw) if args.raw_table else read_raw(spark, path=args.raw)
-    res = run_all(spark, raw, read_product_master(spark, args.seed), root=args.root, fmt=args.format)
+    res = run_all(spark, raw, read_product_master(spark, args.seed), Lake(root=args.root, fmt=args.format))
     print("layer rows:", res.pipeline.counts)
     failing = res.quality.where(F.col("failures") > 0).collect()
     for r in failing:

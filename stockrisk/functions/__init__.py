@@ -1,27 +1 @@
-"""Column expressions shared by the operators (all native Spark functions)."""
-
-from stockrisk.functions.calendar import day_of_week_iso, calendar_parts
-from stockrisk.functions.risk import (
-    days_until_stockout,
-    horizon_bucket,
-    priority_band,
-    priority_score,
-    reorder_flag,
-    status_sort_order,
-    stock_status,
-)
-from stockrisk.functions.text import parse_load_date, trim_ws
-
-__all__ = [
-    "calendar_parts",
-    "day_of_week_iso",
-    "days_until_stockout",
-    "horizon_bucket",
-    "parse_load_date",
-    "priority_band",
-    "priority_score",
-    "reorder_flag",
-    "status_sort_order",
-    "stock_status",
-    "trim_ws",
-]
+"""Column expressions of the inventory-risk models."""

@@ -5,23 +5,33 @@ from pyspark.sql import functions as F
 
 from stockrisk.constants import LOAD_DATE_FORMAT
 
-# FIXED VALUES: the whitespace set stripped from both ends -- blank, tab, line
-# feed, vertical tab, form feed, carriage return (the regex class \s), not only
-# the blank that a bare ``trim`` removes.
-EDGE_WHITESPACE = " \t\n\u000b\f\r"
+# FIXED VALUES: the white space stripped from both ends, not only the blank that
+# a bare ``trim`` removes: ASCII white space and separators, and the Unicode
+# spaces that allow a line break (so not U+00A0, U+2007 and U+202F).
+EDGE_WHITESPACE = (
+    " \t\n\u000b\f\r\u001c\u001d\u001e\u001f\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
+)
 
 
-def trim_ws(col: Column | str) -> Column:
-    """Strip all leading and trailing whitespace; NULL stays NULL.
+_ESCAPED = "".join(f"\\u{ord(c):04x}" for c in EDGE_WHITESPACE)
+
+
+def trim_sql(name: str) -> str:
+    """SQL text that strips all leading and trailing white space of a column; NULL stays NULL.
 
     ``trim(BOTH <set> FROM c)`` is a plain character scan, so no regular
     expression runs per row.
     """
-    return F.trim(F.col(col) if isinstance(col, str) else col, F.lit(EDGE_WHITESPACE))
+    return f"trim(BOTH '{_ESCAPED}' FROM {name})"
+
 
+def trim_ws(name: str) -> Column:
+    return F.expr(trim_sql(name))
 
-def parse_load_date(col: Column | str) -> Column:
-    """Parse month/day/year text (padding optional) to a date.
+
+def load_date_sql(text: str) -> str:
+    """SQL text that parses month/day/year (padding optional) to a date.
 
     Under ANSI mode (the Spark 4 default) malformed text fails the query, as
     in the source model. With ANSI off it yields NULL, which the quality
@@ -30,4 +40,8 @@ def parse_load_date(col: Column | str) -> Column:
     queries with a pushed-down ``snapshot_date IS NOT NULL`` about four times
     slower at sf0.1 (see PLANS.md).
     """
-    return F.to_date(F.col(col) if isinstance(col, str) else col, LOAD_DATE_FORMAT)
+    return f"to_date({text}, '{LOAD_DATE_FORMAT}')"
+
+
+def parse_load_date(name: str) -> Column:
+    return F.expr(load_date_sql(name))

@@ -1,69 +1 @@
 """DataFrame -> DataFrame operators of the inventory-risk models."""
-
-from stockrisk.operators.dims import dim_date, dim_product, dim_warehouse
-from stockrisk.operators.kpis import (
-    filter_report,
-    kpi_latest,
-    risk_trend,
-    top_products_at_risk,
-    warehouse_distribution,
-    warehouse_risk_history,
-)
-from stockrisk.operators.layers import dedup_bronze, stage, stage_rejects, to_silver
-from stockrisk.operators.quality import (
-    SUITE,
-    accepted_values,
-    grain,
-    non_negative,
-    not_null,
-    quality_report,
-    relationships,
-    unique,
-)
-from stockrisk.operators.ranking import sequence_number
-from stockrisk.operators.reporting import (
-    enrich,
-    report,
-    report_base,
-    with_flags,
-    with_latest,
-    with_latest_ranks,
-    with_scores,
-)
-from stockrisk.operators.risk import fact, with_deltas, with_risk, with_usage
-
-__all__ = [
-    "SUITE",
-    "accepted_values",
-    "dedup_bronze",
-    "dim_date",
-    "dim_product",
-    "dim_warehouse",
-    "enrich",
-    "fact",
-    "filter_report",
-    "grain",
-    "kpi_latest",
-    "non_negative",
-    "not_null",
-    "quality_report",
-    "relationships",
-    "report",
-    "report_base",
-    "risk_trend",
-    "sequence_number",
-    "stage",
-    "stage_rejects",
-    "to_silver",
-    "top_products_at_risk",
-    "unique",
-    "warehouse_distribution",
-    "warehouse_risk_history",
-    "with_deltas",
-    "with_flags",
-    "with_latest",
-    "with_latest_ranks",
-    "with_risk",
-    "with_scores",
-    "with_usage",
-]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockrisk.functions.text import parse_load_date, trim_ws
+from stockrisk.functions.text import load_date_sql, trim_sql, trim_ws
 from stockrisk.schemas import RAW_GRAIN, SILVER_COLUMNS
 
 
@@ -33,14 +33,23 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     return bronze.select(*SILVER_COLUMNS)
 
 
-def _stage_filter() -> F.Column:
-    return (
-        F.col("product_id").isNotNull()
-        & F.col("warehouse_id").isNotNull()
-        & F.col("load_dt").isNotNull()
-        & (trim_ws("load_dt") != "")
-        & F.col("qty_on_hand").isNotNull()
-    )
+# Staging as SQL text, so the stored silver table can carry it as a view.
+STAGE_FILTER = (
+    "product_id IS NOT NULL AND warehouse_id IS NOT NULL AND load_dt IS NOT NULL "
+    f"AND {trim_sql('load_dt')} <> '' AND qty_on_hand IS NOT NULL"
+)
+STAGE_COLUMNS = {
+    "product_id": f"CAST({trim_sql('product_id')} AS STRING)",
+    "warehouse_id": f"CAST({trim_sql('warehouse_id')} AS STRING)",
+    "snapshot_date": load_date_sql(trim_sql("load_dt")),
+    "qty_on_hand": "CAST(qty_on_hand AS BIGINT)",
+}
+
+
+def stage_select(source: str) -> str:
+    """The staging model over a stored table, as the text of a view."""
+    columns = ", ".join(f"{e} AS {c}" for c, e in STAGE_COLUMNS.items())
+    return f"SELECT {columns} FROM {source} WHERE {STAGE_FILTER}"
 
 
 def stage(silver: DataFrame) -> DataFrame:
@@ -48,12 +57,7 @@ def stage(silver: DataFrame) -> DataFrame:
 
     Only a blank date is rejected as text; blank keys pass (as defined).
     """
-    return silver.where(_stage_filter()).select(
-        trim_ws("product_id").cast("string").alias("product_id"),
-        trim_ws("warehouse_id").cast("string").alias("warehouse_id"),
-        parse_load_date(trim_ws("load_dt")).alias("snapshot_date"),
-        F.col("qty_on_hand").cast("bigint").alias("qty_on_hand"),
-    )
+    return silver.where(STAGE_FILTER).selectExpr(*[f"{e} AS {c}" for c, e in STAGE_COLUMNS.items()])
 
 
 def stage_rejects(silver: DataFrame) -> DataFrame:
@@ -65,4 +69,4 @@ def stage_rejects(silver: DataFrame) -> DataFrame:
         .when(trim_ws("load_dt") == "", F.lit("load_dt is blank"))
         .when(F.col("qty_on_hand").isNull(), F.lit("qty_on_hand is null"))
     )
-    return silver.where(~_stage_filter()).select(*SILVER_COLUMNS, reason.alias("reject_reason"))
+    return silver.where(f"NOT ({STAGE_FILTER})").select(*SILVER_COLUMNS, reason.alias("reject_reason"))

@@ -97,6 +97,7 @@ def _nn(model: str, *cols: str) -> list[Check]:
     return [Check("not_null", model, c) for c in cols]
 
 
+# FIXED VALUES: models, columns and kinds of the published checks.
 SUITE: list[Check] = [
     *_nn("inventory_silver", "product_id", "warehouse_id", "load_dt"),
     *_nn("stg_inventory_silver", "product_id", "warehouse_id", "snapshot_date", "qty_on_hand"),
@@ -166,24 +167,29 @@ SUITE: list[Check] = [
 _FUSED = ("not_null", "accepted_values", "non_negative")
 
 
-def _failure_count(c: Check) -> F.Column:
-    """The failure count of a check that reduces to one aggregate over its model."""
-    col = F.col(c.column) if c.check != "non_negative" else None
-    if c.check == "not_null":
-        return F.count(F.when(col.isNull(), 1))
-    if c.check == "accepted_values":
-        # one failure per distinct unaccepted value; NULL is not judged
-        return F.countDistinct(F.when(col.isNotNull() & ~col.isin(list(c.values)), col))
-    return F.count(F.when(_negative(), 1))
-
-
 def _fused(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All aggregate-shaped checks of one model in a single pass over it."""
-    counts = df.agg(*[_failure_count(c).cast("bigint").alias(f"_f{i}") for i, c in enumerate(checks)])
-    rows = ", ".join(f"'{c.check}', '{c.column}', _f{i}" for i, c in enumerate(checks))
-    return counts.selectExpr(
-        f"stack({len(checks)}, {rows}) as (check_name, column_name, failures)"
-    ).select("check_name", F.lit(model).alias("model"), "column_name", "failures")
+    """All aggregate-shaped checks of one model in a single pass over it.
+
+    The rows are counted by the columns with accepted values: few
+    combinations, formed in the map tasks. NULL and sign counts are summed
+    over them, and unaccepted values (one failure per distinct value, NULL not
+    judged) are looked for among them alone.
+    """
+    counted = [c for c in checks if c.check != "accepted_values"]
+    judged = [c for c in checks if c.check == "accepted_values"]
+    fails = [F.col(c.column).isNull() if c.check == "not_null" else _negative() for c in counted]
+    counts = [F.count(F.when(f, 1)).alias(f"_f{i}") for i, f in enumerate(fails)]
+    small = df.groupBy(*[F.col(c.column).alias(f"_v{i}") for i, c in enumerate(judged)]).agg(*counts)
+    total = small.agg(*[F.coalesce(F.sum(f"_f{i}"), F.lit(0)).cast("bigint").alias(f"_f{i}") for i in range(len(counted))])
+    rows = ", ".join(f"'{c.check}', '{c.column}', _f{i}" for i, c in enumerate(counted))
+    out = total.selectExpr(f"stack({len(counted)}, {rows}) as (check_name, column_name, failures)").select(
+        "check_name", F.lit(model).alias("model"), "column_name", "failures"
+    )
+    for i, c in enumerate(judged):
+        value = F.col(f"_v{i}")
+        strange = small.where(value.isNotNull() & ~value.isin(list(c.values))).select(value).distinct()
+        out = out.unionByName(_count_rows(strange, c))
+    return out
 
 
 def _count_rows(df: DataFrame, check: Check) -> DataFrame:

@@ -2,18 +2,21 @@
 
 ``row_number() over (partition by g order by k)`` plans one task per group,
 and with no partition at all, one task for everything. Here the rows are
-range-partitioned on (g, k) by Spark's distributed sort instead, each row
-takes its position inside its sorted partition, and a tiny table of
-per-(partition, group) counts turns positions into exact ranks:
+range-partitioned on k by Spark's distributed sort, and each row's rank is
 
-    rank = rows of the group in earlier partitions + position in own run + 1
+    rows in earlier partitions + position in its own partition + 1
 
-The sorted rows are pinned (written under the shared checkpoint folder)
-before the counts are taken, because the range bounds come from sampling and
-a recomputation could cut partitions elsewhere. The count table has at most
-(range partitions + groups) rows; it is broadcast back when that is known
-to be small and joined by a shuffle otherwise. A hot group is simply spread
-over many range partitions.
+The same sort ranks the rows within groups, since the order inside a group is
+the overall order restricted to it: the position is then counted within
+(partition, group), which one range partition bounds, and the offset is the
+group's rows in earlier partitions. A hot group is spread over many range
+partitions.
+
+Two steps, neither an action. The caller stores what :func:`range_sorted`
+gives before :func:`ranks` reads it, because the range bounds come from
+sampling and a recomputation could cut the partitions elsewhere. The offset
+tables have one row per range partition, and per range partition and group;
+whether they are broadcast is left to their size at run time.
 """
 
 from __future__ import annotations
@@ -21,53 +24,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockrisk.sources.sinks import pin
+PART, POSITION = "_part", "_pos"
 
-# Offset rows (range partition x group runs) up to which the table is broadcast.
-MAX_BROADCAST_RUNS = 1_000_000
 
+def range_sorted(df: DataFrame, order_by: list[Column]) -> DataFrame:
+    """``df`` in global order, with the range partition of each row and its place in the order of all rows."""
+    return (
+        df.orderBy(*order_by)
+        .withColumn(PART, F.spark_partition_id())
+        .withColumn(POSITION, F.monotonically_increasing_id())
+    )
 
-def sequence_number(
-    df: DataFrame,
-    order_by: list[Column],
-    name: str,
-    partition_by: list[str] | None = None,
-) -> DataFrame:
-    """Add ``name``: 1-based row number of each row within ``partition_by`` in ``order_by`` order.
 
-    Equal to ``row_number()`` over the same window (ties broken arbitrarily,
-    as there). The result is bigint.
-    """
-    groups = list(partition_by or [])
-    cols = df.columns
-    sorted_rows = (
-        df.orderBy(*[F.col(g).asc_nulls_first() for g in groups], *order_by)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id())
+def ranks(stored: DataFrame, name: str, group: str | None = None, name_in_group: str | None = None) -> DataFrame:
+    """Add the 1-based row number ``name``, and ``name_in_group`` within ``group``, to stored sorted rows."""
+    cols = [c for c in stored.columns if c not in (PART, POSITION)]
+    runs = stored.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"), F.min(POSITION).alias("_first"))
+    # No partition key: this window runs in one task -- over one row per range partition.
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select(F.col(PART).alias("_o_part"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    out = stored.join(offsets, F.col(PART) == F.col("_o_part")).withColumn(
+        name, (F.col("_offset") + F.col(POSITION) - F.col("_first") + 1).cast("bigint")
     )
-    pinned = pin(sorted_rows, f"sorted_{name}")
-
-    runs = pinned.groupBy("_part", *groups).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
+    if not group:
+        return out.select(*cols, name)
+    earlier = Window.partitionBy("_g").orderBy("_g_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        stored.groupBy(F.col(PART).alias("_g_part"), F.col(group).alias("_g"))
+        .agg(F.count(F.lit(1)).alias("_g_n"))
+        .select("_g_part", "_g", F.coalesce(F.sum("_g_n").over(earlier), F.lit(0)).alias("_g_offset"))
     )
-    # Running count over the count table. Without groups this window has no
-    # partition key and runs in one task -- over one row per range partition.
-    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = runs.select(
-        F.col("_part").alias("_o_part"),
-        *[F.col(g).alias(f"_o_{i}") for i, g in enumerate(groups)],
-        F.col("_first").alias("_o_first"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o_offset"),
+    in_run = F.row_number().over(Window.partitionBy(PART, group).orderBy(POSITION))
+    return (
+        out.withColumn("_g_pos", in_run)
+        .join(counts, (F.col(PART) == F.col("_g_part")) & F.col(group).eqNullSafe(F.col("_g")))
+        .select(*cols, name, (F.col("_g_offset") + F.col("_g_pos")).cast("bigint").alias(name_in_group))
     )
-
-    cond = F.col("_part") == F.col("_o_part")
-    for i, g in enumerate(groups):
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{i}"))
-    # Without groups the offset table has one row per range partition: a
-    # proven bound, broadcast as is. With groups it also grows with the
-    # number of groups, so its size is counted first (a small aggregate) and
-    # a shuffle join takes over beyond the limit.
-    small = not groups or offsets.count() <= MAX_BROADCAST_RUNS
-    joined = pinned.join(F.broadcast(offsets) if small else offsets, cond, "inner")
-    rank = (F.col("_o_offset") + (F.col("_pos") - F.col("_o_first")) + 1).cast("bigint")
-    return joined.select(*cols, rank.alias(name))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockrisk import constants as K
@@ -12,7 +13,7 @@ from stockrisk.functions.risk import (
     priority_score,
     status_sort_order,
 )
-from stockrisk.operators.ranking import sequence_number
+from stockrisk.operators.ranking import range_sorted, ranks
 from stockrisk.schemas import REPORT_COLUMNS
 
 
@@ -49,22 +50,25 @@ def enrich(fct: DataFrame, product: DataFrame, warehouse: DataFrame, date: DataF
     )
 
 
+# FIXED VALUE: a date no snapshot has; stands for "no latest date" in an empty fact.
+NO_DATE = "0001-01-01"
+
+
 def latest_date(df: DataFrame) -> Column:
-    """The newest snapshot date as a scalar subquery.
+    """The newest snapshot date of the fact as a scalar subquery, never NULL.
 
     ``max(..) over ()`` would move every row into one partition; a scalar
     aggregate shuffles one partial row per task and is broadcast as a value.
     """
-    return df.agg(F.max("snapshot_date")).scalar()
+    return df.agg(F.coalesce(F.max("snapshot_date"), F.lit(NO_DATE).cast("date"))).scalar()
 
 
 def with_latest(df: DataFrame, latest: Column | None = None) -> DataFrame:
     """``is_latest_snapshot``: the row's date equals the newest date (false for a NULL date).
 
-    Written as ``date = latest AND date IS NOT NULL`` -- the same values as
-    CASE WHEN date = latest THEN true ELSE false (the latest date is NULL only
-    when no row has a date) -- because this form reaches the parquet scan as
-    a pushed filter, so latest-only readers skip the history's row groups.
+    Written as ``date = latest AND date IS NOT NULL``, which is never NULL
+    because the latest date never is, and which reaches the parquet scan as a
+    pushed filter, so latest-only readers skip the history's row groups.
     """
     latest = latest_date(df) if latest is None else latest
     d = F.col("snapshot_date")
@@ -100,47 +104,67 @@ def with_scores(df: DataFrame) -> DataFrame:
     )
 
 
-def priority_order(with_warehouse: bool = True) -> list[Column]:
-    """Score desc, days asc (missing days last), quantity, product [, warehouse]."""
-    order = [
+# The priority order of the ranks, most urgent first. Within one warehouse the last key decides nothing.
+RANK_KEYS = ["risk_priority_score", "days_until_stockout", "qty_on_hand", "product_id", "warehouse_id"]
+
+
+def priority_order() -> list[Column]:
+    """Score desc, days asc (missing days last), quantity, product, warehouse."""
+    return [
         F.col("risk_priority_score").desc(),
         F.coalesce(F.col("days_until_stockout"), F.lit(float(K.RANK_MISSING_DAYS))).asc(),
         F.col("qty_on_hand").asc(),
         F.col("product_id").asc(),
+        F.col("warehouse_id").asc(),
     ]
-    if with_warehouse:
-        order.append(F.col("warehouse_id").asc())
-    return order
 
 
-def with_latest_ranks(df: DataFrame) -> DataFrame:
-    """Priority ranks on the latest snapshot; NULL on every historical row.
+def _numbered(df: DataFrame) -> DataFrame:
+    """Rows of one product and warehouse numbered: more than one only where the grain is violated."""
+    own = Window.partitionBy("product_id", "warehouse_id").orderBy(*priority_order())
+    return df.withColumn("_copy", F.row_number().over(own))
 
-    Only latest rows are ranked (a filter, then a distributed sort), and the
-    history is passed through untouched, so no date is ever funnelled into a
-    single window partition.
-    """
-    latest = df.where(F.col("is_latest_snapshot"))
-    ranked = sequence_number(latest, priority_order(True), "latest_rank_overall")
-    ranked = sequence_number(ranked, priority_order(False), "latest_rank_in_warehouse", ["warehouse_id"])
-    no_rank = F.lit(None).cast("bigint")
-    history = df.where(~F.col("is_latest_snapshot")).withColumns(
-        {"latest_rank_overall": no_rank, "latest_rank_in_warehouse": no_rank}
-    )
-    return history.unionByName(ranked)
+
+def latest_order(base: DataFrame) -> DataFrame:
+    """The latest rows' order keys, globally sorted. Store this before :func:`report` ranks it."""
+    latest = base.where(F.col("is_latest_snapshot")).select(*RANK_KEYS)
+    return range_sorted(_numbered(latest), priority_order())
 
 
 def report_base(fct: DataFrame, product: DataFrame, warehouse: DataFrame, date: DataFrame) -> DataFrame:
-    """Every report column except the two ranks (enough for KPIs and flags).
+    """Every report column except the two ranks.
 
-    The latest date is taken from the date dimension: it holds exactly the
-    fact's dates, one row each.
+    The latest date is the fact's: a date dimension may reach further, or lag.
     """
-    enriched = enrich(fct, product, warehouse, date)
-    latest = date.agg(F.max("date_day")).scalar()
-    return with_scores(with_flags(with_latest(enriched, latest)))
+    return with_scores(with_flags(with_latest(enrich(fct, product, warehouse, date), latest_date(fct))))
 
 
-def report(fct: DataFrame, product: DataFrame, warehouse: DataFrame, date: DataFrame) -> DataFrame:
-    """The 34-column report, in published column order."""
-    return with_latest_ranks(report_base(fct, product, warehouse, date)).select(*REPORT_COLUMNS)
+def ranked_latest(base: DataFrame, stored_order: DataFrame) -> DataFrame:
+    """The latest rows of ``base`` with both ranks; ``stored_order`` is its :func:`latest_order`, stored."""
+    ranked = ranks(stored_order, "latest_rank_overall", "warehouse_id", "latest_rank_in_warehouse").select(
+        F.col("product_id").alias("_product"),
+        F.col("warehouse_id").alias("_warehouse"),
+        F.col("_copy").alias("_nth"),
+        "latest_rank_overall",
+        "latest_rank_in_warehouse",
+    )
+    same = (
+        F.col("product_id").eqNullSafe(F.col("_product"))
+        & F.col("warehouse_id").eqNullSafe(F.col("_warehouse"))
+        & (F.col("_copy") == F.col("_nth"))
+    )
+    latest = _numbered(base.where(F.col("is_latest_snapshot")))
+    return latest.join(ranked, same, "left").drop("_copy", "_product", "_warehouse", "_nth")
+
+
+def report(base: DataFrame, stored_order: DataFrame) -> DataFrame:
+    """The 34-column report, in published column order: ``base`` with the ranks of its latest rows.
+
+    Only latest rows are ranked and joined; history, the exact complement,
+    passes through with NULL ranks.
+    """
+    no_rank = F.lit(None).cast("bigint")
+    history = base.where(~F.col("is_latest_snapshot")).withColumns(
+        {"latest_rank_overall": no_rank, "latest_rank_in_warehouse": no_rank}
+    )
+    return history.select(*REPORT_COLUMNS).unionByName(ranked_latest(base, stored_order).select(*REPORT_COLUMNS))

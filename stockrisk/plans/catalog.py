@@ -7,18 +7,23 @@ the snapshot adapter, so its work grows with the input.
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockrisk import constants as K
+from stockrisk.functions.risk import status_sort_order
 from stockrisk.operators import dims, kpis, layers, quality, risk
-from stockrisk.operators.reporting import enrich
-from stockrisk.plans.pipeline import Models, build_models, build_report, build_report_base, run_pipeline
-from stockrisk.schemas import FACT_GRAIN, RAW_COLUMNS, RAW_GRAIN, SILVER_COLUMNS
-from stockrisk.session import shared_path
+from stockrisk.operators.reporting import enrich, latest_order, ranked_latest, with_scores
+from stockrisk.plans import pipeline as P
+from stockrisk.plans.pipeline import Lake, Models, build_models, build_report, run_pipeline
+from stockrisk.schemas import FACT_GRAIN, PRODUCT, RAW_COLUMNS, RAW_GRAIN, SILVER_COLUMNS
+from stockrisk.session import checkpoint_root
 from stockrisk.sources.fixture import load_product_master, load_raw
+from stockrisk.sources.readers import read_layer, read_product_master, read_raw
+from stockrisk.sources.sinks import ensure_database, pin, quoted, write_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +51,22 @@ def _models(spark: SparkSession, sf_dir: str) -> Models:
     return build_models(_silver(spark, sf_dir), load_product_master(spark, sf_dir))
 
 
+def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored fact with the report's flags and scores; no dimension is read."""
+    return with_scores(kpis.flagged(P.pinned_fact(_silver(spark, sf_dir))))
+
+
+def _tag(sf_dir: str) -> str:
+    return f"{zlib.crc32(sf_dir.encode()):08x}"
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Where these queries publish: one place per input, so a rerun replaces what is there."""
+    tag = _tag(sf_dir)
+    root = f"{checkpoint_root(spark).rstrip('/')}/lake-{tag}"
+    return Lake(root, f"inventory_bronze_{tag}", f"inventory_silver_{tag}", f"inventory_marts_{tag}")
+
+
 # --- sources and layers ---------------------------------------------------
 
 
@@ -53,6 +74,29 @@ def q_raw_scan(spark, sf_dir):
     return load_raw(spark, sf_dir)
 
 
+def q_read_raw_table(spark, sf_dir):
+    """The raw table with its quantity stored as text, read back typed."""
+    lake = _lake(spark, sf_dir)
+    text = load_raw(spark, sf_dir).withColumn("qty_on_hand", F.col("qty_on_hand").cast("string"))
+    ensure_database(spark, lake.bronze_db)
+    stored = write_layer(text, lake.bronze_db, "raw_snapshots", lake.path(lake.bronze_db, "raw_snapshots"))
+    return read_raw(spark, table=stored.table)
+
+
+def q_read_raw_csv(spark, sf_dir):
+    path = f"{_lake(spark, sf_dir).root}/raw_csv"
+    # Padding is data here; a blank date would be read as NULL if it weren't quoted.
+    keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    load_raw(spark, sf_dir).write.mode("overwrite").options(**keep).csv(path)
+    return read_raw(spark, path=path)
+
+
+def q_read_product_master(spark, sf_dir):
+    path = f"{_lake(spark, sf_dir).root}/seed_csv"
+    load_product_master(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return read_product_master(spark, path).select(*PRODUCT.fieldNames())
+
+
 def q_bronze_dedup(spark, sf_dir):
     return layers.dedup_bronze(load_raw(spark, sf_dir))
 
@@ -87,8 +131,6 @@ def q_days_until_stockout(spark, sf_dir):
 
 
 def q_stock_status(spark, sf_dir):
-    from stockrisk.functions.risk import status_sort_order
-
     r = risk.with_risk(risk.with_usage(risk.with_deltas(_stg(spark, sf_dir))))
     return r.select(
         "product_id",
@@ -129,11 +171,11 @@ def q_fact_enriched(spark, sf_dir):
 
 
 def q_latest_snapshot_flag(spark, sf_dir):
-    return build_report_base(_models(spark, sf_dir)).select(*KEYS, "is_latest_snapshot")
+    return _flagged(spark, sf_dir).select(*KEYS, "is_latest_snapshot")
 
 
 def q_report_flags(spark, sf_dir):
-    return build_report_base(_models(spark, sf_dir)).select(
+    return _flagged(spark, sf_dir).select(
         "warehouse_product_snapshot_key",
         *KEYS,
         "at_risk_flag",
@@ -144,17 +186,18 @@ def q_report_flags(spark, sf_dir):
 
 
 def q_horizon_buckets(spark, sf_dir):
-    return build_report_base(_models(spark, sf_dir)).select(*KEYS, "days_until_stockout", "stockout_horizon_bucket")
+    return _flagged(spark, sf_dir).select(*KEYS, "days_until_stockout", "stockout_horizon_bucket")
 
 
 def q_risk_scores(spark, sf_dir):
-    return build_report_base(_models(spark, sf_dir)).select(
+    return _flagged(spark, sf_dir).select(
         *KEYS, "qty_on_hand", "days_until_stockout", "risk_priority_score", "risk_priority_band"
     )
 
 
 def _latest_ranked(spark, sf_dir):
-    return build_report(_models(spark, sf_dir)).where(F.col("is_latest_snapshot"))
+    base = _flagged(spark, sf_dir)
+    return ranked_latest(base, pin(latest_order(base), "latest_order"))
 
 
 def q_rank_overall(spark, sf_dir):
@@ -173,7 +216,7 @@ def q_rpt_dashboard(spark, sf_dir):
 
 def q_dashboard_filtered(spark, sf_dir):
     return kpis.filter_report(
-        build_report(_models(spark, sf_dir)),
+        _published_report(spark, sf_dir),
         warehouses=DASHBOARD_WAREHOUSES,
         categories=DASHBOARD_CATEGORIES,
         date_from=DASHBOARD_FROM,
@@ -185,23 +228,29 @@ def q_dashboard_filtered(spark, sf_dir):
 
 
 def q_kpi_latest(spark, sf_dir):
-    return kpis.kpi_latest(build_report_base(_models(spark, sf_dir)))
+    return kpis.kpi_latest(_flagged(spark, sf_dir))
 
 
 def q_risk_trend(spark, sf_dir):
-    return kpis.risk_trend(build_report_base(_models(spark, sf_dir)))
+    return kpis.risk_trend(_flagged(spark, sf_dir))
 
 
 def q_warehouse_distribution(spark, sf_dir):
-    return kpis.warehouse_distribution(build_report_base(_models(spark, sf_dir)))
+    return kpis.warehouse_distribution(_flagged(spark, sf_dir))
 
 
 def q_top_products_at_risk(spark, sf_dir):
-    return kpis.top_products_at_risk(build_report_base(_models(spark, sf_dir)), K.DEFAULT_TOP_N)
+    product = dims.dim_product(load_product_master(spark, sf_dir))
+    return kpis.top_products_at_risk(_flagged(spark, sf_dir), K.DEFAULT_TOP_N, product=product)
+
+
+def q_top_distinct_products_at_risk(spark, sf_dir):
+    product = dims.dim_product(load_product_master(spark, sf_dir))
+    return kpis.top_products_at_risk(_flagged(spark, sf_dir), K.DEFAULT_TOP_N, per_product=True, product=product)
 
 
 def q_warehouse_risk_history(spark, sf_dir):
-    return kpis.warehouse_risk_history(build_report_base(_models(spark, sf_dir)))
+    return kpis.warehouse_risk_history(_flagged(spark, sf_dir))
 
 
 # --- data quality -------------------------------------------------------------
@@ -236,43 +285,84 @@ def q_dq_non_negative(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
-    m = _models(spark, sf_dir)
+    m = build_models(pin(_silver(spark, sf_dir), "silver"), load_product_master(spark, sf_dir))
     models = m.as_dict()
-    models["rpt_inventory_risk_dashboard"] = build_report(m)
+    models[P.REPORT] = pin(build_report(m), P.REPORT)
     return quality.quality_report(models)
 
 
-# --- sinks --------------------------------------------------------------------
+# --- sinks and published relations ----------------------------------------------
 
 
-def _lake(spark, sf_dir):
-    return run_pipeline(spark, load_raw(spark, sf_dir), root=shared_path(spark, "lake"))
+def _run_pipeline(spark, sf_dir):
+    return run_pipeline(spark, load_raw(spark, sf_dir), _lake(spark, sf_dir))
 
 
 def q_roundtrip_bronze(spark, sf_dir):
-    return _lake(spark, sf_dir).bronze.select(*RAW_COLUMNS)
+    _run_pipeline(spark, sf_dir)
+    lake = _lake(spark, sf_dir)
+    return read_layer(spark, f"{quoted(lake.bronze_db)}.{P.BRONZE}").select(*RAW_COLUMNS)
 
 
 def q_roundtrip_silver(spark, sf_dir):
-    return _lake(spark, sf_dir).silver.select(*SILVER_COLUMNS)
+    _run_pipeline(spark, sf_dir)
+    lake = _lake(spark, sf_dir)
+    return read_layer(spark, f"{quoted(lake.silver_db)}.{P.SILVER}").select(*SILVER_COLUMNS)
+
+
+def q_published_staging(spark, sf_dir):
+    """Staging through its catalog view over the stored silver table."""
+    _run_pipeline(spark, sf_dir)
+    lake = _lake(spark, sf_dir)
+    P.publish_staging(spark, lake)
+    return lake.table(spark, lake.marts_db, P.STAGING)
+
+
+def _publish_fact(spark, sf_dir):
+    lake = _lake(spark, sf_dir)
+    done = _run_pipeline(spark, sf_dir)
+    fct, counts = P.publish_fact(P.publish_staging(spark, lake), lake)
+    return lake, fct, done.counts | counts
+
+
+def q_published_fact(spark, sf_dir):
+    lake, _, _ = _publish_fact(spark, sf_dir)
+    return lake.table(spark, lake.marts_db, P.FACT)
+
+
+def _publish_dimensions(spark, sf_dir):
+    lake, fct, _ = _publish_fact(spark, sf_dir)
+    return lake, fct, P.publish_dimensions(fct, load_product_master(spark, sf_dir), lake)
+
+
+def _published_dimension(name: str) -> Query:
+    def query(spark, sf_dir):
+        lake, _, _ = _publish_dimensions(spark, sf_dir)
+        return lake.table(spark, lake.marts_db, name)
+
+    return query
+
+
+def _published_report(spark, sf_dir):
+    lake, fct, published = _publish_dimensions(spark, sf_dir)
+    P.publish_report(fct, published, lake)
+    return lake.table(spark, lake.marts_db, P.REPORT)
+
+
+def q_published_report(spark, sf_dir):
+    return _published_report(spark, sf_dir)
 
 
 def q_layer_row_counts(spark, sf_dir):
-    raw = load_raw(spark, sf_dir)
-    bronze = layers.dedup_bronze(raw)
-    silver = layers.to_silver(bronze)
-    stg = layers.stage(silver)
-    fct = risk.fact(stg)
-    parts = [("raw", raw), ("bronze", bronze), ("silver", silver), ("stg", stg), ("fct", fct)]
-    out = None
-    for name, df in parts:
-        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Rows of every layer, counted by the writes themselves: the raw table is scanned once."""
+    return P.layer_counts(spark, _publish_fact(spark, sf_dir)[2])
 
 
 QUERIES: dict[str, Query] = {
     "raw_scan": q_raw_scan,
+    "read_raw_table": q_read_raw_table,
+    "read_raw_csv": q_read_raw_csv,
+    "read_product_master": q_read_product_master,
     "bronze_dedup": q_bronze_dedup,
     "silver_snapshot": q_silver_snapshot,
     "stg_inventory": q_stg_inventory,
@@ -298,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "risk_trend": q_risk_trend,
     "warehouse_distribution": q_warehouse_distribution,
     "top_products_at_risk": q_top_products_at_risk,
+    "top_distinct_products_at_risk": q_top_distinct_products_at_risk,
     "warehouse_risk_history": q_warehouse_risk_history,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
@@ -308,6 +399,12 @@ QUERIES: dict[str, Query] = {
     "dq_report": q_dq_report,
     "roundtrip_bronze": q_roundtrip_bronze,
     "roundtrip_silver": q_roundtrip_silver,
+    "published_staging": q_published_staging,
+    "published_fact": q_published_fact,
+    "published_dim_product": _published_dimension("dim_product"),
+    "published_dim_warehouse": _published_dimension("dim_warehouse"),
+    "published_dim_date": _published_dimension("dim_date"),
+    "published_report": q_published_report,
     "layer_row_counts": q_layer_row_counts,
 }
 

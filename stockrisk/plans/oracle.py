@@ -1,9 +1,10 @@
 """Independent SQL (DuckDB dialect) for every catalogued query.
 
-Written from the model definitions, not from the Spark code: the dedup is a
-ranked window here (a hash aggregate in Spark), the latest date an
-unpartitioned window, the ranks plain ``row_number``. The driver's tables
-``lineitem`` and ``part`` are registered as views.
+Written from the rules of the models, not from the Spark code or any model's
+SQL. Thresholds, labels and scores stand in two small tables that rows are
+joined to by range; movements are differences floored at zero; the latest
+date is a scalar subquery; ranks are taken over the latest rows alone and
+joined back by key. The driver's tables ``lineitem`` and ``part`` are views.
 
 Dialect notes: ``||`` propagates NULL like Spark's ``concat`` (DuckDB's
 ``concat`` skips NULLs); ``sum`` of bigint is HUGEINT in DuckDB, so sums are
@@ -12,204 +13,142 @@ cast back; ``isodow`` is Monday=1.
 
 from __future__ import annotations
 
+from stockrisk.functions.text import EDGE_WHITESPACE
 from stockrisk.operators.quality import SUITE, Check
 from stockrisk.plans import catalog as C
+from stockrisk.sources import fixture as X
 
-_TRIM = r"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
+_WHITE = " || ".join(f"chr({ord(c)})" for c in EDGE_WHITESPACE)
 
 
 def _trim(c: str) -> str:
-    return _TRIM.format(c=c)
+    return f"trim({c}, {_WHITE})"
 
 
 CTES: dict[str, str] = {}
 
-CTES["raw"] = """
+CTES["raw"] = f"""
 SELECT
-  CASE WHEN (l_partkey // 10) % 7 = 0 THEN '  ' ELSE '' END
-    || printf('SKU%06d', l_partkey // 10)
-    || CASE WHEN (l_partkey // 10) % 11 = 0 THEN ' ' ELSE '' END AS product_id,
-  printf('WH%02d', l_suppkey % 4 + 1) AS warehouse_id,
-  CASE WHEN l_orderkey % 97 = 0 THEN NULL
-       ELSE CAST(greatest(0, l_quantity - 10) + ((l_partkey // 10) % 6) * 40 AS BIGINT) END AS qty_on_hand,
-  CASE WHEN l_orderkey % 89 = 0 THEN ' '
-       WHEN l_orderkey % 83 = 0 THEN NULL
-       ELSE strftime(DATE '1995-01-01'
-              + CAST(30 * ((CAST(l_shipdate AS DATE) - DATE '1995-01-01') // 30) AS INTEGER), '%-m/%-d/%Y')
-  END AS load_dt
-FROM lineitem
-WHERE CAST(l_shipdate AS DATE) < DATE '1995-01-01' + 2340
+  if(k % {X.LEADING_PAD_EVERY} = 0, '  ', '')
+    || if(l_orderkey % {X.NEW_CODE_EVERY} = 0, '{X.NEW_CODE_PREFIX}', '{X.CODE_PREFIX}') || printf('%06d', k)
+    || if(k % {X.TRAILING_PAD_EVERY} = 0, ' ', '') AS product_id,
+  printf('WH%02d', l_suppkey % {X.WAREHOUSES} + 1) AS warehouse_id,
+  if(l_orderkey % {X.NULL_QTY_EVERY} = 0, NULL,
+     CAST(greatest(0, l_quantity - {X.QTY_FLOOR}) + (k % {X.QTY_CLASSES}) * {X.QTY_STEP_PER_CLASS} AS BIGINT)) AS qty_on_hand,
+  CASE WHEN l_orderkey % {X.BLANK_DATE_EVERY} = 0 THEN ' '
+       WHEN l_orderkey % {X.NULL_DATE_EVERY} = 0 THEN NULL
+       ELSE strftime(start + CAST(floor((CAST(l_shipdate AS DATE) - start) / {X.PERIOD_DAYS}.0) * {X.PERIOD_DAYS} AS INTEGER),
+                     '%-m/%-d/%Y') END AS load_dt
+FROM (SELECT *, l_partkey // {X.PARTS_PER_PRODUCT} AS k, DATE '{X.PERIOD_ORIGIN.isoformat()}' AS start FROM lineitem) AS l
 """
 
-CTES["seed"] = """
-SELECT printf('SKU%06d', p_partkey // 10) AS product_id,
-       CAST(p_name AS VARCHAR) AS product_name,
-       CAST(p_type AS VARCHAR) AS category
-FROM part
-WHERE p_partkey % 10 = 0 AND (p_partkey // 10) % 13 <> 5
+CTES["seed"] = f"""
+SELECT printf('{X.CODE_PREFIX}%06d', p_partkey // {X.PARTS_PER_PRODUCT}) AS product_id,
+       arg_min(p_name, p_partkey) AS product_name,
+       arg_min(p_type, p_partkey) AS category
+FROM part GROUP BY 1
 """
 
 CTES["bronze"] = """
-SELECT product_id, warehouse_id, qty_on_hand, load_dt
-FROM raw
-QUALIFY row_number() OVER (PARTITION BY product_id, warehouse_id, load_dt
-                           ORDER BY qty_on_hand DESC NULLS LAST) = 1
+SELECT product_id, warehouse_id, max(qty_on_hand) AS qty_on_hand, load_dt
+FROM raw GROUP BY product_id, warehouse_id, load_dt
 """
 
 CTES["silver"] = "SELECT product_id, warehouse_id, load_dt, qty_on_hand FROM bronze"
 
-CTES["stg"] = f"""
-SELECT CAST({_trim('product_id')} AS VARCHAR) AS product_id,
-       CAST({_trim('warehouse_id')} AS VARCHAR) AS warehouse_id,
-       CAST(CASE WHEN {_trim('load_dt')} <> '' THEN strptime({_trim('load_dt')}, '%m/%d/%Y') END AS DATE)
-         AS snapshot_date,
-       CAST(qty_on_hand AS BIGINT) AS qty_on_hand
-FROM silver
-WHERE product_id IS NOT NULL AND warehouse_id IS NOT NULL AND load_dt IS NOT NULL
-  AND {_trim('load_dt')} <> '' AND qty_on_hand IS NOT NULL
+CTES["complete"] = f"""
+SELECT product_id, warehouse_id, {_trim('load_dt')} AS day_text, qty_on_hand FROM silver
+WHERE (product_id || warehouse_id || load_dt) IS NOT NULL AND qty_on_hand IS NOT NULL
 """
 
-CTES["prev"] = """
-SELECT product_id, warehouse_id, snapshot_date, qty_on_hand,
-       lag(qty_on_hand) OVER (PARTITION BY product_id, warehouse_id ORDER BY snapshot_date) AS prev_qty_on_hand
-FROM stg
+CTES["stg"] = f"""
+SELECT {_trim('product_id')} AS product_id, {_trim('warehouse_id')} AS warehouse_id,
+       CAST(strptime(day_text, '%m/%d/%Y') AS DATE) AS snapshot_date, qty_on_hand
+FROM complete WHERE length(day_text) > 0
 """
 
-CTES["deltas"] = """
-SELECT product_id, warehouse_id, snapshot_date, qty_on_hand, prev_qty_on_hand,
-       CAST(qty_on_hand - prev_qty_on_hand AS BIGINT) AS inventory_delta,
-       CAST(CASE WHEN prev_qty_on_hand IS NULL THEN 0
-                 WHEN qty_on_hand - prev_qty_on_hand < 0 THEN abs(qty_on_hand - prev_qty_on_hand)
-                 ELSE 0 END AS BIGINT) AS daily_units_sold_proxy,
-       CAST(CASE WHEN prev_qty_on_hand IS NULL THEN 0
-                 WHEN qty_on_hand - prev_qty_on_hand > 0 THEN qty_on_hand - prev_qty_on_hand
-                 ELSE 0 END AS BIGINT) AS received_units
-FROM prev
+CTES["moves"] = """
+SELECT *, qty_on_hand - before AS inventory_delta,
+       if(before IS NULL, 0, greatest(before - qty_on_hand, 0)) AS daily_units_sold_proxy,
+       if(before IS NULL, 0, greatest(qty_on_hand - before, 0)) AS received_units
+FROM (SELECT *, lag(qty_on_hand) OVER (PARTITION BY warehouse_id, product_id ORDER BY snapshot_date) AS before FROM stg) AS s
 """
 
-CTES["usage"] = """
-SELECT *, avg(daily_units_sold_proxy) OVER (
-         PARTITION BY product_id, warehouse_id ORDER BY snapshot_date
-         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS avg_daily_usage_7d
-FROM deltas
+CTES["pace"] = """
+SELECT snapshot_date, product_id, warehouse_id, qty_on_hand, before AS prev_qty_on_hand, inventory_delta,
+       CAST(daily_units_sold_proxy AS BIGINT) AS daily_units_sold_proxy, CAST(received_units AS BIGINT) AS received_units,
+       avg(daily_units_sold_proxy) OVER recent AS avg_daily_usage_7d,
+       qty_on_hand / nullif(avg(daily_units_sold_proxy) OVER recent, 0) AS days_until_stockout
+FROM moves
+WINDOW recent AS (PARTITION BY warehouse_id, product_id ORDER BY snapshot_date ROWS 6 PRECEDING)
 """
 
-CTES["risk"] = """
-SELECT *,
-  CASE WHEN avg_daily_usage_7d > 0 THEN qty_on_hand / avg_daily_usage_7d ELSE NULL END AS days_until_stockout,
-  CASE WHEN avg_daily_usage_7d > 0 AND qty_on_hand / avg_daily_usage_7d <= 14 THEN true ELSE false END
-    AS reorder_flag,
-  CASE WHEN avg_daily_usage_7d IS NULL OR avg_daily_usage_7d = 0 THEN 'HEALTHY'
-       WHEN qty_on_hand / avg_daily_usage_7d <= 7 THEN 'CRITICAL'
-       WHEN qty_on_hand / avg_daily_usage_7d <= 14 THEN 'LOW'
-       WHEN qty_on_hand / avg_daily_usage_7d <= 30 THEN 'MEDIUM'
-       ELSE 'HEALTHY' END AS stock_status
-FROM usage
+# FIXED VALUES: what a horizon of days means, and what a score is called.
+CTES["horizons"] = """
+SELECT * FROM (VALUES
+  (-1e300, 3.0, '0-3 days', 95, 'CRITICAL', 1),
+  (3.0, 7.0, '4-7 days', 85, 'CRITICAL', 1),
+  (7.0, 14.0, '8-14 days', 70, 'LOW', 2),
+  (14.0, 30.0, '15-30 days', 40, 'MEDIUM', 3),
+  (30.0, 1e300, '31+ days', 15, 'HEALTHY', 4)) AS v(over_days, upto_days, bucket, score, status, urgency)
 """
-
-_FCT_SELECT = """
-SELECT CAST(snapshot_date AS DATE) AS snapshot_date,
-       CAST(product_id AS VARCHAR) AS product_id,
-       CAST(warehouse_id AS VARCHAR) AS warehouse_id,
-       CAST(qty_on_hand AS BIGINT) AS qty_on_hand,
-       CAST(prev_qty_on_hand AS BIGINT) AS prev_qty_on_hand,
-       CAST(inventory_delta AS BIGINT) AS inventory_delta,
-       CAST(daily_units_sold_proxy AS BIGINT) AS daily_units_sold_proxy,
-       CAST(received_units AS BIGINT) AS received_units,
-       CAST(avg_daily_usage_7d AS DOUBLE) AS avg_daily_usage_7d,
-       CAST(days_until_stockout AS DOUBLE) AS days_until_stockout,
-       CAST(reorder_flag AS BOOLEAN) AS reorder_flag,
-       CAST(stock_status AS VARCHAR) AS stock_status
-FROM risk
+CTES["bands"] = """
+SELECT * FROM (VALUES
+  (90, 101, 'P1 - Immediate'), (70, 90, 'P2 - Urgent'), (40, 70, 'P3 - Watch'), (0, 40, 'P4 - Healthy')
+) AS v(from_score, below_score, band)
 """
-CTES["fct"] = _FCT_SELECT
 
-CTES["dim_product"] = """
-SELECT CAST(product_id AS VARCHAR) AS product_id,
-       CAST(product_name AS VARCHAR) AS product_name,
-       CAST(category AS VARCHAR) AS category
-FROM seed
+CTES["judged"] = """
+SELECT p.*, coalesce(p.days_until_stockout <= 14, false) AS reorder_flag, coalesce(h.status, 'HEALTHY') AS stock_status,
+       coalesce(h.urgency, 4) AS stock_status_sort_order, coalesce(h.bucket, 'No usage signal') AS stockout_horizon_bucket,
+       if(p.qty_on_hand = 0, 100, coalesce(h.score, 5)) AS risk_priority_score
+FROM pace AS p
+LEFT JOIN horizons AS h ON p.days_until_stockout > h.over_days AND p.days_until_stockout <= h.upto_days
 """
 
-CTES["dim_warehouse"] = """
-SELECT DISTINCT CAST(warehouse_id AS VARCHAR) AS warehouse_id, CAST(warehouse_id AS VARCHAR) AS warehouse_name
-FROM stg WHERE warehouse_id IS NOT NULL
+CTES["fct"] = """
+SELECT snapshot_date, product_id, warehouse_id, qty_on_hand, prev_qty_on_hand, inventory_delta, daily_units_sold_proxy,
+       received_units, avg_daily_usage_7d, days_until_stockout, reorder_flag, stock_status
+FROM judged
 """
 
-CTES["dim_date"] = """
-SELECT CAST(date_day AS DATE) AS date_day,
-       CAST(year(date_day) AS BIGINT) AS year_num,
-       CAST(quarter(date_day) AS BIGINT) AS quarter_num,
-       CAST(month(date_day) AS BIGINT) AS month_num,
-       monthname(date_day) AS month_name,
-       CAST(week(date_day) AS BIGINT) AS week_num,
-       CAST(day(date_day) AS BIGINT) AS day_of_month,
-       CAST(isodow(date_day) AS BIGINT) AS day_of_week_num
-FROM (SELECT DISTINCT snapshot_date AS date_day FROM stg WHERE snapshot_date IS NOT NULL) AS d
-"""
+CTES["dim_product"] = "SELECT product_id, product_name, category FROM seed"
 
-CTES["enriched"] = """
-SELECT
-  CAST(f.snapshot_date AS VARCHAR) || '|' || f.product_id || '|' || f.warehouse_id AS warehouse_product_snapshot_key,
-  f.snapshot_date, d.year_num, d.quarter_num, d.month_num, d.month_name, d.week_num, d.day_of_month,
-  d.day_of_week_num, f.product_id, p.product_name, p.category, f.warehouse_id, w.warehouse_name,
-  f.qty_on_hand, f.prev_qty_on_hand, f.inventory_delta, f.daily_units_sold_proxy, f.received_units,
-  f.avg_daily_usage_7d, f.days_until_stockout, f.reorder_flag, f.stock_status,
-  CASE WHEN f.snapshot_date = max(f.snapshot_date) OVER () THEN true ELSE false END AS is_latest_snapshot,
-  CASE WHEN f.stock_status IN ('CRITICAL', 'LOW') THEN true ELSE false END AS at_risk_flag,
-  CASE WHEN f.qty_on_hand = 0 THEN true ELSE false END AS zero_inventory_flag,
-  CASE WHEN coalesce(f.prev_qty_on_hand, 0) > 0 AND f.qty_on_hand = 0 THEN true ELSE false END
-    AS stockout_event_flag,
-  CASE WHEN coalesce(f.received_units, 0) > 0 THEN true ELSE false END AS replenishment_event_flag,
-  CASE WHEN f.days_until_stockout IS NULL THEN 'No usage signal'
-       WHEN f.days_until_stockout <= 3 THEN '0-3 days'
-       WHEN f.days_until_stockout <= 7 THEN '4-7 days'
-       WHEN f.days_until_stockout <= 14 THEN '8-14 days'
-       WHEN f.days_until_stockout <= 30 THEN '15-30 days'
-       ELSE '31+ days' END AS stockout_horizon_bucket,
-  CASE f.stock_status WHEN 'CRITICAL' THEN 1 WHEN 'LOW' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END
-    AS stock_status_sort_order,
-  CASE WHEN f.qty_on_hand = 0 THEN 100
-       WHEN f.days_until_stockout IS NULL THEN 5
-       WHEN f.days_until_stockout <= 3 THEN 95
-       WHEN f.days_until_stockout <= 7 THEN 85
-       WHEN f.days_until_stockout <= 14 THEN 70
-       WHEN f.days_until_stockout <= 30 THEN 40
-       ELSE 15 END AS risk_priority_score
-FROM fct f
-LEFT JOIN dim_product p ON f.product_id = p.product_id
-LEFT JOIN dim_warehouse w ON f.warehouse_id = w.warehouse_id
-LEFT JOIN dim_date d ON f.snapshot_date = d.date_day
+CTES["dim_warehouse"] = "SELECT warehouse_id, warehouse_id AS warehouse_name FROM stg GROUP BY ALL"
+
+CTES["dim_date"] = """
+SELECT snapshot_date AS date_day, year(snapshot_date) AS year_num, quarter(snapshot_date) AS quarter_num,
+       month(snapshot_date) AS month_num, monthname(snapshot_date) AS month_name, week(snapshot_date) AS week_num,
+       day(snapshot_date) AS day_of_month, isodow(snapshot_date) AS day_of_week_num
+FROM stg GROUP BY snapshot_date
 """
 
-CTES["ranked"] = """
-SELECT *,
-  CASE WHEN risk_priority_score >= 90 THEN 'P1 - Immediate'
-       WHEN risk_priority_score >= 70 THEN 'P2 - Urgent'
-       WHEN risk_priority_score >= 40 THEN 'P3 - Watch'
-       ELSE 'P4 - Healthy' END AS risk_priority_band,
-  CASE WHEN is_latest_snapshot THEN CAST(row_number() OVER (
-         PARTITION BY snapshot_date
-         ORDER BY risk_priority_score DESC, coalesce(days_until_stockout, 999999) ASC,
-                  qty_on_hand ASC, product_id ASC, warehouse_id ASC) AS BIGINT) END AS latest_rank_overall,
-  CASE WHEN is_latest_snapshot THEN CAST(row_number() OVER (
-         PARTITION BY snapshot_date, warehouse_id
-         ORDER BY risk_priority_score DESC, coalesce(days_until_stockout, 999999) ASC,
-                  qty_on_hand ASC, product_id ASC) AS BIGINT) END AS latest_rank_in_warehouse
-FROM enriched
+CTES["places"] = """
+SELECT snapshot_date, product_id, warehouse_id, row_number() OVER urgency AS latest_rank_overall,
+       row_number() OVER (PARTITION BY warehouse_id ORDER BY risk_priority_score DESC, coalesce(days_until_stockout, 999999),
+                          qty_on_hand, product_id) AS latest_rank_in_warehouse
+FROM judged
+WHERE snapshot_date = (SELECT max(snapshot_date) FROM judged)
+WINDOW urgency AS (ORDER BY risk_priority_score DESC, coalesce(days_until_stockout, 999999), qty_on_hand, product_id, warehouse_id)
 """
 
-REPORT_SELECT = """
-SELECT warehouse_product_snapshot_key, snapshot_date, year_num, quarter_num, month_num, month_name, week_num,
-       day_of_month, day_of_week_num, product_id, product_name, category, warehouse_id, warehouse_name,
-       qty_on_hand, prev_qty_on_hand, inventory_delta, daily_units_sold_proxy, received_units,
-       avg_daily_usage_7d, days_until_stockout, reorder_flag, stock_status, stock_status_sort_order,
-       is_latest_snapshot, at_risk_flag, zero_inventory_flag, stockout_event_flag, replenishment_event_flag,
-       stockout_horizon_bucket, risk_priority_score, risk_priority_band, latest_rank_overall,
-       latest_rank_in_warehouse
-FROM ranked
+CTES["rpt"] = """
+SELECT j.snapshot_date || '|' || product_id || '|' || warehouse_id AS warehouse_product_snapshot_key,
+       j.* EXCLUDE (product_id, warehouse_id), j.product_id, j.warehouse_id,
+       d.* EXCLUDE (date_day), product_name, category, warehouse_name,
+       j.snapshot_date = (SELECT max(snapshot_date) FROM judged) AS is_latest_snapshot,
+       coalesce(stock_status_sort_order < 3, false) AS at_risk_flag,
+       coalesce(qty_on_hand = 0, false) AS zero_inventory_flag,
+       coalesce(qty_on_hand = 0 AND prev_qty_on_hand > 0, false) AS stockout_event_flag,
+       coalesce(received_units > 0, false) AS replenishment_event_flag,
+       band AS risk_priority_band, latest_rank_overall, latest_rank_in_warehouse
+FROM judged AS j
+JOIN bands ON risk_priority_score >= from_score AND risk_priority_score < below_score
+LEFT JOIN places USING (snapshot_date, product_id, warehouse_id)
+LEFT JOIN dim_product USING (product_id)
+LEFT JOIN dim_warehouse USING (warehouse_id)
+LEFT JOIN dim_date AS d ON j.snapshot_date = d.date_day
 """
-CTES["rpt"] = REPORT_SELECT
 
 # Dependencies, in definition order.
 _ORDER = list(CTES)
@@ -218,18 +157,19 @@ _DEPS = {
     "seed": [],
     "bronze": ["raw"],
     "silver": ["bronze"],
-    "stg": ["silver"],
-    "prev": ["stg"],
-    "deltas": ["prev"],
-    "usage": ["deltas"],
-    "risk": ["usage"],
-    "fct": ["risk"],
+    "complete": ["silver"],
+    "stg": ["complete"],
+    "moves": ["stg"],
+    "pace": ["moves"],
+    "horizons": [],
+    "bands": [],
+    "judged": ["pace", "horizons"],
+    "fct": ["judged"],
     "dim_product": ["seed"],
     "dim_warehouse": ["stg"],
     "dim_date": ["stg"],
-    "enriched": ["fct", "dim_product", "dim_warehouse", "dim_date"],
-    "ranked": ["enriched"],
-    "rpt": ["ranked"],
+    "places": ["judged"],
+    "rpt": ["judged", "bands", "places", "dim_product", "dim_warehouse", "dim_date"],
 }
 
 
@@ -326,6 +266,9 @@ def oracle_sql() -> dict[str, str]:
     rpt_base = "SELECT * FROM rpt"
     sql = {
         "raw_scan": with_models(["raw"], "SELECT * FROM raw"),
+        "read_raw_table": with_models(["raw"], "SELECT * FROM raw"),
+        "read_raw_csv": with_models(["raw"], "SELECT * FROM raw"),
+        "read_product_master": with_models(["seed"], "SELECT * FROM seed"),
         "bronze_dedup": with_models(["bronze"], "SELECT * FROM bronze"),
         "silver_snapshot": with_models(["silver"], "SELECT * FROM silver"),
         "stg_inventory": with_models(["stg"], "SELECT * FROM stg"),
@@ -343,18 +286,17 @@ def oracle_sql() -> dict[str, str]:
                        AND {_trim('load_dt')} <> '' AND qty_on_hand IS NOT NULL)
             """,
         ),
-        "inventory_deltas": with_models(["deltas"], f"SELECT {fact_cols} FROM deltas"),
-        "rolling_usage": with_models(["usage"], f"SELECT {fact_cols}, avg_daily_usage_7d FROM usage"),
+        "inventory_deltas": with_models(["pace"], f"SELECT {fact_cols} FROM pace"),
+        "rolling_usage": with_models(["pace"], f"SELECT {fact_cols}, avg_daily_usage_7d FROM pace"),
         "days_until_stockout": with_models(
-            ["risk"],
+            ["pace"],
             "SELECT product_id, warehouse_id, snapshot_date, qty_on_hand, avg_daily_usage_7d, "
-            "days_until_stockout FROM risk",
+            "days_until_stockout FROM pace",
         ),
         "stock_status": with_models(
-            ["risk"],
+            ["judged"],
             "SELECT product_id, warehouse_id, snapshot_date, days_until_stockout, reorder_flag, stock_status, "
-            "CASE stock_status WHEN 'CRITICAL' THEN 1 WHEN 'LOW' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END "
-            "AS stock_status_sort_order FROM risk",
+            "stock_status_sort_order FROM judged",
         ),
         "fct_inventory_risk": with_models(["fct"], "SELECT * FROM fct"),
         "dim_product": with_models(["dim_product"], "SELECT * FROM dim_product"),
@@ -435,6 +377,17 @@ def oracle_sql() -> dict[str, str]:
             LIMIT {C.K.DEFAULT_TOP_N}
             """,
         ),
+        "top_distinct_products_at_risk": with_models(
+            ["rpt"],
+            f"""
+            SELECT product_id, product_name, category, warehouse_id, qty_on_hand, avg_daily_usage_7d,
+                   days_until_stockout, stock_status
+            FROM rpt WHERE is_latest_snapshot AND days_until_stockout IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY days_until_stockout, warehouse_id) = 1
+            ORDER BY days_until_stockout, product_id
+            LIMIT {C.K.DEFAULT_TOP_N}
+            """,
+        ),
         "warehouse_risk_history": with_models(
             ["rpt"],
             """
@@ -497,21 +450,23 @@ def oracle_sql() -> dict[str, str]:
               OR coalesce(days_until_stockout, 0) < 0
             """,
             extra=[
-                (
-                    "shifted",
-                    f"SELECT product_id, warehouse_id, snapshot_date, qty_on_hand - {C.NEGATIVE_SHIFT} AS qty_on_hand "
-                    "FROM stg",
-                ),
-                ("prev", CTES["prev"].replace("FROM stg", "FROM shifted")),
-                ("deltas", CTES["deltas"]),
-                ("usage", CTES["usage"]),
-                ("risk", CTES["risk"]),
+                ("shifted", f"SELECT * REPLACE (qty_on_hand - {C.NEGATIVE_SHIFT} AS qty_on_hand) FROM stg"),
+                ("horizons", CTES["horizons"]),
+                ("moves", CTES["moves"].replace("FROM stg", "FROM shifted")),
+                ("pace", CTES["pace"]),
+                ("judged", CTES["judged"]),
                 ("fct", CTES["fct"]),
             ],
         ),
         "dq_report": _quality_sql(),
         "roundtrip_bronze": with_models(["bronze"], "SELECT * FROM bronze"),
         "roundtrip_silver": with_models(["silver"], "SELECT * FROM silver"),
+        "published_staging": with_models(["stg"], "SELECT * FROM stg"),
+        "published_fact": with_models(["fct"], "SELECT * FROM fct"),
+        "published_dim_product": with_models(["dim_product"], "SELECT * FROM dim_product"),
+        "published_dim_warehouse": with_models(["dim_warehouse"], "SELECT * FROM dim_warehouse"),
+        "published_dim_date": with_models(["dim_date"], "SELECT * FROM dim_date"),
+        "published_report": with_models(["rpt"], rpt_base),
         "layer_row_counts": with_models(
             ["fct"],
             """

@@ -2,63 +2,121 @@
 
 * :func:`run_pipeline` -- raw -> bronze (dedup) -> silver, both written as
   full-refresh tables, with layer row counts observed during the writes.
-* :func:`build_models` -- silver -> staging view -> fact table and
-  dimension tables, pinned to the shared folder so downstream models scan
-  stored columns instead of recomputing windows.
-* :func:`build_report` -- the dashboard report over the stored models.
+* :func:`publish_staging`, :func:`publish_fact`, :func:`publish_dimensions`,
+  :func:`publish_report` -- the staging view over the stored silver table and
+  the marts as tables; each step reads what the one before it published.
+* :func:`run_all` -- all of it, then the quality checks on the stored tables.
+
+Published tables are managed by the catalog, or lie under ``root``, a stable
+folder of the caller's; a rerun replaces them. Only the sorted order keys of
+the ranks are scratch, and go when the run ends.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stockrisk.operators.dims import dim_date, dim_product, dim_warehouse
-from stockrisk.operators.layers import dedup_bronze, stage, to_silver
-from stockrisk.operators.reporting import report, report_base
+from stockrisk.operators.layers import dedup_bronze, stage, stage_select, to_silver
+from stockrisk.operators.quality import quality_report
+from stockrisk.operators.reporting import latest_order, report, report_base
 from stockrisk.operators.risk import fact
-from stockrisk.session import shared_path
-from stockrisk.sources.sinks import ensure_database, materialize, pin, write_layer
+from stockrisk.sources.sinks import Scratch, create_view, ensure_database, pin, quoted, write_layer
+
+# FIXED VALUES: published names.
+BRONZE_DB, SILVER_DB, MARTS_DB = "inventory_bronze_db", "inventory_silver_db", "inventory_marts_db"
+BRONZE, SILVER, STAGING, FACT = "inventory_bronze", "inventory_silver", "stg_inventory_silver", "fct_inventory_risk"
+REPORT = "rpt_inventory_risk_dashboard"
+
+
+@dataclass(frozen=True)
+class Lake:
+    """Where the tables are published: database names, root folder (None: managed by the catalog), format."""
+
+    root: str | None = None
+    bronze_db: str = BRONZE_DB
+    silver_db: str = SILVER_DB
+    marts_db: str = MARTS_DB
+    fmt: str = "parquet"
+
+    def path(self, db: str, table: str) -> str | None:
+        return f"{self.root.rstrip('/')}/{db}/{table}" if self.root else None
+
+    def write(self, df: DataFrame, db: str, table: str, partition_by: list[str] | None = None) -> tuple[DataFrame, int]:
+        """Publish a table; the stored table and its row count."""
+        ensure_database(df.sparkSession, db)
+        done = write_layer(df, db, table, self.path(db, table), self.fmt, partition_by=partition_by)
+        return df.sparkSession.table(done.table), done.rows
+
+    def table(self, spark: SparkSession, db: str, name: str) -> DataFrame:
+        return spark.table(f"{quoted(db)}.{quoted(name)}")
 
 
 @dataclass
 class PipelineResult:
     bronze: DataFrame
     silver: DataFrame
-    counts: dict
+    counts: dict = field(default_factory=dict)
 
 
-def run_pipeline(
-    spark: SparkSession,
-    raw: DataFrame,
-    bronze_db: str = "inventory_bronze_db",
-    silver_db: str = "inventory_silver_db",
-    root: str | None = None,
-    fmt: str = "parquet",
-) -> PipelineResult:
+def run_pipeline(spark: SparkSession, raw: DataFrame, lake: Lake = Lake()) -> PipelineResult:
     """Bronze and silver jobs: dedup, project, overwrite; counts without extra scans."""
-    root = (root or shared_path(spark, "lake")).rstrip("/")
     raw_obs = Observation("raw_rows")
     counted_raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
-    ensure_database(spark, bronze_db, f"{root}/{bronze_db}.db")
-    bronze_w = write_layer(dedup_bronze(counted_raw), bronze_db, "inventory_bronze", f"{root}/bronze", fmt)
-    bronze = spark.table(bronze_w.table)
-    ensure_database(spark, silver_db, f"{root}/{silver_db}.db")
-    silver_w = write_layer(to_silver(bronze), silver_db, "inventory_silver", f"{root}/silver", fmt)
-    counts = {"raw": int(raw_obs.get["rows"]), "bronze": bronze_w.rows, "silver": silver_w.rows}
-    return PipelineResult(bronze, spark.table(silver_w.table), counts)
+    bronze, bronze_rows = lake.write(dedup_bronze(counted_raw), lake.bronze_db, BRONZE)
+    silver, silver_rows = lake.write(to_silver(bronze), lake.silver_db, SILVER)
+    return PipelineResult(bronze, silver, {"raw": int(raw_obs.get["rows"]), "bronze": bronze_rows, "silver": silver_rows})
+
+
+def publish_staging(spark: SparkSession, lake: Lake = Lake()) -> DataFrame:
+    """Staging as a view over the stored silver table."""
+    ensure_database(spark, lake.marts_db)
+    return create_view(spark, lake.marts_db, STAGING, stage_select(f"{quoted(lake.silver_db)}.{quoted(SILVER)}"))
+
+
+def publish_fact(stg: DataFrame, lake: Lake = Lake()) -> tuple[DataFrame, dict]:
+    """The fact table, and the rows of staging and fact counted by its write.
+
+    Sorted by date inside each file, so date predicates (latest snapshot,
+    dashboard ranges) skip row groups by their statistics.
+    """
+    stg_obs = Observation("stg_rows")
+    observed = stg.observe(stg_obs, F.count(F.lit(1)).alias("rows"))
+    fct, rows = lake.write(fact(observed).sortWithinPartitions("snapshot_date"), lake.marts_db, FACT)
+    return fct, {"stg": int(stg_obs.get["rows"]), "fct": rows}
+
+
+def publish_dimensions(fct: DataFrame, seed: DataFrame, lake: Lake = Lake()) -> dict[str, DataFrame]:
+    """The product master and the three dimensions as tables.
+
+    Warehouses and dates are the distinct values of the stored fact, which
+    has exactly the staging rows: two columns of a table are read.
+    """
+    master, _ = lake.write(seed, lake.marts_db, "product_master")
+    models = {"dim_product": dim_product(master), "dim_warehouse": dim_warehouse(fct), "dim_date": dim_date(fct)}
+    return {"product_master": master} | {name: lake.write(df, lake.marts_db, name)[0] for name, df in models.items()}
 
 
-def layer_counts(spark: SparkSession, result: PipelineResult) -> DataFrame:
-    """The observed row counts of a pipeline run as a (layer, row_count) table."""
-    rows = [(layer, int(n)) for layer, n in result.counts.items()]
-    return spark.createDataFrame(rows, "layer string, row_count bigint")
+def publish_report(fct: DataFrame, dims: dict[str, DataFrame], lake: Lake = Lake()) -> DataFrame:
+    """The dashboard report as a table, one folder per snapshot date."""
+    base = report_base(fct, dims["dim_product"], dims["dim_warehouse"], dims["dim_date"])
+    with Scratch(fct.sparkSession) as pin_here:
+        rpt = report(base, pin_here(latest_order(base), "latest_order"))
+        return lake.write(rpt, lake.marts_db, REPORT, partition_by=["snapshot_date"])[0]
+
+
+def layer_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Observed row counts as a (layer, row_count) table."""
+    return spark.createDataFrame([(layer, int(n)) for layer, n in counts.items()], "layer string, row_count bigint")
 
 
 @dataclass
 class Models:
+    """The models of one silver relation, stored as pins: what single queries work on."""
+
     silver: DataFrame
     stg: DataFrame
     fct: DataFrame
@@ -69,9 +127,9 @@ class Models:
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {
-            "inventory_silver": self.silver,
-            "stg_inventory_silver": self.stg,
-            "fct_inventory_risk": self.fct,
+            SILVER: self.silver,
+            STAGING: self.stg,
+            FACT: self.fct,
             "product_master": self.product_master,
             "dim_product": self.dim_product,
             "dim_warehouse": self.dim_warehouse,
@@ -79,30 +137,16 @@ class Models:
         }
 
 
-def build_models(silver: DataFrame, seed: DataFrame, pin_tables: bool = True) -> Models:
-    """Staging (a view) and the star schema (tables).
+def pinned_fact(silver: DataFrame) -> DataFrame:
+    return pin(fact(stage(silver)).sortWithinPartitions("snapshot_date"), FACT)
 
-    The fact is written sorted by date inside each file, so date predicates
-    (latest snapshot, dashboard ranges) skip row groups by their statistics.
-    Warehouse and date dimensions are the distinct values of the stored
-    fact, which has exactly the staging rows, so they read two columns of a
-    table instead of re-running the staging pipeline.
-    """
-    stg = stage(silver)
-    fct = fact(stg)
-    product = dim_product(seed)
-    if pin_tables:
-        fct = pin(fct.sortWithinPartitions("snapshot_date"), "fct_inventory_risk")
-        product = pin(product, "dim_product")
-    warehouse = dim_warehouse(fct if pin_tables else stg)
-    date = dim_date(fct if pin_tables else stg)
-    if pin_tables:
-        # One file each. ``repartition`` (not ``coalesce``) keeps the final
-        # distinct aggregate parallel and moves only its output: one row per
-        # warehouse or per calendar day.
-        warehouse = pin(warehouse.repartition(1), "dim_warehouse")
-        date = pin(date.repartition(1), "dim_date")
-    return Models(silver, stg, fct, seed, product, warehouse, date)
+
+def build_models(silver: DataFrame, seed: DataFrame) -> Models:
+    """Staging and the star schema of one silver relation, fact and dimensions pinned."""
+    fct = pinned_fact(silver)
+    product = pin(dim_product(seed), "dim_product")
+    warehouse, date = pin(dim_warehouse(fct), "dim_warehouse"), pin(dim_date(fct), "dim_date")
+    return Models(silver, stage(silver), fct, seed, product, warehouse, date)
 
 
 def build_report_base(m: Models) -> DataFrame:
@@ -110,53 +154,28 @@ def build_report_base(m: Models) -> DataFrame:
 
 
 def build_report(m: Models) -> DataFrame:
-    return report(m.fct, m.dim_product, m.dim_warehouse, m.dim_date)
-
-
-def publish(m: Models, rpt: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Register the models under their names: staging as a view, marts as tables."""
-    out = {"stg_inventory_silver": materialize(m.stg, "stg_inventory_silver", "view")}
-    for name, df in [
-        ("fct_inventory_risk", m.fct),
-        ("dim_product", m.dim_product),
-        ("dim_warehouse", m.dim_warehouse),
-        ("dim_date", m.dim_date),
-    ]:
-        out[name] = materialize(df, name, "view")
-    if rpt is not None:
-        # Dashboards filter by date: one folder per snapshot date prunes them.
-        out["rpt_inventory_risk_dashboard"] = materialize(
-            rpt, "rpt_inventory_risk_dashboard", "table", partition_by=["snapshot_date"]
-        )
-    return out
+    base = build_report_base(m)
+    return report(base, pin(latest_order(base), "latest_order"))
 
 
 @dataclass
 class RunResult:
     pipeline: PipelineResult
-    models: Models
+    models: dict[str, DataFrame]
     report: DataFrame
     quality: DataFrame
 
 
-def run_all(
-    spark: SparkSession,
-    raw: DataFrame,
-    seed: DataFrame,
-    root: str | None = None,
-    fmt: str = "parquet",
-) -> RunResult:
+def run_all(spark: SparkSession, raw: DataFrame, seed: DataFrame, lake: Lake = Lake()) -> RunResult:
     """Everything in order: bronze and silver jobs, the models, the report, the checks.
 
-    The silver table written by the pipeline is the input of the models, as
-    in the published flow; the quality report is returned lazily.
+    Every step reads the tables the step before it published; the quality
+    report is returned lazily and reads them too.
     """
-    from stockrisk.operators.quality import quality_report
-
-    lake = run_pipeline(spark, raw, root=root, fmt=fmt)
-    models = build_models(lake.silver, seed)
-    published = publish(models, build_report(models))
-    rpt = published["rpt_inventory_risk_dashboard"]
-    checks = models.as_dict()
-    checks["rpt_inventory_risk_dashboard"] = rpt
-    return RunResult(lake, models, rpt, quality_report(checks))
+    done = run_pipeline(spark, raw, lake)
+    stg = publish_staging(spark, lake)
+    fct, counts = publish_fact(stg, lake)
+    dims = publish_dimensions(fct, seed, lake)
+    models = {SILVER: done.silver, STAGING: stg, FACT: fct, **dims, REPORT: publish_report(fct, dims, lake)}
+    done.counts.update(counts)
+    return RunResult(done, models, models[REPORT], quality_report(models))

@@ -1,4 +1,7 @@
-"""Explicit schemas and column orders of every layer (nothing is inferred)."""
+"""Explicit schemas and column orders of every layer (nothing is inferred).
+
+FIXED VALUES: names, types and orders must equal the published models.
+"""
 
 from pyspark.sql.types import (
     BooleanType,

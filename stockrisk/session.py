@@ -3,13 +3,12 @@
 Intermediate results that must be stable across re-evaluation (a sampled
 range sort, a fact table read twice) are written under the folder the
 cluster names in ``spark.checkpoint.dir``. That folder is read from the
-session; only when it is unset (unit tests, a laptop) is a fresh scratch
-folder created and registered.
+session and is never made up here: tests, the bench and the driver's entry
+point name one of their own where the session has none.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,21 +43,24 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; registered from a scratch folder only if unset."""
+    """The shared checkpoint folder; an error where the session names none."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            # A machine-local folder would vanish with the executor that wrote it.
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="stockrisk-ckpt-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark's own file systems keep it."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh location for a table written under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

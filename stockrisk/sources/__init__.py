@@ -1,20 +1 @@
 """Sources (raw snapshots, product seed, stored layers) and sinks."""
-
-from stockrisk.sources.fixture import load_product_master, load_raw, product_master, raw_snapshots
-from stockrisk.sources.readers import read_layer, read_product_master, read_raw
-from stockrisk.sources.sinks import WriteResult, ensure_database, materialize, pin, write_layer
-
-__all__ = [
-    "WriteResult",
-    "ensure_database",
-    "load_product_master",
-    "load_raw",
-    "materialize",
-    "pin",
-    "product_master",
-    "raw_snapshots",
-    "read_layer",
-    "read_product_master",
-    "read_raw",
-    "write_layer",
-]

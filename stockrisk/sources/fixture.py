@@ -2,13 +2,13 @@
 
 The models consume raw daily stock snapshots per (product, warehouse). The
 test and bench inputs are the driver's TPC-H-like tables, so this adapter
-derives a snapshot relation from them with Spark column expressions. The
+derives a snapshot relation from them with Spark column expressions: one raw
+snapshot for every order line, one product for every group of parts. The
 relation is dirty on purpose: duplicate snapshots, padded keys, NULL
-quantities, NULL and blank dates, gaps, and products absent from the master.
+quantities, NULL and blank dates, gaps, and codes absent from the master.
 
-Every rule is a narrow projection of one order line, so the adapter adds no
-shuffle; the row filter is on the raw ship timestamp and reaches the parquet
-scan as a pushed filter.
+Every rule for a snapshot is a narrow projection of one order line, so it adds
+no shuffle; the master is one aggregate over the parts.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from stockrisk.schemas import PRODUCT, RAW
 # FIXED VALUES of the adapter (shared with the SQL oracle).
 PERIOD_ORIGIN = dt.date(1995, 1, 1)
 PERIOD_DAYS = 30
-PERIODS = 78  # 2340 days: the last period is whole
 PARTS_PER_PRODUCT = 10
 LEADING_PAD_EVERY = 7  # product numbers divisible by 7 get two leading blanks
 TRAILING_PAD_EVERY = 11  # ... divisible by 11 get one trailing blank
@@ -34,14 +33,14 @@ NULL_DATE_EVERY = 83  # ... by 83 get a NULL date
 QTY_FLOOR = 10
 QTY_STEP_PER_CLASS = 40
 QTY_CLASSES = 6
-MISSING_PRODUCT_EVERY = 13  # product numbers with remainder 5 are left out of the master
-MISSING_PRODUCT_REMAINDER = 5
-
-HORIZON_END = PERIOD_ORIGIN + dt.timedelta(days=PERIOD_DAYS * PERIODS)
+CODE_PREFIX = "SKU"
+NEW_CODE_EVERY = 103  # order keys divisible by 103 carry a code the master doesn't know yet
+NEW_CODE_PREFIX = "NEW"
 
 
 def product_number(partkey: Column) -> Column:
-    return F.floor(partkey / PARTS_PER_PRODUCT).cast("bigint")
+    """Integer division: a double would lose the low digits of a large key."""
+    return F.call_function("div", partkey.cast("bigint"), F.lit(PARTS_PER_PRODUCT).cast("bigint"))
 
 
 def _zero_pad(num: Column, width: int) -> Column:
@@ -51,7 +50,7 @@ def _zero_pad(num: Column, width: int) -> Column:
 
 
 def product_code(num: Column) -> Column:
-    return F.concat(F.lit("SKU"), _zero_pad(num, 6))
+    return F.concat(F.lit(CODE_PREFIX), _zero_pad(num, 6))
 
 
 def _month_day_year(d: Column) -> Column:
@@ -64,7 +63,8 @@ def raw_snapshots(lineitem: DataFrame) -> DataFrame:
     k = product_number(F.col("l_partkey"))
     code = F.concat(
         F.when(k % LEADING_PAD_EVERY == 0, F.lit("  ")).otherwise(F.lit("")),
-        product_code(k),
+        F.when(F.col("l_orderkey") % NEW_CODE_EVERY == 0, F.lit(NEW_CODE_PREFIX)).otherwise(F.lit(CODE_PREFIX)),
+        _zero_pad(k, 6),
         F.when(k % TRAILING_PAD_EVERY == 0, F.lit(" ")).otherwise(F.lit("")),
     )
     warehouse = F.concat(F.lit("WH"), _zero_pad(F.col("l_suppkey") % WAREHOUSES + 1, 2))
@@ -75,16 +75,14 @@ def raw_snapshots(lineitem: DataFrame) -> DataFrame:
     )
     origin = F.lit(PERIOD_ORIGIN)
     ship_day = F.to_date(F.col("l_shipdate"))
-    period = F.floor(F.datediff(ship_day, origin) / PERIOD_DAYS).cast("int")
-    period_start = F.date_add(origin, period * PERIOD_DAYS)
+    day = F.datediff(ship_day, origin)
+    period_start = F.date_add(origin, day - F.pmod(day, F.lit(PERIOD_DAYS)))
     load_dt = (
         F.when(F.col("l_orderkey") % BLANK_DATE_EVERY == 0, F.lit(" "))
         .when(F.col("l_orderkey") % NULL_DATE_EVERY == 0, F.lit(None).cast("string"))
         .otherwise(_month_day_year(period_start))
     )
-    # A date literal cast to the column's type: midnight, whatever the session time zone.
-    horizon = F.lit(HORIZON_END).cast(lineitem.schema["l_shipdate"].dataType)
-    return lineitem.where(F.col("l_shipdate") < horizon).select(
+    return lineitem.select(
         code.alias("product_id"),
         warehouse.alias("warehouse_id"),
         qty.alias("qty_on_hand"),
@@ -93,15 +91,17 @@ def raw_snapshots(lineitem: DataFrame) -> DataFrame:
 
 
 def product_master(part: DataFrame) -> DataFrame:
-    """Product master with the :data:`PRODUCT` schema (one row per product number)."""
-    k = product_number(F.col("p_partkey"))
-    keep = (F.col("p_partkey") % PARTS_PER_PRODUCT == 0) & (
-        k % MISSING_PRODUCT_EVERY != MISSING_PRODUCT_REMAINDER
+    """Product master with the :data:`PRODUCT` schema: one row per product number over all parts.
+
+    Name and category are those of the number's first part.
+    """
+    first = part.groupBy(product_number(F.col("p_partkey")).alias("k")).agg(
+        F.min_by("p_name", "p_partkey").alias("name"), F.min_by("p_type", "p_partkey").alias("type")
     )
-    return part.where(keep).select(
-        product_code(k).alias("product_id"),
-        F.col("p_name").cast("string").alias("product_name"),
-        F.col("p_type").cast("string").alias("category"),
+    return first.select(
+        product_code(F.col("k")).alias("product_id"),
+        F.col("name").cast("string").alias("product_name"),
+        F.col("type").cast("string").alias("category"),
     )
 
 

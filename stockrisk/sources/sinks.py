@@ -1,25 +1,32 @@
-"""Sinks: databases, full-refresh layer tables, model materialisation.
+"""Sinks: databases, full-refresh tables, views, pins.
 
 Every write is a full refresh (overwrite), so a retried job converges to the
-same table. Tables written for lineage cuts go to the shared checkpoint
-folder, never to a machine-local path, so losing an executor loses nothing
-but the tasks it was running.
+same table. Published tables lie where the catalog or the caller says; only
+tables written for lineage cuts go to the shared checkpoint folder. Neither is
+a machine-local path, so losing an executor loses nothing but the tasks it was
+running.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stockrisk.session import shared_path
+from stockrisk.session import remove_path, shared_path
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    sql = f"CREATE DATABASE IF NOT EXISTS {name}"
+    sql = f"CREATE DATABASE IF NOT EXISTS {quoted(name)}"
     if location:
-        sql += f" LOCATION '{location}'"
+        escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+        sql += f" LOCATION '{escaped}'"
     spark.sql(sql)
 
 
@@ -34,19 +41,31 @@ def write_layer(
     df: DataFrame,
     db: str,
     table: str,
-    path: str,
+    path: str | None = None,
     fmt: str = "parquet",
     mode: str = "overwrite",
+    partition_by: list[str] | None = None,
 ) -> WriteResult:
-    """Overwrite ``db.table`` at ``path`` and count the rows written.
+    """Overwrite ``db.table`` and count the rows written.
+
+    The table lies at ``path``, a stable place of the caller's, or is managed
+    by the catalog; a rerun replaces it. With ``partition_by`` there is one
+    folder per value: rows are first rebalanced on those columns, so each
+    value is written by few tasks, while adaptive execution still splits a
+    value with an outsized share of the rows over several writers.
 
     The row count is an :class:`Observation` collected by the write job
     itself, so counting costs no second pass over the input.
     """
     obs = Observation(f"rows_{db}_{table}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    name = f"{db}.{table}"
-    observed.write.format(fmt).mode(mode).option("path", path).saveAsTable(name)
+    name = f"{quoted(db)}.{quoted(table)}"
+    writer = (observed.hint("rebalance", *partition_by) if partition_by else observed).write.format(fmt).mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
     metrics = obs.get
     return WriteResult(name, int(metrics["rows"]), metrics)
 
@@ -64,32 +83,26 @@ def pin(df: DataFrame, name: str = "pinned", fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(df.schema).load(path)
 
 
-def materialize(
-    df: DataFrame,
-    name: str,
-    kind: str = "view",
-    path: str | None = None,
-    fmt: str = "parquet",
-    partition_by: list[str] | None = None,
-) -> DataFrame:
-    """Publish a model as a temporary view or as a table (full refresh).
-
-    With ``partition_by`` the table is written in one folder per value. The
-    rows are first rebalanced on those columns, so each value is written by
-    few tasks (not one small file per task and value), while adaptive
-    execution still splits a value holding an outsized share of the rows
-    over several writers.
-    """
-    spark = df.sparkSession
-    if kind == "view":
-        df.createOrReplaceTempView(name)
-        return spark.table(name)
-    if kind == "table":
-        target = path or shared_path(spark, name)
-        writer_input = df.hint("rebalance", *partition_by) if partition_by else df
-        writer = writer_input.write.format(fmt).mode("overwrite").option("path", target)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(name)
-        return spark.table(name)
-    raise ValueError(f"unknown materialisation {kind!r}")
+def create_view(spark: SparkSession, db: str, view: str, select: str) -> DataFrame:
+    """Publish a model as a catalog view over stored tables."""
+    name = f"{quoted(db)}.{quoted(view)}"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+    return spark.table(name)
+
+
+class Scratch:
+    """Pins that live as long as a run: ``with Scratch(spark) as pin_here: ...``"""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, shared_path(spark, "run")
+
+    def __enter__(self):
+        return self.pin
+
+    def __exit__(self, *exc) -> None:
+        remove_path(self.spark, self.root)
+
+    def pin(self, df: DataFrame, name: str = "pinned") -> DataFrame:
+        path = f"{self.root}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

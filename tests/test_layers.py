@@ -47,7 +47,7 @@ def test_silver_has_four_columns_in_order(spark):
 
 def test_stage_trims_all_whitespace_and_filters(spark):
     rows = [
-        ("\tA ", " W1\t", 4, " 1/5/2025\t"),
+        ("\tA\u3000", "\u2003W1\t", 4, " 1/5/2025\t"),
         ("B", "W1", 1, "01/05/2025"),
         ("C", "W1", None, "1/5/2025"),
         ("D", "W1", 1, "   "),

@@ -5,7 +5,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from stockrisk.plans.catalog import QUERIES
+from stockrisk.plans.oracle import oracle_sql
 from tools.compare import digest, type_diffs
 
 SF = "/root/testdata/sf0.001"
@@ -21,12 +22,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(queries())
+    assert set(SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
     rel = con.sql(SQL[name])
     o_cols, o_types = rel.columns, rel.types
@@ -50,7 +51,7 @@ def test_results_do_not_depend_on_runtime_settings(spark, con, name):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        df = queries()[name](spark, SF)
+        df = QUERIES[name](spark, SF)
         s_rows = [tuple(r) for r in df.collect()]
     finally:
         for k, v in before.items():

@@ -1,119 +1,110 @@
+import os
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from stockrisk.operators.kpis import kpi_latest, risk_trend, warehouse_distribution, warehouse_risk_history
 from stockrisk.plans.catalog import QUERIES
-from stockrisk.plans.pipeline import build_models, build_report, run_pipeline
+from stockrisk.plans.oracle import with_models
+from stockrisk.plans.pipeline import Lake, build_models, build_report, build_report_base, run_all, run_pipeline
 from stockrisk.schemas import REPORT_COLUMNS
 from stockrisk.session import shared_path
 from stockrisk.sources.fixture import load_product_master, load_raw
+from stockrisk.sources.readers import read_product_master, read_raw
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_pipeline_counts_and_roundtrip(spark):
-    res = run_pipeline(spark, load_raw(spark, SF), "t_bronze_db", "t_silver_db", shared_path(spark, "lake"))
-    assert res.counts == {"raw": 5627, "bronze": 3712, "silver": 3712}
+@pytest.fixture(scope="module")
+def rows():
+    """Row counts of the layers by SQL."""
+    con = duckdb.connect()
+    for t in ["lineitem", "part"]:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t)}.parquet')")
+    return {n: con.execute(with_models([n], f"SELECT count(*) FROM {n}")).fetchone()[0] for n in ("raw", "bronze", "silver", "stg", "fct", "rpt")}
+
+
+def lake(spark):
+    return Lake(shared_path(spark, "lake"), "t_bronze_db", "t_silver_db", "t_marts_db")
+
+
+def test_pipeline_counts_and_roundtrip(spark, rows):
+    res = run_pipeline(spark, load_raw(spark, SF), lake(spark))
+    assert res.counts == {k: rows[k] for k in ("raw", "bronze", "silver")}
     assert res.silver.columns == ["product_id", "warehouse_id", "load_dt", "qty_on_hand"]
-    assert res.silver.count() == 3712
+    assert res.silver.count() == rows["silver"] < rows["raw"]
 
 
-def test_entry_smoke(spark):
+def test_entry_smoke(spark, rows):
     df = E.entry(spark)
     assert df.columns == REPORT_COLUMNS
-    assert df.count() == 3605
+    assert df.count() == rows["rpt"]
 
 
-def test_report_invariants(spark):
+def test_report_invariants(spark, rows):
     m = build_models(QUERIES["silver_snapshot"](spark, SF), load_product_master(spark, SF))
     rpt = build_report(m).cache()
-    n = rpt.count()
-    assert n == m.fct.count() == m.stg.count() == 3605
+    assert rpt.count() == m.fct.count() == m.stg.count() == rows["fct"]
     assert rpt.where(F.col("reorder_flag") != F.col("at_risk_flag")).count() == 0
     assert rpt.where(F.col("daily_units_sold_proxy") * F.col("received_units") != 0).count() == 0
-    assert (
-        rpt.where(
-            F.col("prev_qty_on_hand").isNotNull()
-            & (F.col("inventory_delta") != F.col("received_units") - F.col("daily_units_sold_proxy"))
-        ).count()
-        == 0
-    )
+    moved = F.col("inventory_delta") != F.col("received_units") - F.col("daily_units_sold_proxy")
+    assert rpt.where(F.col("prev_qty_on_hand").isNotNull() & moved).count() == 0
     latest = rpt.where("is_latest_snapshot")
     k = latest.count()
-    assert k == 41
+    assert k > 0
     assert sorted(r[0] for r in latest.select("latest_rank_overall").collect()) == list(range(1, k + 1))
     per_wh = latest.groupBy("warehouse_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("latest_rank_in_warehouse").alias("lo"),
         F.max("latest_rank_in_warehouse").alias("hi"), F.countDistinct("latest_rank_in_warehouse").alias("d"),
-    )
+    )
     assert all(r.lo == 1 and r.hi == r.n == r.d for r in per_wh.collect())
-    assert rpt.where(F.col("product_name").isNull()).count() == 352
-    assert rpt.where((F.col("qty_on_hand") == 0) & F.col("days_until_stockout").isNull()).count() == 3
-    counts = {r.stock_status: r["count"] for r in rpt.groupBy("stock_status").count().collect()}
-    assert counts == {"CRITICAL": 941, "LOW": 778, "MEDIUM": 1205, "HEALTHY": 681}
+    # codes the master doesn't know keep their rows, without names
+    unknown = rpt.where(F.col("product_name").isNull())
+    assert unknown.count() == rpt.where(F.col("product_id").startswith("NEW")).count() > 0
     rpt.unpersist()
 
 
-def test_kpis_match_fixture_figures(spark):
-    [k] = QUERIES["kpi_latest"](spark, SF).collect()
-    assert (k.critical_skus, k.low_stock_skus, k.warehouses_at_risk, k.avg_days_until_stockout) == (7, 11, 4, 16.5664)
-    assert (k.critical_positions, k.at_risk_positions) == (11, 20)
-
-
-def test_publish_registers_models_and_partitions_report(spark):
-    from stockrisk.plans.pipeline import publish
-
-    m = build_models(QUERIES["silver_snapshot"](spark, SF), load_product_master(spark, SF))
-    out = publish(m, build_report(m))
-    assert spark.table("stg_inventory_silver").count() == 3605
-    rpt = out["rpt_inventory_risk_dashboard"]
-    assert rpt.count() == 3605
-    latest = rpt.where(F.col("snapshot_date") == "2001-04-29")
-    assert "PartitionFilters: [isnotnull(snapshot_date" in latest._jdf.queryExecution().executedPlan().toString()
-    assert latest.count() == 41
-    assert latest.where(F.col("latest_rank_overall").isNull()).count() == 0
-
-
-def test_run_all_from_csv(spark, tmp_path):
-    from stockrisk.plans.pipeline import run_all
-    from stockrisk.sources.readers import read_product_master, read_raw
-
-    raw_path = str(tmp_path / "raw")
-    seed_path = str(tmp_path / "seed")
+def test_run_all_from_csv_publishes_tables(spark, tmp_path, rows):
+    raw_path, seed_path = str(tmp_path / "raw"), str(tmp_path / "seed")
     # keep the padding: the CSV writer trims whitespace unless told not to
-    load_raw(spark, SF).write.options(
-        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(raw_path)
+    load_raw(spark, SF).write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(raw_path)
     load_product_master(spark, SF).write.option("header", True).csv(seed_path)
-    res = run_all(spark, read_raw(spark, path=raw_path), read_product_master(spark, seed_path))
-    assert res.pipeline.counts == {"raw": 5627, "bronze": 3712, "silver": 3712}
-    assert res.report.count() == 3605
+    target = Lake(str(tmp_path / "lake"), "p_bronze", "p_silver", "p_marts")
+    for _ in range(2):  # a rerun replaces, it adds nothing
+        res = run_all(spark, read_raw(spark, path=raw_path), read_product_master(spark, seed_path), target)
+    assert res.pipeline.counts == {k: rows[k] for k in ("raw", "bronze", "silver", "stg", "fct")}
+    kinds = {t.name: t.tableType for t in spark.catalog.listTables("p_marts")}
+    assert kinds.pop("stg_inventory_silver") == "VIEW"
+    assert set(kinds) == {"fct_inventory_risk", "product_master", "dim_product", "dim_warehouse", "dim_date", "rpt_inventory_risk_dashboard"}
+    assert set(kinds.values()) <= {"EXTERNAL", "MANAGED"}
+    assert sorted(os.listdir(tmp_path / "lake" / "p_marts")) == sorted(kinds)  # one copy of each, pins gone
+    rpt = spark.table("p_marts.rpt_inventory_risk_dashboard")
+    assert rpt.count() == rows["rpt"]
+    newest = rpt.agg(F.max("snapshot_date")).first()[0]
+    latest = rpt.where(F.col("snapshot_date") == newest)
+    assert "PartitionFilters: [isnotnull(snapshot_date" in latest._jdf.queryExecution().executedPlan().toString()
+    assert latest.where(F.col("latest_rank_overall").isNull()).count() == 0
     failing = {(r.check_name, r.model, r.column_name) for r in res.quality.where("failures > 0").collect()}
-    # products left out of the master on purpose; NULL load dates reach silver
-    assert failing == {
-        ("relationships", "fct_inventory_risk", "product_id"),
-        ("not_null", "inventory_silver", "load_dt"),
-    }
+    # codes the master doesn't know yet; NULL load dates reach silver
+    assert failing == {("relationships", "fct_inventory_risk", "product_id"), ("not_null", "inventory_silver", "load_dt")}
 
 
 def test_command_line_reports_failing_checks(spark, tmp_path, capsys):
     from stockrisk.__main__ import main
 
     raw_path, seed_path = str(tmp_path / "raw"), str(tmp_path / "seed")
-    load_raw(spark, SF).write.options(
-        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(raw_path)
+    load_raw(spark, SF).write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(raw_path)
     load_product_master(spark, SF).write.option("header", True).csv(seed_path)
     code = main(["--raw", raw_path, "--seed", seed_path, "--root", str(tmp_path / "lake")])
     out = capsys.readouterr().out
     assert code == 1
     assert "56 of 58 checks pass" in out
-    assert "FAIL relationships fct_inventory_risk.product_id: 352" in out
-
+    assert "FAIL relationships fct_inventory_risk.product_id: " in out
 
-def test_figures_agree_with_each_other(spark):
-    from stockrisk.operators.kpis import kpi_latest, risk_trend, warehouse_distribution, warehouse_risk_history
-    from stockrisk.plans.pipeline import build_report_base
 
+def test_figures_agree_with_each_other(spark, rows):
     m = build_models(QUERIES["silver_snapshot"](spark, SF), load_product_master(spark, SF))
     base = build_report_base(m).cache()
     [k] = kpi_latest(base).collect()
@@ -123,6 +114,15 @@ def test_figures_agree_with_each_other(spark):
     shares = warehouse_distribution(base).groupBy("warehouse_id").agg(F.sum("share_of_warehouse").alias("s")).collect()
     assert all(abs(r.s - 1.0) < 1e-5 for r in shares)
     hist = warehouse_risk_history(base).collect()
-    assert sum(r.positions for r in hist) == 3605
-    assert all(r.snapshot_days == 78 or r.snapshot_days <= 78 for r in hist)
+    assert sum(r.positions for r in hist) == rows["fct"]
+    days = {r.warehouse_id: r.d for r in base.groupBy("warehouse_id").agg(F.countDistinct("snapshot_date").alias("d")).collect()}
+    assert {r.warehouse_id: r.snapshot_days for r in hist} == days
     base.unpersist()
+
+
+def test_top_products_by_position_and_by_product(spark):
+    positions = QUERIES["top_products_at_risk"](spark, SF).collect()
+    products = QUERIES["top_distinct_products_at_risk"](spark, SF).collect()
+    assert len({r.product_id for r in products}) == len(products)
+    assert len({r.product_id for r in positions}) <= len(positions)
+    assert products[0].days_until_stockout == positions[0].days_until_stockout

@@ -85,4 +85,4 @@ def test_fused_report_equals_single_checks(spark):
             want = non_negative(df).count()
         assert got[(c.check, c.model, c.column)] == want, c
     assert got[("not_null", "inventory_silver", "load_dt")] > 0
-    assert got[("relationships", "fct_inventory_risk", "product_id")] == 352
+    assert got[("relationships", "fct_inventory_risk", "product_id")] > 0

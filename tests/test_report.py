@@ -6,24 +6,30 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stockrisk.operators.dims import dim_date, dim_product, dim_warehouse
-from stockrisk.operators.ranking import sequence_number
-from stockrisk.operators.reporting import priority_order, report
+from stockrisk.operators.ranking import range_sorted, ranks
+from stockrisk.operators.reporting import latest_order, priority_order, report, report_base
 from stockrisk.operators.risk import fact
-from stockrisk.schemas import REPORT_COLUMNS, STG
-from stockrisk.sources.fixture import load_product_master
+from stockrisk.schemas import FACT, REPORT_COLUMNS, STG
+from stockrisk.sources.sinks import pin
 
 D0 = dt.date(2025, 3, 1)
+DAY = dt.timedelta(days=1)
 
 
-def build(spark, rows, seed_rows=()):
+def report_of(fct, product, warehouse, date):
+    base = report_base(fct, product, warehouse, date)
+    return report(base, pin(latest_order(base), "order"))
+
+
+def build(spark, rows, seed_rows=(), dates=None):
     stg = spark.createDataFrame(rows, STG)
     seed = spark.createDataFrame(list(seed_rows), "product_id string, product_name string, category string")
-    fct = fact(stg)
-    return report(fct, dim_product(seed), dim_warehouse(stg), dim_date(stg))
+    date = dim_date(stg if dates is None else spark.createDataFrame([("", "", d, 0) for d in dates], STG))
+    return report_of(fact(stg), dim_product(seed), dim_warehouse(stg), date)
 
 
 def test_rank_ties_fall_to_product_then_warehouse(spark):
-    d1 = D0 + dt.timedelta(days=1)
+    d1 = D0 + DAY
     rows = []
     # identical stock paths -> equal score, days and quantity
     for p in ["B", "A"]:
@@ -42,45 +48,63 @@ def test_rank_ties_fall_to_product_then_warehouse(spark):
 
 
 def test_latest_flag_uses_global_max(spark):
-    rows = [("A", "W1", D0, 5), ("B", "W1", D0 + dt.timedelta(days=3), 5)]
+    rows = [("A", "W1", D0, 5), ("B", "W1", D0 + 3 * DAY, 5)]
     flags = {r.product_id: r.is_latest_snapshot for r in build(spark, rows).collect()}
     assert flags == {"A": False, "B": True}
 
 
+@pytest.mark.parametrize("dates", [[D0, D0 + DAY, D0 + 400 * DAY], [D0], []], ids=["future", "stale", "empty"])
+def test_latest_date_is_the_fact_s_whatever_the_date_dimension_holds(spark, dates):
+    rows = [("A", "W1", D0, 5), ("A", "W1", D0 + DAY, 4), ("B", "W1", D0 + DAY, 3)]
+    got = build(spark, rows, dates=dates).collect()
+    assert len(got) == 3
+    ranked = {(r.product_id, r.snapshot_date): r.latest_rank_overall for r in got if r.is_latest_snapshot}
+    assert set(ranked) == {("A", D0 + DAY), ("B", D0 + DAY)} and sorted(ranked.values()) == [1, 2]
+    assert all(r.is_latest_snapshot is not None for r in got)
+
+
+def test_rows_without_a_date_and_doubled_grain_are_kept(spark):
+    fct = fact(spark.createDataFrame([("A", "W1", D0, 5), ("A", "W1", D0, 5), ("A", "W1", D0, 0), ("B", None, None, 1), (None, "W1", D0, 1)], STG))
+    empty = spark.createDataFrame([], STG)
+    got = report_of(fct, dim_product(spark.createDataFrame([], "product_id string, product_name string, category string")),
+                    dim_warehouse(empty), dim_date(empty)).collect()
+    assert len(got) == 5
+    assert sorted(r.latest_rank_overall for r in got if r.is_latest_snapshot) == [1, 2, 3, 4]
+    none = spark.createDataFrame([], FACT)
+    assert report_of(none, dim_product(spark.createDataFrame([], "product_id string, product_name string, category string")), dim_warehouse(empty), dim_date(empty)).count() == 0
+
+
 def test_report_key(spark):
     [r] = build(spark, [("A", "W1", D0, 5)]).collect()
     assert r.warehouse_product_snapshot_key == "2025-03-01|A|W1"
 
 
-@pytest.mark.parametrize("groups", [None, ["g"]])
-def test_sequence_number_equals_row_number_with_hot_group(spark, groups):
+def test_ranks_equal_row_number_with_hot_group(spark):
     rnd = random.Random(7)
     # one group holds about a third of all rows, with many ties in the sort keys
-    data = [("hot" if rnd.random() < 0.34 else f"g{rnd.randrange(20)}", rnd.randrange(5), rnd.randrange(50), i) for i in range(3000)]
+    data = [("hot" if rnd.random() < 0.34 else rnd.choice([None, "x", "y", f"g{rnd.randrange(20)}"]), rnd.randrange(5), rnd.randrange(50), i) for i in range(3000)]
     df = spark.createDataFrame(data, "g string, a int, b int, id int").repartition(6)
     order = [F.col("a").desc(), F.col("b").asc(), F.col("id").asc()]
-    got = sequence_number(df, order, "rn", groups)
-    w = Window.partitionBy(*(groups or [])).orderBy(*order) if groups else Window.orderBy(*order)
-    want = df.withColumn("rn", F.row_number().over(w).cast("bigint"))
-    assert got.count() == 3000
+    got = ranks(pin(range_sorted(df, order), "sorted"), "rn", "g", "rn_g")
+    want = df.withColumns(
+        {"rn": F.row_number().over(Window.orderBy(*order)).cast("bigint"), "rn_g": F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("bigint")}
+    )
+    assert got.columns == want.columns and got.count() == 3000
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    alone = ranks(pin(range_sorted(df, order), "sorted"), "rn")
+    assert alone.exceptAll(want.drop("rn_g")).count() == 0
 
 
-def test_priority_order_columns():
-    assert len(priority_order(True)) == 5 and len(priority_order(False)) == 4
-
-
-def test_seed_adapter_has_unique_products(spark):
-    seed = load_product_master(spark, "/root/testdata/sf0.001")
-    assert seed.count() == 18
-    assert seed.select("product_id").distinct().count() == 18
+def test_building_a_report_runs_nothing(spark):
+    fct = fact(spark.createDataFrame([("A", "W1", D0, 5)], STG))
+    stg = spark.createDataFrame([("A", "W1", D0, 5)], STG)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no action inside the operators")
+    base = report_base(fct, dim_product(spark.createDataFrame([], "product_id string, product_name string, category string")), dim_warehouse(stg), dim_date(stg))
+    report(base, latest_order(base))
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setJobGroup("tests", "")
 
 
-def test_sequence_number_without_broadcast_beyond_the_limit(spark, monkeypatch):
-    import stockrisk.operators.ranking as ranking
-
-    monkeypatch.setattr(ranking, "MAX_BROADCAST_RUNS", 0)
-    df = spark.createDataFrame([(f"g{i % 5}", i) for i in range(200)], "g string, id int")
-    got = ranking.sequence_number(df, [F.col("id").asc()], "rn", ["g"])
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id")).cast("bigint"))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+def test_priority_order_columns():
+    assert len(priority_order()) == 5

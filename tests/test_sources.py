@@ -1,11 +1,13 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from stockrisk.operators.kpis import filter_report
 from stockrisk.operators.layers import dedup_bronze
-from stockrisk.sources.readers import read_layer, read_raw
-from stockrisk.sources.sinks import ensure_database, materialize, pin, write_layer
+from stockrisk.sources.fixture import load_product_master, load_raw, product_number
+from stockrisk.sources.readers import read_layer, read_product_master, read_raw
+from stockrisk.sources.sinks import Scratch, create_view, ensure_database, pin, write_layer
 from stockrisk.session import shared_path
 
 
@@ -29,13 +31,73 @@ def test_write_layer_overwrites_and_counts(spark):
     assert read_layer(spark, f"{root}/t", "parquet").count() == 1
 
 
-def test_materialize_view_table_and_pin(spark):
+def test_view_pin_and_scratch(spark):
     df = spark.createDataFrame([(1,), (2,)], "x int")
-    assert materialize(df, "t_view", "view").count() == 2
-    assert spark.table("t_view").count() == 2
-    assert materialize(df, "t_table", "table").count() == 2
-    pinned = pin(df.where("x > 1"), "t_pin")
-    assert [r.x for r in pinned.collect()] == [2]
+    root = shared_path(spark, "lake")
+    write_layer(df, "default", "t_base", f"{root}/t_base")
+    assert create_view(spark, "default", "t_view", "SELECT x + 1 AS y FROM t_base").agg({"y": "sum"}).first()[0] == 5
+    assert [r.x for r in pin(df.where("x > 1"), "t_pin").collect()] == [2]
+    with Scratch(spark) as pin_here:
+        held = pin_here(df)
+        assert held.count() == 2
+        [path] = held.inputFiles()[:1]
+    with pytest.raises(Exception, match="FAILED_READ_FILE|does not exist|PATH_NOT_FOUND"):
+        spark.read.parquet(path).count()
+
+
+def test_raw_table_is_typed_like_the_csv(spark):
+    df = spark.createDataFrame([("x", "A", "W1", "9", "1/1/2025"), ("y", "A", "W1", "10", "1/1/2025")], "extra string, product_id string, warehouse_id string, qty_on_hand string, load_dt string")
+    write_layer(df, "default", "t_raw_text", f"{shared_path(spark, 'lake')}/t_raw_text")
+    raw = read_raw(spark, table="t_raw_text")
+    assert raw.dtypes == [("product_id", "string"), ("warehouse_id", "string"), ("qty_on_hand", "bigint"), ("load_dt", "string")]
+    assert [r.qty_on_hand for r in dedup_bronze(raw).collect()] == [10]
+    write_layer(df.withColumn("qty_on_hand", F.lit("many")), "default", "t_raw_text", f"{shared_path(spark, 'lake')}/t_raw_text2")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_raw(spark, table="t_raw_text").collect()
+
+
+def test_csv_with_other_columns_fails(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text("warehouse_id,product_id,qty_on_hand,load_dt\nW1,A,9,1/1/2025\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        read_raw(spark, path=str(p)).collect()
+    p.write_text("product_name,product_id,category\nApple,A,food\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        read_product_master(spark, str(p)).collect()
+
+
+def test_names_and_places_are_quoted(spark):
+    ensure_database(spark, "select", f"{shared_path(spark, 'it')}'s")
+    assert spark.catalog.getDatabase("select").locationUri.endswith("'s")
+    spark.sql("DROP DATABASE `select`")
+
+
+def test_no_checkpoint_folder_is_made_up(spark, monkeypatch):
+    import stockrisk.session as session
+
+    class Bare:
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Bare)
+
+
+def test_adapter_keeps_every_row(spark):
+    sf = "/root/testdata/sf0.001"
+    line, part = spark.read.parquet(f"{sf}/lineitem.parquet"), spark.read.parquet(f"{sf}/part.parquet")
+    assert load_raw(spark, sf).count() == line.count()
+    seed = load_product_master(spark, sf)
+    assert seed.count() == seed.select("product_id").distinct().count() == part.selectExpr("p_partkey div 10").distinct().count()
+    assert seed.where("product_name IS NULL OR category IS NULL").count() == 0
+
+
+def test_large_keys_keep_their_digits(spark):
+    [r] = spark.createDataFrame([(90071992547409919,)], "k bigint").select(product_number(F.col("k"))).collect()
+    assert r[0] == 9007199254740991
 
 
 def test_filter_report_applies_all_filters(spark):
