@@ -5,7 +5,8 @@ Languages are grouped into families by the likeness of their mean profiles
 (average linkage); one machine per family tells it from the others, and
 within a family one-versus-one machines vote. All are linear support vector
 machines fitted by the driver on a bounded sample: about ``sample`` documents
-of each language, profiled by Spark, never from the held-out fold.
+of each language, or an equal share of ``rows_in_all``, profiled by Spark,
+never from the held-out fold.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0;
 with no labelled documents so is every text; with one language every other
@@ -30,6 +31,7 @@ from stockrisk.llm.linear import fit_svms
 
 BUCKETS = 4096
 SAMPLE = 400  # documents of each language, about
+SAMPLE_ROWS = 6000  # of all languages together, about
 LANGUAGES = 200  # languages learned, the most frequent first
 UNKNOWN = "und"  # FIXED VALUE
 _LETTER = re.compile(r"[^\W\d_]")
@@ -110,12 +112,15 @@ def fit_model(rows: np.ndarray, langs: np.ndarray) -> Model | None:
     return Model(families, fit_svms(rows, targets), pairs, fit_svms(rows, duels))
 
 
-def training_rows(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> tuple[np.ndarray, np.ndarray]:
-    """Profiles and languages of the sample; at most about ``sample * languages`` rows reach the driver."""
+def training_rows(
+    docs: DataFrame, sample: int = SAMPLE, rows_in_all: int = SAMPLE_ROWS, languages: int = LANGUAGES
+) -> tuple[np.ndarray, np.ndarray]:
+    """Profiles and languages of the sample; about ``rows_in_all`` rows, at most, reach the driver."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return np.zeros((0, BUCKETS)), np.zeros(0, dtype=object)
+    sample = min(sample, rows_in_all // len(counts))
     rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample / r["count"]))])
     unit = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(9)), 11) / F.lit(float(2**53))
     drawn = known.where(unit < F.coalesce(F.element_at(rates, F.col("lang")), F.lit(0.0))).select("doc_id", "lang", "text")
@@ -127,7 +132,7 @@ def training_rows(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUA
             yield pd.DataFrame({"doc_id": read["doc_id"], "lang": read["lang"], "profile": packed})
 
     rows = drawn.mapInPandas(run, "doc_id long, lang string, profile binary").toPandas().sort_values(["doc_id", "lang"])
-    profiles = [np.frombuffer(bytes(p), dtype=np.float16).astype(np.float64) for p in rows["profile"]]
+    profiles = [np.frombuffer(bytes(p), dtype=np.float16).astype(np.float32) for p in rows["profile"]]
     return np.array(profiles).reshape(len(rows), BUCKETS), rows["lang"].to_numpy(dtype=object)
 
 

@@ -12,15 +12,14 @@ def fit_svms(rows: np.ndarray, targets: np.ndarray, penalty: float = 1e-4, steps
     machine doesn't learn from. The last weight is the bias.
     """
     x = np.concatenate([rows, np.ones((len(rows), 1), rows.dtype)], axis=1)
-    used = np.maximum((targets != 0).sum(0), 1)
     # Each class of a machine weighs the same, however many rows it has.
     sign = np.where(targets > 0, 1.0, -1.0)
     positive, negative = np.maximum((targets > 0).sum(0), 1), np.maximum((targets < 0).sum(0), 1)
     weight = np.where(targets > 0, 0.5 / positive, np.where(targets < 0, 0.5 / negative, 0.0))
     w = np.zeros((x.shape[1], targets.shape[1]))
     ahead, t = w.copy(), 1.0
-    lipschitz = 2 * (x**2).sum(1).max() * 1.0 + penalty
-    for _ in range(steps if used.any() else 0):
+    lipschitz = 2 * float(np.einsum("ij,ij->i", x, x).max(initial=0)) + penalty
+    for _ in range(steps if targets.any() else 0):
         margin = np.maximum(1 - sign * (x @ ahead), 0)
         gradient = -2 * x.T @ (weight * sign * margin) + penalty * ahead
         new = ahead - gradient / lipschitz
