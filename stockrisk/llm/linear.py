@@ -13,17 +13,17 @@ def fit_svms(rows: np.ndarray, targets: np.ndarray, penalty: float = 1e-4, steps
     """
     x = np.concatenate([rows, np.ones((len(rows), 1), rows.dtype)], axis=1)
     # Each class of a machine weighs the same, however many rows it has.
-    sign = np.where(targets > 0, 1.0, -1.0)
+    sign = np.where(targets > 0, 1, -1).astype(x.dtype)
     positive, negative = np.maximum((targets > 0).sum(0), 1), np.maximum((targets < 0).sum(0), 1)
-    weight = np.where(targets > 0, 0.5 / positive, np.where(targets < 0, 0.5 / negative, 0.0))
-    w = np.zeros((x.shape[1], targets.shape[1]))
+    weight = np.where(targets > 0, 0.5 / positive, np.where(targets < 0, 0.5 / negative, 0.0)).astype(x.dtype)
+    w = np.zeros((x.shape[1], targets.shape[1]), x.dtype)
     ahead, t = w.copy(), 1.0
     lipschitz = 2 * float(np.einsum("ij,ij->i", x, x).max(initial=0)) + penalty
     for _ in range(steps if targets.any() else 0):
         margin = np.maximum(1 - sign * (x @ ahead), 0)
         gradient = -2 * x.T @ (weight * sign * margin) + penalty * ahead
         new = ahead - gradient / lipschitz
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         ahead = new + (t - 1) / t_new * (new - w)
         w, t = new, t_new
     return w
