@@ -150,39 +150,40 @@ def simhash_components(
 ) -> DataFrame:
     """Fingerprint and component of every row of ``docs`` (doc_id, text).
 
-    Returns doc_id, fp (long), component_id (smallest doc_id reachable over
-    links of at most ``radius`` bits). Repeated rows stay; a NULL doc_id is
-    never a component's id unless the component has no other.
+    Returns doc_id, text_key (a hash of the text), fp (long), group (the
+    component's smallest fingerprint) and component_id (smallest doc_id
+    reachable over links of at most ``radius`` bits). Repeated rows stay; a
+    NULL doc_id is a component's id only if the component has no other.
     """
-    marked = pin(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "simhash")
+    fingerprints = fingerprint_column(F.col("text"), shingle).alias("fp")
+    marked = pin(docs.select("doc_id", F.xxhash64("text").alias("text_key"), fingerprints), "simhash")
     fps = pin(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
     near = link_fingerprints(fps.select("fp"), radius, blocks, tile)
     classed = fps.join(near, fps.fp == near.node, "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component")
+        "fp", "first", F.coalesce("component", "fp").alias("group")
     )
-    smallest = classed.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_fp = classed.join(smallest, "component").select("fp", "component_id")
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    smallest = classed.groupBy("group").agg(F.min("first").alias("component_id"))
+    of_fp = classed.join(smallest, "group").select("fp", "group", "component_id")
+    return marked.join(of_fp, "fp").select("doc_id", "text_key", "fp", "group", "component_id")
 
 
 def keep_one_per_component(
     docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int = BLOCKS, tile: int = TILE
 ) -> DataFrame:
-    """Rows of ``docs`` that stand for their component: the one with the smallest doc_id.
+    """One row of ``docs`` for each component: that with the smallest doc_id, NULL last.
 
-    Rows that share a doc_id are one document, of which one row stays. All
+    Rows equal in id and text are one document, of which one row stays; among
+    texts that share the smallest id, the one with the smallest hash. All
     columns stay as they are.
     """
-    found = simhash_components(docs, radius, shingle, blocks, tile)
-    chosen = (
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    )
-    one = Window.partitionBy("doc_id").orderBy("doc_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = simhash_components(docs, radius, shingle, blocks, tile).groupBy("group").agg(F.min(order).alias("kept"))
+    chosen = first.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_key").alias("_kept_key")).distinct()
+    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_key"))
+    one = Window.partitionBy("doc_id", "_text_key").orderBy("doc_id")
     return (
-        docs.join(chosen, docs.doc_id.eqNullSafe(chosen._kept_id))
-        .withColumn("_copy", F.row_number().over(one))
-        .where("_copy = 1")
-        .select(*[docs[c] for c in docs.columns])
+        keyed.join(chosen, same).withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*[docs[c] for c in docs.columns])
     )
 
 

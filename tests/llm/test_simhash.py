@@ -99,6 +99,14 @@ def test_edge_rows(spark):
     assert near_dedup(docs.limit(0)).count() == 0
 
 
+def test_ids_that_are_missing_or_shared(spark):
+    rows = [(None, "a b c d e"), (None, "q r s t u v"), (None, "q r s t u v"), (4, "one text with words"), (4, "quite another one here"),
+            (4, "one text with words"), (2, "one text with words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id or 0, r.text) for r in keep_one_per_component(docs).collect()))
+    assert kept == [(0, "a b c d e"), (0, "q r s t u v"), (2, "one text with words"), (4, "quite another one here")]
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = {r.doc_id: plain_fingerprint(r.text) for r in docs.collect()}
