@@ -11,8 +11,9 @@ Why the table is per task and not one joined table: joined by position, the
 words of a corpus are as many rows as it has words, each far wider than the
 word (figures in the README); a task's table needs no shuffle.
 
-Texts: NULL and empty give no ids and the empty text. Long texts need memory
-for their own ids only.
+Defined cases: NULL and empty texts give no ids and the empty text; repeated
+rows get the same ids; columns named ids and decoded are replaced; long texts
+need memory for their own ids only; an empty table gives no rows.
 """
 
 from __future__ import annotations
