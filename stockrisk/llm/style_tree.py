@@ -43,7 +43,7 @@ PRESENTATION, CONTENT, PAGE = 0, 1, 2
 _READ = (
     "page_id string, url string, host string, page_key long, "
     "blocks array<struct<path:long,text:string>>, main boolean, "
-    "nodes array<struct<path:long,kind:int,value:long,weight:double,linked:double>>"
+    "nodes array<struct<path:long,kind:tinyint,value:long,weight:int,linked:int>>"
 )
 
 
@@ -65,12 +65,12 @@ def read_page(html: str) -> tuple[list[dict], bool, list[dict]]:
     nodes = {}
     for path, children in styles.items():
         at = _hash("/".join(path))
-        nodes[at, PAGE, 0] = [1.0, 0.0]
-        nodes[at, PRESENTATION, _hash(" ".join(children))] = [1.0, 0.0]
+        nodes[at, PAGE, 0] = [1, 0]
+        nodes[at, PRESENTATION, _hash(" ".join(children))] = [1, 0]
     for b in blocks:
         at = _hash("/".join(b.path))
-        nodes[at, PAGE, 0] = [1.0, 0.0]
-        seen = nodes.setdefault((at, CONTENT, _hash(b.text)), [0.0, 0.0])
+        nodes[at, PAGE, 0] = [1, 0]
+        seen = nodes.setdefault((at, CONTENT, _hash(b.text)), [0, 0])
         seen[0] += len(b.text)
         seen[1] += b.linked
     kept = [{"path": _hash("/".join(b.path)), "text": b.text} for b in own]
@@ -100,10 +100,19 @@ def read_pages(pages: DataFrame) -> DataFrame:
 
 def node_importance(read: DataFrame, content_weight: float = CONTENT_WEIGHT, min_pages: int = MIN_PAGES) -> DataFrame:
     """The merged trees: host, path, pages, importance of every node."""
-    nodes = read.select("host", "page_key", F.explode("nodes").alias("n")).select("host", "page_key", "n.*")
-    # Distinct pages that have a style or text at a node; repeated pages are one.
+    # Repeated pages are one: each of c copies counts as 1 / c. Only keys that do repeat are joined.
+    repeated = pin(
+        read.groupBy("host", "page_key").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1"), "repeated_pages"
+    ).withColumnsRenamed({"host": "_host", "page_key": "_key"})
+    own = read.select("host", "page_key", "nodes").join(
+        repeated, (F.col("host") == F.col("_host")) & (F.col("page_key") == F.col("_key")), "left"
+    )
+    share = 1 / F.coalesce("_copies", F.lit(1))
+    nodes = own.select("host", share.alias("share"), F.explode("nodes").alias("n")).select("host", "share", "n.*")
     spread = nodes.groupBy("host", "path", "kind", "value").agg(
-        F.count_distinct("page_key").alias("n"), F.sum("weight").alias("weight"), F.sum("linked").alias("linked")
+        F.round(F.sum("share")).alias("n"),
+        F.sum(F.col("weight") * F.col("share")).alias("weight"),
+        F.sum(F.col("linked") * F.col("share")).alias("linked"),
     )
     node = spread.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == PAGE, F.col("n"))).alias("pages"),

@@ -64,6 +64,14 @@ def test_entropy_removes_a_nameless_template(spark):
     assert min(tree) < 0.01 and max(tree) > 0.9
 
 
+def test_copies_of_a_nameless_page_are_no_template(spark):
+    rows = [(n, "http://c.example/p", soup(1)) for n in range(6)] + [(9, "http://c.example/q", soup(2))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert len(got) == 7 and all("Sentence 1 0 of its own." in got[n] for n in range(6))
+    assert {r.pages for r in node_importance(read_pages(pages)).collect()} == {2.0}
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (None, "http://h/", ""), (3, "no url", "<p>x"), (3, "no url", "<p>x"), (4, "http://h/q", "<article>same</article>"),
             (5, "http://h/r", "<article>same</article>"), (6, "http://h/s", "<article>same</article>")]
