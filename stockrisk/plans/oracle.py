@@ -255,7 +255,7 @@ def _quality_sql() -> str:
         else:
             raise ValueError(c.check)
         parts.append(head(c) + body)
-    return with_models(["rpt", "seed", "silver"], "\nUNION ALL\n".join(parts))
+    return with_models(["rpt", "fct", "seed", "silver"], "\nUNION ALL\n".join(parts))
 
 
 def oracle_sql() -> dict[str, str]:
