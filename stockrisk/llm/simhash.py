@@ -145,18 +145,23 @@ def link_fingerprints(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS
     return connected_components(links, "fp", "near")
 
 
+def row_key() -> list[Column]:
+    """128 bits of hash that name a row by its id and text."""
+    return [F.xxhash64("doc_id", "text").alias("ka"), F.xxhash64("text", "doc_id", F.lit(1)).alias("kb")]
+
+
 def simhash_components(
     docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int = BLOCKS, tile: int = TILE
 ) -> DataFrame:
     """Fingerprint and component of every row of ``docs`` (doc_id, text).
 
-    Returns doc_id, text_key (a hash of the text), fp (long), group (the
+    Returns doc_id, ka and kb (the row's key), fp (long), group (the
     component's smallest fingerprint) and component_id (smallest doc_id
     reachable over links of at most ``radius`` bits). Repeated rows stay; a
     NULL doc_id is a component's id only if the component has no other.
     """
     fingerprints = fingerprint_column(F.col("text"), shingle).alias("fp")
-    marked = pin(docs.select("doc_id", F.xxhash64("text").alias("text_key"), fingerprints), "simhash")
+    marked = pin(docs.select("doc_id", *row_key(), fingerprints), "simhash")
     fps = pin(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
     near = link_fingerprints(fps.select("fp"), radius, blocks, tile)
     classed = fps.join(near, fps.fp == near.node, "left").select(
@@ -164,7 +169,7 @@ def simhash_components(
     )
     smallest = classed.groupBy("group").agg(F.min("first").alias("component_id"))
     of_fp = classed.join(smallest, "group").select("fp", "group", "component_id")
-    return marked.join(of_fp, "fp").select("doc_id", "text_key", "fp", "group", "component_id")
+    return marked.join(of_fp, "fp").select("doc_id", "ka", "kb", "fp", "group", "component_id")
 
 
 def keep_one_per_component(
@@ -176,15 +181,15 @@ def keep_one_per_component(
     texts that share the smallest id, the one with the smallest hash. All
     columns stay as they are.
     """
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb")
     first = simhash_components(docs, radius, shingle, blocks, tile).groupBy("group").agg(F.min(order).alias("kept"))
-    chosen = first.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_key").alias("_kept_key")).distinct()
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_key"))
-    one = Window.partitionBy("doc_id", "_text_key").orderBy("doc_id")
-    return (
-        keyed.join(chosen, same).withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*[docs[c] for c in docs.columns])
-    )
+    chosen = first.select(F.col("kept.ka").alias("_ka"), F.col("kept.kb").alias("_kb"))
+    ka, kb = row_key()
+    keyed = docs.withColumns({"_doc_ka": ka, "_doc_kb": kb})
+    joined = keyed.join(chosen, (F.col("_doc_ka") == F.col("_ka")) & (F.col("_doc_kb") == F.col("_kb")))
+    # Equal rows lie together after the join: the same keys, no second exchange of the texts.
+    one = F.row_number().over(Window.partitionBy("_doc_ka", "_doc_kb").orderBy("_doc_ka"))
+    return joined.withColumn("_copy", one).where("_copy = 1").select(*[docs[c] for c in docs.columns])
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
