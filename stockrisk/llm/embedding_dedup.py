@@ -40,7 +40,7 @@ LEAST_LISTS, MOST_LISTS = 8, 2048
 FILED_TILE = 1024
 QUERY_TILE = 4096
 
-_PROBED = "label long, width int, list int, filed boolean, rid long, copies long, codes binary, error double, vector array<double>"
+_PROBED = "label long, width int, list int, filed boolean, rid long, copies long, codes binary, error double"
 _FOUND = "kind int, a long, b long"
 
 
@@ -98,7 +98,8 @@ def _probe(vectors: DataFrame, index: Index, radius: float) -> DataFrame:
                 out["error"] = error[row]
                 yield out[["label", "width", "list", "filed", "rid", "copies", "codes", "error", "vector"]]
 
-    return vectors.mapInPandas(run, _PROBED)
+    # Vectors travel as they are stored, in single precision if they came so; tasks compute in double.
+    return vectors.mapInPandas(run, f"{_PROBED}, vector {vectors.schema['vector'].dataType.simpleString()}")
 
 
 def _compare(tile: pd.DataFrame, pq: Index, cosine: float, radius: float) -> pd.DataFrame:
@@ -190,7 +191,7 @@ def near_dedup(
         .groupBy("ka", "kb")
         .agg(
             F.first("label").cast("long").alias("label"),
-            F.first(F.transform("embedding", lambda x: x.cast("double"))).alias("vector"),
+            F.first("embedding").alias("vector"),
             F.count(F.lit(1)).alias("copies"),
             F.min("vec_id").alias("first"),
         )
