@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from html import unescape
+from itertools import accumulate
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""")
 _LOOSE_TAG = re.compile(r"</?[a-zA-Z][^>]*>")
@@ -38,8 +39,9 @@ P_ENDS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
     "h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
-NOISE_TAGS = frozenset("nav aside footer form dialog menu head".split())
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu form".split())
+NOISE_TAGS = frozenset("nav aside footer dialog menu head".split())
+NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu".split())
+STATE_WORDS = frozenset("has no not with without is layout open opened closed fixed enabled disabled".split())
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation "
     "menu breadcrumb breadcrumbs sidebar widget widgets footer header masthead topbar cookie cookies consent gdpr notice "
@@ -53,31 +55,93 @@ class Block:
     path: tuple[str, ...]
     text: str
     linked: int  # code points of the text inside links
-    zone: int  # 0 in a branch named as boilerplate, 1 in an article or main element, 2 elsewhere
+    zone: int  # 0 in a branch taken for boilerplate, 1 in an article or main element, 2 elsewhere
 
 
 @dataclass
 class _Open:
     tag: str
     name: str
-    zone: int
+    node: int
     inline: bool
     children: list[str]
 
 
-def _named(tag: str, attributes: str) -> tuple[str, bool]:
-    """Name of an element in a path, and whether its role or words say boilerplate."""
+@dataclass
+class _Node:
+    """An element that is not inline, as ``_zones`` needs it."""
+
+    above: int
+    tag: str
+    mark: int  # what its tag, role and words say
+    text: int = 0  # code points of its own blocks
+
+
+PLAIN, BOILERPLATE, EVIDENCE = 0, 1, 2
+LEAST_FREE = 0.05
+
+
+def _named(tag: str, attributes: str) -> tuple[str, int]:
+    """Name of an element in a path, and what its tag, role and words say.
+
+    A token of class or id that holds a state word (has-sidebar,
+    comments-open) says how a layout looks, not what stands in the branch.
+    """
     words: list[str] = []
+    telling: list[str] = []
     role = ""
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if key in ("class", "id"):
-                words += [w for w in _SPLIT.split(value) if w]
+                for token in value.split():
+                    parts = [w for w in _SPLIT.split(token) if w]
+                    words += parts
+                    if STATE_WORDS.isdisjoint(parts):
+                        telling += parts
             elif key == "role":
                 role = value.strip()
-    noise = role in NOISE_ROLES or not NOISE_WORDS.isdisjoint(words)
-    return ".".join([tag, *sorted(set(words))]), noise
+    mark = PLAIN
+    if tag in NOISE_TAGS:
+        mark = BOILERPLATE
+    elif tag not in ("html", "body", "main"):
+        if role in NOISE_ROLES:
+            mark = BOILERPLATE
+        elif tag == "form" or role == "form" or not NOISE_WORDS.isdisjoint(telling):
+            mark = EVIDENCE
+    return ".".join([tag, *sorted(set(words))]), mark
+
+
+def _zones(nodes: list[_Node]) -> list[int]:
+    """Zone of every element, given in page order.
+
+    Evidence is overruled where a branch holds more than half of the page's
+    text that is no certain boilerplate. Such branches lie within each other;
+    they are opened from the outside until ``LEAST_FREE`` of that text stands
+    free in article or main elements, or all of them where it never does.
+    """
+    size = len(nodes)
+    certain, shut, in_main, depth = [False] * size, [False] * size, [False] * size, [0] * size
+    own = [n.text for n in nodes]
+    for i, n in enumerate(nodes):
+        above = max(n.above, 0)
+        certain[i] = certain[above] or n.mark == BOILERPLATE or (n.tag == "header" and not in_main[above])
+        in_main[i] = in_main[above] or n.tag in ("article", "main")
+        own[i] *= not certain[i]
+    whole = own[:]
+    for i in range(size - 1, 0, -1):
+        whole[nodes[i].above] += whole[i]
+    free = [0] * (size + 1)  # article and main text by the number of wide branches it stands in
+    for i, n in enumerate(nodes):
+        above = max(n.above, 0)
+        wide = n.mark == EVIDENCE and 2 * whole[i] > whole[0]
+        shut[i] = shut[above] or certain[i] or (n.mark == EVIDENCE and not wide)
+        depth[i] = depth[above] + wide
+        if in_main[i] and not shut[i]:
+            free[depth[i]] += own[i]
+    reached = accumulate(free)
+    opened = next((k for k, text in enumerate(reached) if text and text >= LEAST_FREE * whole[0]), size)
+    return [0 if shut[i] or depth[i] > opened else 1 if in_main[i] else 2 for i in range(size)]
 
 
 def read_blocks(html: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
@@ -85,6 +149,7 @@ def read_blocks(html: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]
     blocks: list[Block] = []
     styles: dict[tuple[str, ...], list[str]] = {}
     stack: list[_Open] = []
+    nodes = [_Node(-1, "", PLAIN)]  # the page itself
     path: tuple[str, ...] = ()
     pieces: list[tuple[str, bool]] = []
     links = 0
@@ -94,8 +159,9 @@ def read_blocks(html: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]
             text = " ".join(unescape("".join(p for p, _ in pieces)).split())
             if text:
                 linked = sum(len(" ".join(unescape(p).split())) for p, inside in pieces if inside)
-                zone = next((o.zone for o in reversed(stack) if not o.inline), 2)
-                blocks.append(Block(path, text, min(linked, len(text)), zone))
+                node = stack[-1].node if stack else 0
+                blocks.append(Block(path, text, min(linked, len(text)), node))  # its zone is known at the end
+                nodes[node].text += len(text)
             pieces.clear()
 
     def close(depth: int) -> None:
@@ -168,7 +234,7 @@ def read_blocks(html: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]
                 pieces.append((" ", links > 0))
             continue
         if tag in INLINE:
-            stack.append(_Open(tag, tag, stack[-1].zone if stack else 2, True, []))
+            stack.append(_Open(tag, tag, stack[-1].node if stack else 0, True, []))
             links += tag == "a"
             continue
         ends, stop = CLOSED_BY.get(tag, ("", frozenset()))
@@ -180,17 +246,16 @@ def read_blocks(html: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]
             if stack[i].tag in stop or stack[i].tag in ("td", "th", "table", "button", "object"):
                 break
         flush()
-        name, noise = _named(tag, attributes)
+        name, mark = _named(tag, attributes)
         above = next((o for o in reversed(stack) if not o.inline), None)
-        zone = above.zone if above else 2
-        if tag in NOISE_TAGS or (tag == "header" and zone != 1) or (noise and tag not in ("html", "body", "main")):
-            zone = 0
-        elif zone and tag in ("article", "main"):
-            zone = 1
         if above:
             above.children.append(name)
-        stack.append(_Open(tag, name, zone, False, []))
+        nodes.append(_Node(above.node if above else 0, tag, mark))
+        stack.append(_Open(tag, name, len(nodes) - 1, False, []))
         path = (*path, name)
     close(0)
     flush()
+    zones = _zones(nodes)
+    for b in blocks:
+        b.zone = zones[b.zone]
     return blocks, styles

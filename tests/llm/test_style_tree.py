@@ -32,6 +32,30 @@ def test_blocks(html, want):
     assert kept(html) == want
 
 
+LONG = "The text of the page, which is longer than all that stands around it. " * 5
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<div class="wrap has-sidebar"><article>{LONG}</article><div class="sidebar">s</div></div>',
+        f'<div class="site header-fixed"><div id="header">h</div><article>{LONG}</article></div>',
+        f'<article class="post comments-open">{LONG}<div class="comments">c</div></article>',
+        f'<form id="aspnet"><nav>n</nav><article>{LONG}</article><footer>f</footer></form>',
+        f'<form><div class="page-sidebar">x<article><h1>T</h1>{LONG}<div class="share">s</div></article></div></form>',
+        f'<article><h1>T</h1><form>{LONG}</form></article>',
+        f'<article>{LONG}</article><ol class="comment-list"><li><article>{LONG}</article><li><article>{LONG}</article></ol>',
+    ],
+)
+def test_layout_words_and_forms_hide_no_article(html):
+    assert [t for t in kept(html) if t not in ("T", "x")] == [LONG.strip()]
+
+
+def test_a_form_around_a_page_without_article():
+    blocks = read_blocks(f'<form><div class="ad">a</div><div>{LONG}</div><form>')[0]
+    assert [(b.text, b.zone) for b in blocks] == [("a", 0), (LONG.strip(), 2)]
+
+
 def plain_article(html):
     inner = re.search(r"<article>(.*)</article>", html, re.S).group(1)
     blocks = [" ".join(unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
