@@ -9,18 +9,23 @@ the weights 0.1 and 0.9 and lowered by the share of link text: what a template
 repeats has none, what each page writes anew has all of it. Branches of low
 importance are removed from every page.
 
-Two things a page says itself come before the figures. A branch named as
-boilerplate (nav, aside, footer, a role, or words of its class and id) has
-importance 0: rotating menus and adverts differ from page to page and would
-pass for content. A branch in an article or main element has importance 1:
-pages that repeat an article are copies, not templates. Where a page has such
-an element, nothing outside it is main text.
+What a page says itself is a prior. A branch taken for boilerplate (nav, aside,
+footer, a role, or words of its class and id, see ``dom``) has importance 0:
+rotating menus and adverts differ from page to page and would pass for content.
+Where a page has an article or main element, nothing outside it is main text,
+and inside it takes more to be a template: a node below ``LEAST_IN_MAIN``, or a
+text whose own importance at its node, 1 - log_m n, is below it and that stands
+on half of the m pages or more, m being ``MIN_MAIN_PAGES`` at least. So a share
+line that stands everywhere goes even where it is one paragraph of many. Links
+are no sign of a template there. A page that would lose its whole article
+keeps it.
 
 Hosts with fewer than ``MIN_PAGES`` distinct pages have no template to learn;
 their unnamed branches lose importance by link text alone.
 
 Defined cases: NULL or empty html gives the empty text; a NULL url is a host
-of its own; repeated pages count once for the tree, and each gets its text.
+of its own; repeated pages, and pages with the same article, count once for
+the tree, and each gets its text.
 """
 
 from __future__ import annotations
@@ -36,12 +41,14 @@ from stockrisk.llm.dom import read_blocks
 from stockrisk.sources.sinks import pin
 
 MIN_PAGES = 3
+MIN_MAIN_PAGES = 5
 LEAST_IMPORTANCE = 0.3
+LEAST_IN_MAIN = 0.1
 CONTENT_WEIGHT = 0.9
 PRESENTATION, CONTENT, PAGE = 0, 1, 2
 
 _READ = (
-    "page_id string, url string, host string, page_key long, "
+    "page_id string, url string, host string, page_key long, copy_key long, "
     "blocks array<struct<path:long,text:string>>, main boolean, "
     "nodes array<struct<path:long,kind:tinyint,value:long,weight:int,linked:int>>"
 )
@@ -88,6 +95,8 @@ def read_pages(pages: DataFrame) -> DataFrame:
                 read = [read_page(h or "") for h in frame["html"]]
                 out = frame[["page_id", "url", "host", "page_key"]].copy()
                 out["blocks"], out["main"], out["nodes"] = ([r[i] for r in read] for i in range(3))
+                # Pages with one article are copies, whatever stands around it.
+                out["copy_key"] = [_hash("\n".join(b["text"] for b in r[0])) if r[1] else k for r, k in zip(read, frame["page_key"], strict=True)]
                 yield out
 
     # The id travels as text: pandas has no long column with NULLs.
@@ -98,17 +107,25 @@ def read_pages(pages: DataFrame) -> DataFrame:
     return pin(source.mapInPandas(run, _READ).withColumn("page_id", F.col("page_id").cast(kind)), "style_tree")
 
 
-def node_importance(read: DataFrame, content_weight: float = CONTENT_WEIGHT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The merged trees: host, path, pages, importance of every node."""
-    # Repeated pages are one: each of c copies counts as 1 / c. Only keys that do repeat are joined.
+def weighed(read: DataFrame, *columns: Column | str) -> DataFrame:
+    """host, share and ``columns`` of every page: each of c copies counts as 1 / c."""
+    # Only keys that do repeat are joined.
     repeated = pin(
-        read.groupBy("host", "page_key").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1"), "repeated_pages"
-    ).withColumnsRenamed({"host": "_host", "page_key": "_key"})
-    own = read.select("host", "page_key", "nodes").join(
-        repeated, (F.col("host") == F.col("_host")) & (F.col("page_key") == F.col("_key")), "left"
+        read.groupBy("host", "copy_key").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1"), "repeated_pages"
+    ).withColumnsRenamed({"host": "_host", "copy_key": "_key"})
+    own = read.select("host", "copy_key", *columns).join(
+        repeated, (F.col("host") == F.col("_host")) & (F.col("copy_key") == F.col("_key")), "left"
     )
-    share = 1 / F.coalesce("_copies", F.lit(1))
-    nodes = own.select("host", share.alias("share"), F.explode("nodes").alias("n")).select("host", "share", "n.*")
+    return own.withColumn("share", 1 / F.coalesce("_copies", F.lit(1))).drop("copy_key", "_host", "_key", "_copies")
+
+
+def node_importance(read: DataFrame, content_weight: float = CONTENT_WEIGHT, min_pages: int = MIN_PAGES) -> DataFrame:
+    """The merged trees: host, path, pages, importance of every node.
+
+    ``learned`` is the importance without links, ``common`` the pages of the
+    node's most repeated text.
+    """
+    nodes = weighed(read, "nodes").select("host", "share", F.explode("nodes").alias("n")).select("host", "share", "n.*")
     spread = nodes.groupBy("host", "path", "kind", "value").agg(
         F.round(F.sum("share")).alias("n"),
         F.sum(F.col("weight") * F.col("share")).alias("weight"),
@@ -121,6 +138,7 @@ def node_importance(read: DataFrame, content_weight: float = CONTENT_WEIGHT, min
         F.sum(F.when(F.col("kind") == CONTENT, F.col("weight"))).alias("weight"),
         F.sum(F.when(F.col("kind") == CONTENT, F.col("weight") * F.log("n"))).alias("repeated"),
         F.sum(F.when(F.col("kind") == CONTENT, F.col("linked"))).alias("linked"),
+        F.max(F.when(F.col("kind") == CONTENT, F.col("n"))).alias("common"),
     )
     scale = F.log("pages")
     # sum p log(1/p) over styles with p = n / styles
@@ -128,9 +146,45 @@ def node_importance(read: DataFrame, content_weight: float = CONTENT_WEIGHT, min
     content = F.coalesce(1 - F.col("repeated") / F.col("weight") / scale, F.lit(1.0))
     links = F.coalesce(F.col("linked") / F.col("weight"), F.lit(0.0))
     learned = (1 - content_weight) * F.least(entropy, F.lit(1.0)) + content_weight * content
-    return node.select(
-        "host", "path", "pages", (F.when(F.col("pages") >= min_pages, learned).otherwise(1.0) * (1 - links)).alias("importance")
+    known = F.when(F.col("pages") >= min_pages, learned).otherwise(1.0)
+    return node.select("host", "path", "pages", (known * (1 - links)).alias("importance"), learned.alias("learned"), "common")
+
+
+def _repeats(n: Column, pages: Column) -> Column:
+    """Whether a text on n of a node's pages is a template in an article."""
+    return (n * 2 >= pages) & (1 - F.log(n) / F.log(pages) < LEAST_IN_MAIN)
+
+
+def removed_blocks(read: DataFrame, least: float, content_weight: float, min_pages: int) -> DataFrame:
+    """_host, _key (of the page), _removed: the places of the blocks a page loses, where it loses any."""
+    enough = F.col("pages") >= max(min_pages, MIN_MAIN_PAGES)
+    judged = (
+        node_importance(read, content_weight, min_pages)
+        .select(
+            "host", "path", "pages", (F.col("importance") < least).alias("low"),
+            (enough & (F.col("learned") < LEAST_IN_MAIN)).alias("low_in_main"),
+            F.coalesce(enough & _repeats(F.col("common"), F.col("pages")), F.lit(False)).alias("mixed"),
+        )
+        .where("low or low_in_main or mixed")
+    )
+    judged = pin(judged, "judged")
+    placed = F.transform("blocks", lambda b, i: F.struct(b["path"].alias("path"), F.xxhash64(b["text"]).alias("value"), i.alias("at")))
+    texts = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), F.xxhash64(b["text"]).alias("value"))))
+    common = (
+        weighed(read.where("main"), texts.alias("texts"))
+        .select("host", "share", F.inline("texts"))
+        .join(judged.where("mixed and not low_in_main").select("host", "path", "pages"), ["host", "path"])
+        .groupBy("host", "path", "value")
+        .agg(F.round(F.sum("share")).alias("n"), F.max("pages").alias("pages"))
+        .where(_repeats(F.col("n"), F.col("pages")))
+        .select("host", "path", "value")
     )
+    # A row a block, without its text; hot nodes are split by the skew join, as the judged side has one row of each.
+    blocks = read.select("host", "page_key", "main", F.inline(placed))
+    by_node = blocks.join(judged, ["host", "path"]).where((F.col("main") & F.col("low_in_main")) | (~F.col("main") & F.col("low")))
+    by_text = blocks.where("main").join(pin(common, "common_texts"), ["host", "path", "value"])
+    lost = by_node.select("host", "page_key", "at").unionByName(by_text.select("host", "page_key", "at"))
+    return lost.groupBy(F.col("host").alias("_host"), F.col("page_key").alias("_key")).agg(F.collect_set("at").alias("_removed"))
 
 
 def main_text(
@@ -138,14 +192,13 @@ def main_text(
 ) -> DataFrame:
     """page_id, url, text (blocks in page order, one per line) of every page."""
     read = read_pages(pages)
-    low = node_importance(read, content_weight, min_pages).where(F.col("importance") < least)
-    # Only pages without an article or main element are judged by the figures.
-    asked = read.where(~F.col("main") & (F.size("blocks") > 0)).select("host").distinct()
-    removed = pin(low.join(asked, "host").groupBy("host").agg(F.collect_set("path").alias("_removed")), "removed")
-    named = removed.withColumnRenamed("host", "_host")
-    joined = read.drop("nodes").join(named, F.col("host") == F.col("_host"), "left")
-    kept = F.filter("blocks", lambda b: F.col("main") | F.col("_removed").isNull() | ~F.array_contains("_removed", b["path"]))
-    return joined.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))
+    removed = pin(removed_blocks(read, least, content_weight, min_pages), "removed")
+    joined = read.drop("nodes").join(removed, (F.col("host") == F.col("_host")) & (F.col("page_key") == F.col("_key")), "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("blocks") - 1), "_removed")
+    # Copies of one article that differ in a word are no template either.
+    whole = F.col("_removed").isNull() | (F.col("main") & (F.size(left) == 0))
+    kept = F.when(whole, F.col("blocks.text")).otherwise(F.transform(left, lambda i: F.get("blocks", i)["text"]))
+    return joined.select("page_id", "url", F.array_join(kept, "\n").alias("text"))
 
 
 def page_report(pages: DataFrame) -> DataFrame:

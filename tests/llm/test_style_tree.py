@@ -96,6 +96,25 @@ def test_copies_of_a_nameless_page_are_no_template(spark):
     assert {r.pages for r in node_importance(read_pages(pages)).collect()} == {2.0}
 
 
+def story(n, around=""):
+    return f"<body>{around}<article><p>Story {n} begins.<p>And story {n} ends.<div class=b>Pass this on</div><p>Read us daily</article></body>"
+
+
+def test_templates_in_articles_go_and_copied_articles_stay(spark):
+    rows = [(n, f"http://d.example/{n}", story(n)) for n in range(9)]
+    rows += [(n, f"http://d.example/{n}", story(0, f"<div>menu {n}</div>")) for n in range(20, 60)]
+    rows += [(n, f"http://e.example/{n}", f"<article><p>One text.<p>Two.</article><div>{n}</div>") for n in range(100, 120)]
+    rows += [(n, f"http://f.example/{n}", story(7).replace("daily", f"on day {n}")) for n in range(200, 203)]
+    rows += [(n, f"http://g.example/{n}", f"<article><ul><li><a href=/{n}>Link {n}</a></ul></article>") for n in range(300, 310)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert all(got[n] == f"Story {n} begins.\nAnd story {n} ends." for n in range(9))
+    assert all(got[n] == "Story 0 begins.\nAnd story 0 ends." for n in range(20, 60))
+    assert all(got[n] == "One text.\nTwo." for n in range(100, 120))
+    assert all(got[n] == f"Story 7 begins.\nAnd story 7 ends.\nPass this on\nRead us on day {n}" for n in range(200, 203))
+    assert all(got[n] == f"Link {n}" for n in range(300, 310))
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (None, "http://h/", ""), (3, "no url", "<p>x"), (3, "no url", "<p>x"), (4, "http://h/q", "<article>same</article>"),
             (5, "http://h/r", "<article>same</article>"), (6, "http://h/s", "<article>same</article>")]
