@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockrisk.llm.dom import read_blocks
-from stockrisk.llm.style_tree import main_text, node_importance, page_report, read_pages
+from stockrisk.llm.style_tree import main_text, node_importance, page_report, read_pages, removed_blocks
 
 
 def kept(html):
@@ -115,6 +115,17 @@ def test_templates_in_articles_go_and_copied_articles_stay(spark):
     assert all(got[n] == f"Link {n}" for n in range(300, 310))
 
 
+def test_nameless_pages_lose_by_generated_names(spark):
+    """Nodes of one page each are judged by links; a page loses its own, whatever their number on the host."""
+    rows = [(n, f"http://h.example/{n}", f"<div class=x{chr(97 + n)}q><a href=/>Link {n}</a></div>" + soup(n)) for n in range(20)]
+    pages = spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in main_text(pages).collect())
+    want = [(n, "\n".join(f"Sentence {n} {k} of its own." for k in range(1 + n % 4))) for n in range(20)]
+    assert got == sorted(want + want[:1])
+    lost = removed_blocks(read_pages(pages), 0.3, 0.9, 3).collect()
+    assert len(lost) == 20 and all(len(r["_removed"]) == 4 for r in lost)  # of its own blocks, not the host's paths
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (None, "http://h/", ""), (3, "no url", "<p>x"), (3, "no url", "<p>x"), (4, "http://h/q", "<article>same</article>"),
             (5, "http://h/r", "<article>same</article>"), (6, "http://h/s", "<article>same</article>")]
