@@ -4,9 +4,12 @@ Texts are profiles of hashed byte bigrams and trigrams of their letters.
 Languages are grouped into families by the likeness of their mean profiles
 (average linkage); one machine per family tells it from the others, and
 within a family one-versus-one machines vote. All are linear support vector
-machines fitted by the driver on a bounded sample: about ``sample`` documents
-of each language, or an equal share of ``rows_in_all``, profiled by Spark,
-never from the held-out fold.
+machines fitted on about ``SAMPLE`` distinct documents of every language there
+is, profiled by Spark, never from the held-out fold. A sample of up to
+``DRIVER_ROWS`` rows is fitted by the driver. A larger one, of more languages,
+stays in the shared folder: its mean profiles are gathered per language, the
+families' machines descend by gradients summed over its parts, and each task
+fits the machines inside one family.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0;
 with no labelled documents so is every text; with one language every other
@@ -27,12 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from stockrisk.llm.common import held_out
-from stockrisk.llm.linear import fit_svms
+from stockrisk.llm.linear import descend, fit_svms
+from stockrisk.sources.sinks import pin
 
 BUCKETS = 4096
 SAMPLE = 400  # documents of each language, about
-SAMPLE_ROWS = 6000  # of all languages together, about
-LANGUAGES = 200  # languages learned, the most frequent first
+DRIVER_ROWS = 6000  # larger samples are fitted by tasks
 UNKNOWN = "und"  # FIXED VALUE
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.full(256, 32, dtype=np.uint32)  # anything but a letter is a blank
@@ -60,7 +63,7 @@ def profile(text: str) -> np.ndarray:
 class Model:
     families: list[list[str]]
     family_weights: np.ndarray
-    pairs: list[tuple[int, int, int]]  # family, and the two languages' places in it
+    pairs: list[tuple[int, int, int]]  # family, and the two languages' places in it, in order
     pair_weights: np.ndarray
 
     def predict(self, rows: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -68,14 +71,16 @@ class Model:
         margins = x @ self.family_weights
         family = margins.argmax(1)
         sure = 1 / (1 + np.exp(-4 * np.take_along_axis(margins, family[:, None], 1)[:, 0])) if len(self.families) > 1 else np.ones(len(x))
-        duel = x @ self.pair_weights
         wide = max(map(len, self.families))
         votes, weakest = np.zeros((len(x), wide)), np.full((len(x), wide), np.inf)
-        for k, (f, a, b) in enumerate(self.pairs):
+        firsts = np.searchsorted([f for f, _, _ in self.pairs], np.arange(len(self.families) + 1))
+        for f in np.unique(family):
             own = family == f
-            for place, margin in ((a, duel[own, k]), (b, -duel[own, k])):
-                votes[own, place] += (margin > 0) + 1e-3 * np.tanh(margin)  # votes, then margins
-                weakest[own, place] = np.minimum(weakest[own, place], margin)
+            duel = x[own] @ self.pair_weights[:, firsts[f] : firsts[f + 1]]
+            for k, (_, a, b) in enumerate(self.pairs[firsts[f] : firsts[f + 1]]):
+                for place, margin in ((a, duel[:, k]), (b, -duel[:, k])):
+                    votes[own, place] += (margin > 0) + 1e-3 * np.tanh(margin)  # votes, then margins
+                    weakest[own, place] = np.minimum(weakest[own, place], margin)
         votes[np.arange(wide)[None, :] >= np.array([len(f) for f in self.families])[family][:, None]] = -np.inf
         best = votes.argmax(1)
         low = np.take_along_axis(weakest, best[:, None], 1)[:, 0]
@@ -85,22 +90,35 @@ class Model:
 
 
 def group_families(means: np.ndarray) -> list[list[int]]:
-    """Average-linkage clusters of mean profiles: about the square root of their number."""
+    """Average-linkage clusters of mean profiles: about the square root of their number, none above twice that size."""
     groups = [[i] for i in range(len(means))]
-    like = means @ means.T
-    while len(groups) > max(1, round(len(means) ** 0.5)):
-        a, b = max(combinations(range(len(groups)), 2), key=lambda p: like[np.ix_(groups[p[0]], groups[p[1]])].mean())
+    root = len(means) ** 0.5
+    sums = (means @ means.T).astype(np.float64)  # of likeness between groups
+    while len(groups) > max(1, round(root)):
+        sizes = np.array([len(g) for g in groups])
+        like = sums / np.outer(sizes, sizes)
+        like[(sizes[:, None] + sizes[None, :] > max(2 * root, 2)) | np.tri(len(groups), dtype=bool)] = -np.inf
+        a, b = np.unravel_index(like.argmax(), like.shape)
+        if np.isinf(like[a, b]):
+            break
         groups[a] += groups.pop(b)
+        sums[a] += sums[b]
+        sums[:, a] += sums[:, b]
+        sums = np.delete(np.delete(sums, b, 0), b, 1)
     return groups
 
 
+def name_families(names: list[str], means: np.ndarray) -> list[list[str]]:
+    groups = group_families(means / np.linalg.norm(means, axis=1, keepdims=True).clip(1e-12))
+    return [[names[i] for i in sorted(g)] for g in groups]
+
+
 def fit_model(rows: np.ndarray, langs: np.ndarray) -> Model | None:
     names = sorted(set(langs))
     if not names:
         return None
     means = np.array([rows[langs == n].mean(0) for n in names])
-    groups = group_families(means / np.linalg.norm(means, axis=1, keepdims=True).clip(1e-12))
-    families = [[names[i] for i in sorted(g)] for g in groups]
+    families = name_families(names, means)
     of = {n: k for k, f in enumerate(families) for n in f}
     family = np.array([of[n] for n in langs])
     targets = np.where(family[:, None] == np.arange(len(families))[None, :], 1.0, -1.0)
@@ -112,28 +130,89 @@ def fit_model(rows: np.ndarray, langs: np.ndarray) -> Model | None:
     return Model(families, fit_svms(rows, targets), pairs, fit_svms(rows, duels))
 
 
-def training_rows(
-    docs: DataFrame, sample: int = SAMPLE, rows_in_all: int = SAMPLE_ROWS, languages: int = LANGUAGES
-) -> tuple[np.ndarray, np.ndarray]:
-    """Profiles and languages of the sample; about ``rows_in_all`` rows, at most, reach the driver."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not counts:
-        return np.zeros((0, BUCKETS)), np.zeros(0, dtype=object)
-    sample = min(sample, rows_in_all // len(counts))
-    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample / r["count"]))])
-    unit = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(9)), 11) / F.lit(float(2**53))
-    drawn = known.where(unit < F.coalesce(F.element_at(rates, F.col("lang")), F.lit(0.0))).select("doc_id", "lang", "text")
+def unpack(profiles: pd.Series) -> np.ndarray:
+    return np.array([np.frombuffer(bytes(p), dtype=np.float16) for p in profiles]).reshape(len(profiles), BUCKETS).astype(np.float32)
+
+
+def training_profiles(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """lang, key, profile of about ``sample`` distinct documents of every language, written to the shared folder."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
+        "lang", F.xxhash64("doc_id", "text").alias("key"), "text"
+    )
+    counts = known.groupBy(F.col("lang").alias("_lang")).agg(F.countDistinct("key").alias("_count"))
+    unit = F.shiftrightunsigned(F.xxhash64("key", F.lit(9)), 11) / F.lit(float(2**53))
+    rated = known.join(pin(counts, "languages"), F.col("lang") == F.col("_lang"))
+    drawn = rated.where(unit * F.col("_count") < sample).groupBy("lang", "key").agg(F.first("text").alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             read = frame[[_LETTER.search(t) is not None for t in frame["text"]]]
             packed = [profile(t).astype(np.float16).tobytes() for t in read["text"]]
-            yield pd.DataFrame({"doc_id": read["doc_id"], "lang": read["lang"], "profile": packed})
+            yield pd.DataFrame({"lang": read["lang"], "key": read["key"], "profile": packed})
 
-    rows = drawn.mapInPandas(run, "doc_id long, lang string, profile binary").toPandas().sort_values(["doc_id", "lang"])
-    profiles = [np.frombuffer(bytes(p), dtype=np.float16).astype(np.float32) for p in rows["profile"]]
-    return np.array(profiles).reshape(len(rows), BUCKETS), rows["lang"].to_numpy(dtype=object)
+    return pin(drawn.mapInPandas(run, "lang string, key long, profile binary"), "language_sample")
+
+
+def train(docs: DataFrame, sample: int = SAMPLE, driver_rows: int = DRIVER_ROWS) -> Model | None:
+    """The model of all languages; at most ``driver_rows`` profiles reach the driver."""
+    profiles = training_profiles(docs, sample)
+    counts = {r["lang"]: r["count"] for r in profiles.groupBy("lang").count().collect()}
+    if max(sum(counts.values()), len(counts) ** 2) > driver_rows:  # machines grow with the languages
+        return fit_spread(profiles, counts)
+    rows = profiles.toPandas().sort_values(["lang", "key"])
+    return fit_model(unpack(rows["profile"]), rows["lang"].to_numpy(dtype=object))
+
+
+def fit_spread(profiles: DataFrame, counts: dict[str, int]) -> Model:
+    """``fit_model`` on rows that stay with Spark: lang, profile; ``counts`` of each language."""
+
+    def mean(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"lang": frame["lang"].iloc[:1], "mean": [unpack(frame["profile"]).mean(0).tobytes()]})
+
+    means = profiles.groupBy("lang").applyInPandas(mean, "lang string, mean binary").toPandas().sort_values("lang")
+    names = means["lang"].tolist()
+    families = name_families(names, np.array([np.frombuffer(bytes(m), dtype=np.float32) for m in means["mean"]]))
+    of = {n: k for k, f in enumerate(families) for n in f}
+    positive = np.array([sum(counts[n] for n in f) for f in families], dtype=np.float32)
+    negative = np.maximum(sum(counts.values()) - positive, 1)
+    sc = profiles.sparkSession.sparkContext
+
+    def slope(w: np.ndarray) -> np.ndarray:
+        held = sc.broadcast(w)
+
+        def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros_like(held.value)
+            for whole in frames:
+                for low in range(0, len(whole), 1024):
+                    frame = whole.iloc[low : low + 1024]
+                    x = np.concatenate([unpack(frame["profile"]), np.ones((len(frame), 1), np.float32)], axis=1)
+                    own = np.array([of[n] for n in frame["lang"]])[:, None] == np.arange(len(families))[None, :]
+                    sign = np.where(own, 1, -1).astype(np.float32)
+                    weight = np.where(own, 0.5 / positive, 0.5 / negative).astype(np.float32)
+                    total -= 2 * x.T @ (weight * sign * np.maximum(1 - sign * (x @ held.value), 0))
+            yield pd.DataFrame({"slope": [total.tobytes()]})
+
+        parts = profiles.mapInPandas(part, "slope binary").collect()
+        held.destroy()
+        return sum(np.frombuffer(bytes(r["slope"]), dtype=np.float32).reshape(w.shape) for r in parts)
+
+    # Profiles are unit vectors, and one more for the bias.
+    family_weights = descend(slope, np.zeros((BUCKETS + 1, len(families)), np.float32), 4.0)
+
+    def duels(key: tuple[int], frame: pd.DataFrame) -> pd.DataFrame:
+        rows = {n: own for n, own in frame.groupby("lang")["profile"]}
+        out = []
+        for a, b in combinations(range(len(families[key[0]])), 2):
+            one, other = unpack(rows[families[key[0]][a]]), unpack(rows[families[key[0]][b]])
+            target = np.r_[np.ones(len(one)), -np.ones(len(other))][:, None]
+            out.append((key[0], a, b, fit_svms(np.concatenate([one, other]), target)[:, 0].astype(np.float32).tobytes()))
+        return pd.DataFrame(out, columns=["family", "a", "b", "weights"])
+
+    family = F.broadcast(profiles.sparkSession.createDataFrame(list(of.items()), "lang string, family int"))
+    fitted = profiles.join(family, "lang").groupBy("family").applyInPandas(duels, "family int, a int, b int, weights binary")
+    pairs = {(r["family"], r["a"], r["b"]): r["weights"] for r in fitted.collect()}
+    pair_weights = np.array([np.frombuffer(bytes(pairs[p]), dtype=np.float32) for p in sorted(pairs)]).reshape(len(pairs), BUCKETS + 1)
+    return Model(families, family_weights, sorted(pairs), pair_weights.T)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -155,7 +234,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def language_report(docs: DataFrame) -> DataFrame:
     """The query's digest: doc_id, held_out, lang_pred, score."""
-    model = fit_model(*training_rows(docs))
+    model = train(docs)
     return predict(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
     )

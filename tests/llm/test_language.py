@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from stockrisk.llm.language import fit_model, group_families, language_report, predict, profile
+from stockrisk.llm.language import fit_model, group_families, language_report, predict, profile, train, training_profiles
 from stockrisk.llm.linear import fit_svms
 
 
@@ -37,6 +37,39 @@ def test_held_out_accuracy(spark):
     assert out["score"].between(0, 1).all()
 
 
+def invented(languages, each):
+    """Rows of languages whose words are drawn from syllables of their own."""
+    rng = np.random.default_rng(1)
+    parts = [["".join(rng.choice(list("abcdefghijklmnop"), 3)) for _ in range(6)] for _ in range(languages)]
+    return [
+        (l * 1000 + k, " ".join(rng.choice(parts[l], 30)), f"l{l:03d}") for l in range(languages) for k in range(each)
+    ]
+
+
+def test_every_language_is_learned(spark):
+    rows = invented(230, 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    out = predict(docs, train(docs)).toPandas()
+    right = out["lang_pred"] == out["lang"]
+    assert right.mean() > 0.97 and out[right]["lang"].nunique() == 230
+
+
+def test_machines_fitted_by_tasks_are_the_drivers(spark):
+    docs = spark.createDataFrame(invented(9, 20), "doc_id long, text string, lang string").repartition(2)
+    here, there = train(docs), train(docs, driver_rows=10)
+    assert sorted(map(sorted, here.families)) == sorted(map(sorted, there.families)) and here.pairs == there.pairs
+    assert np.allclose(here.family_weights, there.family_weights, atol=1e-3)
+    assert np.allclose(here.pair_weights, there.pair_weights, atol=1e-3)
+
+
+def test_sample_is_bounded_by_language_and_holds_no_copies(spark):
+    rows = invented(2, 300) + [(7, "one text again and again", "l000")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = training_profiles(docs, sample=100).toPandas()
+    assert drawn["key"].is_unique
+    assert all(60 < n < 140 for n in drawn["lang"].value_counts())
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "en"), (2, "", "en"), (3, "12 !?", None), (4, "le chat et la souris " * 9, "fr"), (4, "le chat et la souris " * 9, "fr"),
             (6, "the cat and the mouse " * 9, "en"), (None, "der hund", None), (8, "the mouse " * 30000, "en")]
