@@ -3,8 +3,8 @@
 Rows are ordered by a hash of their text, so equal texts lie together. A
 sample, drawn with a chance in proportion to size, gives quantile boundaries;
 rows are range-partitioned on them, ranges that turn out overfull are
-subdivided (a range's other texts by a second hash, one very common text by
-the hash of its ids), and exact byte and row sums of the ranges place every
+subdivided, by bytes or by rows (a range's other texts by a second hash, one
+very common text by the hash of its ids), and exact byte and row sums of the ranges place every
 row on one line of bytes, cut into equal shards. Equal texts share a shard
 unless together they are over an eighth of one; those are spread by row.
 
@@ -65,7 +65,7 @@ def _lookup(bounds: DataFrame) -> DataFrame:
     )
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = None) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = None, most_rows: int = ROWS_PER_RANGE) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot (0, 1, ... within the shard) of every row of ``docs``."""
     text = F.coalesce("text", F.lit(""))
     keyed = pin(
@@ -79,9 +79,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = N
         "keyed",
     )
     rows, total = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    ranges = ranges or max(shards * RANGES_PER_SHARD, -(-rows // ROWS_PER_RANGE))
-    lookup = pin(_lookup(boundaries(keyed, ranges, total)), "splitters")
-    # 2**PREFIX_BITS rows that hold at most ``ranges`` boundaries between them.
+    ranges = ranges or max(shards * RANGES_PER_SHARD, -(-rows // most_rows))
+    # A text of many rows is a boundary, however few bytes it has: at most rows / most_rows of them.
+    many = keyed.groupBy(F.col("h").alias("bound")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_rows).select("bound")
+    lookup = pin(_lookup(boundaries(keyed, ranges, total).union(many).distinct()), "splitters")
+    # 2**PREFIX_BITS rows that hold at most ``ranges + rows / most_rows`` boundaries between them.
     found = keyed.withColumn("prefix", F.shiftright("h", 64 - PREFIX_BITS).cast("int")).join(F.broadcast(lookup), "prefix")
     ranged = found.select(
         *keyed.columns,
@@ -91,10 +93,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = N
     mean = max(total, 1) / ranges
     # Copies of one text at a boundary are parted only where they are too much for one shard.
     most = F.when(F.col("at_bound"), max(total, 1) / shards * WHOLE_SHARE).otherwise(OVERFULL * mean)
-    pieces = F.when(F.col("bytes") > most, F.ceil(F.col("bytes") / mean)).otherwise(1)
+    over = F.col("bytes") > most
+    pieces = F.greatest(F.when(over, F.ceil(F.col("bytes") / mean)).otherwise(1), F.ceil(F.col("rows") / most_rows))
     parts = pin(
-        ranged.groupBy("range", "at_bound").agg(F.sum("size").alias("bytes")).select(
-            F.col("range").alias("_r"), F.col("at_bound").alias("_a"), pieces.cast("int").alias("pieces")
+        ranged.groupBy("range", "at_bound").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).select(
+            F.col("range").alias("_r"), F.col("at_bound").alias("_a"), pieces.cast("int").alias("pieces"), over.alias("over")
         ),
         "ranges",
     )
@@ -103,7 +106,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = N
     celled = ranged.join(parts, (F.col("range") == F.col("_r")) & (F.col("at_bound") == F.col("_a"))).select(
         *ranged.columns,
         F.floor(spread * F.col("pieces")).cast("int").alias("piece"),
-        (F.col("at_bound") & (F.col("pieces") > 1)).alias("split"),
+        (F.col("at_bound") & F.col("over")).alias("split"),
     )
     cell = ["range", "at_bound", "piece"]
     line = Window.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
@@ -114,11 +117,12 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = N
             *[F.col(c).alias(f"_{c}") for c in cell],
             F.coalesce(F.sum("bytes").over(line), F.lit(0)).alias("bytes_before"),
             F.coalesce(F.sum("n").over(line), F.lit(0)).alias("rows_before"),
-        ),
+            F.sum("bytes").over(Window.partitionBy("range", "at_bound")).alias("group_bytes"),
+        ).withColumn("group_before", F.min("bytes_before").over(Window.partitionBy("_range", "_at_bound"))),
         "cells",
     )
     inside = Window.partitionBy(*cell).orderBy("h", "dh", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    copies = Window.partitionBy(*cell, "h")
+    copies = Window.partitionBy(*cell, "h")  # never a boundary's rows beyond ``most_rows``, but for equal ids
     ordered = (
         celled.join(cells, (F.col("range") == F.col("_range")) & (F.col("at_bound") == F.col("_at_bound")) & (F.col("piece") == F.col("_piece")))
         .withColumn("end", F.sum("size").over(inside) + F.col("bytes_before"))
@@ -126,7 +130,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = N
     )
     own = F.col("end") - F.col("size") / 2
     group = (F.min(F.col("end") - F.col("size")).over(copies) + F.max("end").over(copies)) / 2
-    middle = F.when(F.col("split"), own).otherwise(group)
+    # Rows at a boundary are one text: its middle needs only the sums of its cells.
+    text_middle = F.col("group_before") + F.col("group_bytes") / 2
+    middle = F.when(F.col("split"), own).when(F.col("at_bound"), text_middle).otherwise(group)
     shard = F.least(F.lit(shards - 1), F.floor(middle * shards / max(total, 1))).cast("int")
     placed = pin(ordered.select("doc_id", "size", "text_crc32", shard.alias("shard"), "pos"), "placed")
     starts = placed.groupBy(F.col("shard").alias("_shard")).agg(F.min("pos").alias("first"))

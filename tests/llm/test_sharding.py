@@ -6,7 +6,9 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from stockrisk.llm import sharding
 from stockrisk.llm.sharding import SHARDS, shard_by_bytes, shard_report
+from stockrisk.sources.sinks import pin
 
 
 def check_laws(rows, out, shards=SHARDS):
@@ -46,6 +48,20 @@ def test_hot_text_is_spread(spark):
     assert again == {(r.doc_id, r.shard, r.slot) for r in shard_by_bytes(docs).collect()}
 
 
+def test_a_text_of_many_rows_and_few_bytes_is_cut_into_cells(spark, monkeypatch):
+    """A third of the rows is empty: they share a shard, but no task holds them all."""
+    kept = {}
+    monkeypatch.setattr(sharding, "pin", lambda df, name: kept.setdefault(name, pin(df, name)))
+    rows = [(i, "") for i in range(3000)] + [(i, f"text {i} " * 200) for i in range(3000, 9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = shard_by_bytes(docs, most_rows=500).collect()
+    load = check_laws(rows, out)
+    assert len({r.shard for r in out if r["size"] == 8}) == 1
+    assert max(load.values()) < 1.05 * sum(load.values()) / SHARDS
+    starts = sorted(r.rows_before for r in kept["cells"].collect()) + [len(rows)]
+    assert max(b - a for a, b in zip(starts, starts[1:])) < 750
+
+
 @pytest.mark.parametrize("shards", [1, 5])
 def test_edge_rows(spark, shards):
     rows = [(1, None), (2, ""), (2, ""), (None, "x"), (4, "é" * 60000), (5, "b")]
