@@ -84,14 +84,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int =
     # At most 2 * sample ids.
     chosen = F.broadcast(picked[0].unionByName(picked[1]).withColumnRenamed("doc_id", "_id"))
     texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
+    # One text of an id, the least, whatever the number of its rows.
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [features(t).tolist() for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "features": found})
 
-    rows = texts.mapInPandas(run, "doc_id long, label int, features array<double>").toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
+    rows = texts.mapInPandas(run, "doc_id long, label int, features array<double>").toPandas().sort_values("doc_id")
     return np.array(rows["features"].tolist()).reshape(len(rows), len(FEATURES)), rows["label"].to_numpy(float)
 
 

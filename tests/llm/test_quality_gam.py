@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockrisk.llm import gam
-from stockrisk.llm.quality import FEATURES, features, keep_good, quality_report
+from stockrisk.llm.common import held_out
+from stockrisk.llm.quality import FEATURES, features, keep_good, quality_report, training_rows
 
 SF = "/root/testdata/sf0.01"
 
@@ -67,3 +68,14 @@ def test_edge_rows(spark):
         assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
     assert quality_report(docs.limit(0), some).count() == 0
     assert keep_good(docs, some, 0.0).columns == docs.columns and keep_good(docs, some, 0.0).count() == len(rows)
+
+
+def test_an_id_of_many_rows_is_one_row_of_the_sample(spark):
+    """The least text of an id is learned, chosen before rows reach the driver."""
+    texts = [(1, f"zz {k} later text!") for k in range(500)] + [(1, "Aa first text"), (2, None), (4, "four words of text")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 4)], "doc_id long, quality int")
+    rows, marks = training_rows(docs, labels.where(~held_out(F.col("doc_id"))), "quality")
+    ids = [r.doc_id for r in labels.where(~held_out(F.col("doc_id"))).orderBy("doc_id").collect()]
+    want = {1: features("Aa first text"), 2: features(None), 4: features("four words of text")}
+    assert 1 in ids and np.allclose(rows, [want[i] for i in ids]) and marks.tolist() == [i % 2 for i in ids]
