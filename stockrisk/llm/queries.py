@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockrisk.llm import embedding_dedup, language, mixing, order_minhash, pii, quality, sentencepieces, sharding, simhash, style_tree
+from stockrisk.llm import alignment, embedding_dedup, language, mixing, order_minhash, pii, quality, sentencepieces, sharding, simhash, style_tree
 from stockrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_path, piece_path = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), byte_path, piece_path)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pq_near_dedup": op1_pq_near_dedup,
     "op2_site_style_tree": op2_site_style_tree,
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {}
