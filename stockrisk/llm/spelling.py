@@ -15,6 +15,11 @@ the last of them keeps every letter apart. Words of one reduced word are
 dealt over units of about ``UNIT`` words, and units, not reduced words, are
 joined, so a crowded reduced word is many rows and tasks.
 
+Most neighbours are the reduced word of nothing. A bitmap of ``2**BITMAP_BITS``
+bits, a fixed size, tells the tasks which codes are surely not there before
+they are shuffled; the join decides about the rest, which grow to all of them
+as a vocabulary outgrows the bitmap.
+
 Only vocabulary is shuffled: tasks count the words of their texts in tables of
 bounded size before the first exchange.
 
@@ -52,6 +57,7 @@ SYMBOLS = (4, 8, 16, 32, len(LETTERS))
 SHARED = 8.0  # words of a reduced word, as a word meets them
 UNIT = 256  # words compared as one
 TABLE_WORDS = 300_000  # distinct words a task counts before it hands them on
+BITMAP_BITS = 27
 SYMBOLS_AT_ONCE = 1 << 17  # length of the reduced words worked on at once
 _RUN = re.compile(f"[a-zÀ-ÿ]{{{LEAST_LETTERS},}}")
 _BASE = 0x9E3779B97F4A7C15
@@ -184,6 +190,16 @@ def choose_symbols(words: DataFrame, shared: float = SHARED) -> int:
     return SYMBOLS[-1]
 
 
+def code_bitmap(codes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+    """Bytes of a bitmap of the codes' upper ``bits`` bits: bit k of byte j for the value 8 j + k."""
+    place = F.shiftrightunsigned("code", 64 - bits) + 1  # the functions' buckets are numbered from 1
+    filled = codes.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap"))
+    out = np.zeros(max(1 << (bits - 3), 4096), np.uint8)
+    for row in filled.toLocalIterator():
+        out[(row["bucket"] - 1) * 4096 : row["bucket"] * 4096] = np.frombuffer(bytes(row["bitmap"]), np.uint8)
+    return out
+
+
 def near_words(words: DataFrame, symbols: int, unit: int = UNIT) -> DataFrame:
     """All pairs of words exactly one edit apart, once each: a, n_a, b, n_b."""
     coded = reduce_words(words, symbols)
@@ -199,21 +215,27 @@ def near_words(words: DataFrame, symbols: int, unit: int = UNIT) -> DataFrame:
     dealt = coded.join(crowded, F.col("code") == F.col("_code"), "left").withColumn("units", F.coalesce("units", F.lit(1)))
     dealt = pin(dealt.select("word", "n", name(F.col("code"), nth).alias("unit")), "dealt")
 
+    bitmap = words.sparkSession.sparkContext.broadcast(code_bitmap(units))
+
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        there, drop = bitmap.value, np.uint64(64 - BITMAP_BITS)
         for frame in frames:
             listed = frame["one"].tolist()
             codes, names = frame["code"].to_numpy(np.int64), frame["unit"].to_numpy(np.int64)
             for low, high in _chunks(listed):
                 for row, code in Reduced(listed[low:high], symbols).neighbours():
                     row = row + low
-                    asked = code < codes[row]
+                    place = (code.view(np.uint64) >> drop).astype(np.int64)
+                    asked = (code < codes[row]) & (there[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
                     yield pd.DataFrame({"code": code[asked], "asker": names[row[asked]]})
 
     each = units.select("code", "one", "units", F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("i"))
     named = each.select("code", "one", name(F.col("code"), F.col("i")).alias("unit"))
     # One plan at every size: the reduced vocabulary grows with the corpus.
     asked = named.select("code", F.col("unit").alias("asked")).hint("merge")
-    apart = named.mapInPandas(ask, "code long, asker long").join(asked, "code").select("asker", "asked")
+    # Questions are much work on few bytes: as many tasks as any exchange.
+    spread = named.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "code")
+    apart = spread.mapInPandas(ask, "code long, asker long").join(asked, "code").select("asker", "asked")
     alike = each.select("code", "i", F.explode(F.sequence("i", F.col("units") - 1)).alias("j")).select(
         name(F.col("code"), F.col("i")).alias("asker"), name(F.col("code"), F.col("j")).alias("asked")
     )

@@ -5,9 +5,10 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from stockrisk.llm.spelling import SYMBOLS, Reduced, _symbol_table, choose_symbols, count_words, follow_forms, group_variants, near_words, spelling_report
+from stockrisk.llm.spelling import SYMBOLS, Reduced, _symbol_table, choose_symbols, code_bitmap, count_words, follow_forms, group_variants, near_words, spelling_report
 
 SF = "/root/testdata/sf0.001"
 
@@ -114,6 +115,13 @@ def test_alphabet_follows_the_vocabulary(spark):
     assert near_words(few, 4).count() == 0
 
 
+def test_bitmap_holds_the_codes(spark):
+    codes = [0, 1, -1, 2**62, -(2**63), 123456789 << 30]
+    bitmap = code_bitmap(spark.createDataFrame([(c,) for c in codes], "code long"), 20)
+    bits = {int(i) for i in np.flatnonzero(np.unpackbits(bitmap, bitorder="little"))}
+    assert bits == {(c % 2**64) >> 44 for c in codes}
+
+
 def test_defined_cases(spark):
     rows = [(None, "L\u00c9gendes L\u00c9gendes l\u00c9gendes"), (1, None), (2, ""), (3, "x" * 50000 + " " + "x" * 50000), (4, "same words here " * 3)]
     rows += [(5, "variant variant variantt variantt")] * 10 + [(6, "\u00d7\u00f7\u00d7\u00f7\u00d7\u00f7\u00d7 1 \u00d7\u00f7\u00d7\u00f7\u00d7\u00f7\u00d7")]
