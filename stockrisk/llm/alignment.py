@@ -11,11 +11,11 @@ A tokens where a B token ends too, so a batch takes as many steps as its
 longest lane has links, not as its longest document.
 
 An id pair's count is the number of documents that hold it linked. Counts are
-grouped sums over all documents' distinct pairs; they are joined back to the
-documents by a join the planner chooses by the stored size of the counts.
+grouped sums over all documents' distinct pairs, joined back to them by pair;
+pairs that many documents hold are split by the skew join.
 
-Both libraries segment each distinct chunk once per task (what A's own
-pattern cuts, B's marked words); ids are joined by position.
+Both libraries segment each distinct chunk (see ``ChunkIds``) once per task;
+ids are joined by position.
 
 Defined cases: a text that is NULL or empty, or that one of the tokenizers
 doesn't give back byte by byte, has no tokens: zeros, and an empty
@@ -28,26 +28,27 @@ so their names can't clash.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stockrisk.llm.sentencepieces import MARK, ChunkTable
+from stockrisk.llm.sentencepieces import MARK
 from stockrisk.sources.sinks import pin
 
 LANE = 512  # A tokens after which a document is parted at the next candidate
-TABLE_CHUNKS = 200_000  # distinct chunks a task's table holds, for each tokenizer
+TABLE_CHUNKS = 400_000  # distinct chunks a task's table holds
 BATCH_CHARS = 1 << 20  # code points aligned at once; a longer text is a batch of its own
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 _OUT = pa.schema(
     [
@@ -63,27 +64,6 @@ _OUT = pa.schema(
 )
 
 
-class _ByteLibrary:
-    """The byte-level library with the interface ``ChunkTable`` asks for."""
-
-    def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
-
-    def encode(self, chunks: list[str], num_threads: int = 1) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-
-class ByteChunks(ChunkTable):
-    """Ids of the chunks that the byte-level tokenizer's pattern cuts a text into, each worked out once."""
-
-    def __init__(self, tokenizer: Tokenizer, pattern: str, chunks: int):
-        self.processor, self.words, self.pattern = _ByteLibrary(tokenizer), chunks, regex.compile(pattern)
-        self._clear()
-
-    def keys(self, text: str) -> list[str]:
-        return self.pattern.findall(text)
-
-
 def byte_level_bytes(tokenizer: Tokenizer) -> list[bytes]:
     """Bytes of every id: byte-level entries write printable bytes as themselves, the others as 256, 257, ..."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -150,44 +130,107 @@ def lane_starts(a_end: np.ndarray, b_end: np.ndarray, a_first: np.ndarray, b_fir
     return a[order], b[order]
 
 
+class ChunkIds:
+    """Ids of chunks by both tokenizers, each chunk segmented once.
+
+    A chunk ends where one space stands between two characters that are no
+    white space: both tokenizers begin a token with that space, and neither
+    looks beyond it. The space is left out of the key; both put it before
+    whatever they read.
+    """
+
+    def __init__(self, tokenizer: Tokenizer, processor: sentencepiece.SentencePieceProcessor, chunks: int):
+        crossing = re.compile(f"[^{MARK}]{MARK}")
+        if any(crossing.search(processor.id_to_piece(i)) for i in range(processor.vocab_size())):
+            raise ValueError("a piece of this model crosses a space: its chunks can't be encoded one by one")
+        self.tokenizer, self.processor, self.most = tokenizer, processor, chunks
+        self.a_bytes, self.b_bytes = byte_level_bytes(tokenizer), piece_bytes(processor)
+        self.lengths = [np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes)]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.whole = np.zeros(0, bool)  # whether both tokenizers give the chunk back byte by byte
+        self.pools = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # ids of all chunks by A and by B
+        self.starts = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.sizes = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+
+    def _learn(self, new: list[str]) -> None:
+        ids = [[e.ids for e in self.tokenizer.encode_batch_fast([" " + c for c in new], add_special_tokens=False)]]
+        ids.append(self.processor.encode(new, num_threads=1))
+        whole = np.ones(len(new), bool)
+        for table, sizes, found in zip((self.a_bytes, self.b_bytes), self.lengths, ids, strict=True):
+            whole &= self._given_back(new, table, sizes, found)
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        self.whole = np.append(self.whole, whole)
+        for side, found in enumerate(ids):
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            self.starts[side] = np.append(self.starts[side], len(self.pools[side]) + np.cumsum(size) - size)
+            self.sizes[side] = np.append(self.sizes[side], size)
+            self.pools[side] = np.append(self.pools[side], np.fromiter(chain.from_iterable(found), np.int64))
+
+    @staticmethod
+    def _given_back(new: list[str], table: list[bytes], sizes: np.ndarray, found: list[list[int]]) -> np.ndarray:
+        """Whether the bytes of a chunk's ids are the chunk's, for each chunk."""
+        data = [b" " + c.encode() for c in new]
+        flat = list(chain.from_iterable(found))
+        many = np.fromiter(map(len, found), np.int64, len(found))
+        upto = np.concatenate([[0], np.cumsum(sizes[flat])])
+        end = np.cumsum(many)
+        if np.array_equal(upto[end] - upto[end - many], np.fromiter(map(len, data), np.int64, len(data))):
+            if b"".join(map(table.__getitem__, flat)) == b"".join(data):  # chunks of the right lengths, all of them right
+                return np.ones(len(new), bool)
+        return np.array([b"".join(map(table.__getitem__, x)) == d for x, d in zip(found, data, strict=True)], bool)
+
+    def rows(self, keys: list[str]) -> np.ndarray:
+        """Row of every key in the table, which learns those it lacks."""
+        row = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int64, len(keys))
+        lacking = np.flatnonzero(row < 0)
+        new = list(dict.fromkeys(keys[i] for i in lacking))
+        if len(self.place) + len(new) > self.most and self.place:
+            self._clear()
+            return self.rows(keys)
+        if new:
+            self._learn(new)
+            row[lacking] = [self.place[keys[i]] for i in lacking]
+        return row
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Which texts both give back whole, and their tokens: ids and offsets by A and by B. Other texts have none."""
+        keys = [_CUT.split(t) if t else [] for t in texts]
+        many = np.fromiter(map(len, keys), np.int64, len(keys))
+        row = self.rows(list(chain.from_iterable(keys)))
+        lost = np.concatenate([[0], np.cumsum(~self.whole[row])])
+        end = np.cumsum(many)
+        whole = (many > 0) & (lost[end] == lost[end - many])
+        row = row[np.repeat(whole, many)]
+        end = np.cumsum(many * whole)
+        sides = []
+        for pool, start, sizes in zip(self.pools, self.starts, self.sizes, strict=True):
+            size = sizes[row]
+            upto = np.cumsum(size)
+            at = np.arange(upto[-1] if len(upto) else 0) + np.repeat(start[row] - (upto - size), size)
+            sides.append((pool[at], np.concatenate([[0], upto])[np.concatenate([[0], end])]))
+        return whole, sides
+
+
 class Aligner:
-    """Both tokenizers' tables, and the alignment of a batch of texts."""
+    """Both tokenizers' table, and the alignment of a batch of texts."""
 
-    def __init__(self, byte_model: bytes, piece_model: bytes, pattern: str, chunks: int = TABLE_CHUNKS):
+    def __init__(self, byte_model: bytes, piece_model: bytes, chunks: int = TABLE_CHUNKS):
         tokenizer = Tokenizer.from_buffer(byte_model)
         tokenizer.encode_special_tokens = True
-        processor = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
-        self.a, self.b = ByteChunks(tokenizer, pattern, chunks), ChunkTable(processor, chunks)
-        self.a_bytes, self.b_bytes = byte_level_bytes(tokenizer), piece_bytes(processor)
-        self.a_size = np.array([len(x) for x in self.a_bytes])
-        self.b_size = np.array([len(x) for x in self.b_bytes])
+        self.table = ChunkIds(tokenizer, sentencepiece.SentencePieceProcessor(model_proto=piece_model), chunks)
+        self.a_bytes, self.b_bytes = self.table.a_bytes, self.table.b_bytes
+        self.a_size, self.b_size = self.table.lengths
         # An id as it is written before a comma, a bar, a semicolon and the end.
         most = max(len(self.a_bytes), len(self.b_bytes))
         self.written = [f"{i}{mark}".encode() for i in range(most) for mark in (",", "|", ";", "")]
 
-    def _tokens(self, texts: list[str]) -> tuple[np.ndarray, ...]:
-        """Ids and offsets by A and by B, and which texts both give back whole."""
-        spaced = [" " + t for t in texts]
-        a, a_off = self.a.encode(spaced)
-        b, b_off = self.b.encode(texts)
-        la, lb = a.tolist(), b.tolist()
-        whole = np.zeros(len(texts), bool)
-        for i, text in enumerate(spaced):
-            if len(text) > 1:
-                data = text.encode()
-                whole[i] = (
-                    b"".join(map(self.a_bytes.__getitem__, la[a_off[i] : a_off[i + 1]])) == data
-                    and b"".join(map(self.b_bytes.__getitem__, lb[b_off[i] : b_off[i + 1]])) == data
-                )
-        return a, a_off, b, b_off, whole
-
     def align(self, texts: list[str], lane: int = LANE, groups: bool = False) -> pa.RecordBatch:
         """One row per text; columns as ``_OUT`` (``groups`` only if asked for)."""
-        a, a_off, b, b_off, whole = self._tokens(texts)
-        a_many, b_many = np.diff(a_off) * whole, np.diff(b_off) * whole
-        a = a[np.repeat(whole, np.diff(a_off))].astype(np.int64)
-        b = b[np.repeat(whole, np.diff(b_off))].astype(np.int64)
-        a_off, b_off = np.concatenate([[0], np.cumsum(a_many)]), np.concatenate([[0], np.cumsum(b_many)])
+        whole, ((a, a_off), (b, b_off)) = self.table.encode(texts)
+        a_many, b_many = np.diff(a_off), np.diff(b_off)
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         start_a, start_b = lane_starts(a_end, b_end, a_off[:-1][whole], b_off[:-1][whole], lane)
         link_a, link_b, cut = merge_lanes(a_end, b_end, start_a, start_b, np.append(start_a[1:], len(a)))
@@ -228,8 +271,9 @@ class Aligner:
 
 
 @lru_cache(maxsize=2)
-def _aligner(byte_model: bytes, piece_model: bytes, pattern: str, chunks: int) -> Aligner:
-    return Aligner(byte_model, piece_model, pattern, chunks)
+def _aligner(byte_model: bytes, piece_model: bytes, chunks: int) -> Aligner:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is the library's only one
+    return Aligner(byte_model, piece_model, chunks)
 
 
 def _slices(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
@@ -247,7 +291,6 @@ def align(
     docs: DataFrame,
     byte_path: str,
     piece_path: str,
-    pattern: str = public_tokenizers.PATTERN,
     groups: bool = False,
     lane: int = LANE,
     batch_chars: int = BATCH_CHARS,
@@ -258,7 +301,7 @@ def align(
     parted by semicolons; NULL unless asked for); ``pairs`` are the distinct
     linked id pairs as A id * size of B's vocabulary + B id, ``times`` how
     often each is linked. The models, files of fixed size, are read by the
-    driver and sent to the executors; ``pattern`` is how A cuts texts.
+    driver and sent to the executors.
     """
     sc = docs.sparkSession.sparkContext
     models = sc.broadcast((Path(byte_path).read_bytes(), Path(piece_path).read_bytes()))
@@ -266,7 +309,7 @@ def align(
     text = ", ".join(f"{f.name} {'array<long>' if f.name == 'pairs' else 'array<int>' if f.name == 'times' else 'string' if f.type == pa.string() else 'long'}" for f in _OUT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(*models.value, pattern, TABLE_CHUNKS)
+        aligner = _aligner(*models.value, TABLE_CHUNKS)
         for whole in batches:
             texts = [t or "" for t in whole.column(1).to_pylist()]
             for low, high in _slices(texts, batch_chars):
@@ -292,10 +335,10 @@ def alignment_report(docs: DataFrame, byte_path: str, piece_path: str) -> DataFr
     aligned = pin(align(docs, byte_path, piece_path).drop("groups").withColumn("row", F.monotonically_increasing_id()), "aligned")
     b_size = sentencepiece.SentencePieceProcessor(model_file=piece_path).vocab_size()
     counts = pair_counts(aligned, b_size)
-    # No hint: the planner sends the counts to all tasks only while they are small, and joins by pair beyond that.
+    # By pair at every size: the counts grow with the corpus, up to the product of the vocabularies.
     links = aligned.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("l")).select("row", F.col("l.pairs").alias("pair"), F.col("l.times").alias("times"))
     sums = (
-        links.join(counts, "pair")
+        links.join(counts.hint("merge"), "pair")
         .groupBy("row")
         .agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("documents")).alias("count_sum"))
     )

@@ -1,6 +1,7 @@
 """Alignment against a plain pairwise overlap of byte ranges, on whole small tables."""
 
 import hashlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -8,7 +9,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from stockrisk.llm.alignment import align, alignment_report, byte_level_bytes, piece_bytes
+from stockrisk.llm.alignment import ChunkIds, align, alignment_report, byte_level_bytes, piece_bytes
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SF = "/root/testdata/sf0.001"
@@ -47,11 +48,11 @@ def plain(libraries, texts):
             owner |= dict.fromkeys(range(s, e), j)
         links = [(a[i], b[j]) for i, (s, e) in enumerate(ra) for j in sorted({owner[x] for x in range(s, e)})]
         cuts = sorted({e for _, e in ra} & {e for _, e in rb})
-        groups, low = [], 0
-        for high in cuts:
-            inside = [",".join(str(i) for i, (s, e) in zip(ids, r) if low <= s and e <= high) for ids, r in ((a, ra), (b, rb))]
-            groups.append("|".join(inside))
-            low = high
+        groups = [([], []) for _ in cuts]
+        for side, (ids, r) in enumerate(((a, ra), (b, rb))):
+            for i, (_, e) in zip(ids, r):
+                groups[bisect_left(cuts, e)][side].append(str(i))
+        groups = [",".join(x) + "|" + ",".join(y) for x, y in groups]
         found.append((a, b, links, ";".join(groups)))
     counts = Counter(p for _, _, links, _ in found for p in set(links))
     highest = defaultdict(int)
@@ -107,13 +108,21 @@ def test_defined_cases(spark, libraries):
     assert alignment_report(docs.limit(0), A, B).count() == 0
 
 
-def test_pattern_cuts_as_the_library_does(libraries):
-    """Every code point, beside a letter, a digit and a blank."""
-    from stockrisk.llm.alignment import ByteChunks
-
-    table = ByteChunks(libraries[0], public_tokenizers.PATTERN, 10**7)
-    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    texts = ["".join(f"a{c}1{c} {c}" for c in points[low : low + 4096]) for low in range(0, 0x30000, 4096)]
+def test_chunks_are_encoded_as_the_whole_text(libraries):
+    """Every code point, beside a letter, a digit, blanks and itself."""
+    table = ChunkIds(*libraries, 10**7)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c) != "▁"]
+    texts = ["".join(f"a{c}1{c} {c} b  {c}{c}  a" for c in points[low : low + 2048]) for low in range(0, 0x30000, 2048)]
     for text in texts:
-        ids, _ = table.encode([text])
-        assert ids.tolist() == libraries[0].encode(text, add_special_tokens=False).ids
+        whole, ((a, _), (b, _)) = table.encode([text])
+        assert a.tolist() == (libraries[0].encode(" " + text, add_special_tokens=False).ids if whole[0] else [])
+        assert b.tolist() == (libraries[1].encode(text) if whole[0] else [])
+
+
+def test_a_full_table_is_emptied(libraries):
+    small, large = ChunkIds(*libraries, 3), ChunkIds(*libraries, 10**6)
+    texts = [f"w{i} and x{i}\n y{i % 3}" for i in range(40)] + ["", "one"]
+    for low in range(0, len(texts), 5):
+        got, want = small.encode(texts[low : low + 5]), large.encode(texts[low : low + 5])
+        assert got[0].tolist() == want[0].tolist()
+        assert [x.tolist() for side in got[1] for x in side] == [x.tolist() for side in want[1] for x in side]
