@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockrisk.llm import alignment, embedding_dedup, language, mixing, order_minhash, pii, quality, sentencepieces, sharding, simhash, spelling, style_tree
+from stockrisk.llm import alignment, embedding_dedup, language, mixing, order_minhash, perplexity, pii, quality, sentencepieces, sharding, simhash, spelling, style_tree
 from stockrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_report(table(spark, sf_dir, "documents"))
 
 
+def op12_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.rules_report(table(spark, sf_dir, "documents"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     byte_path, piece_path = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.alignment_report(table(spark, sf_dir, "documents"), byte_path, piece_path)
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_ngram_rules": op12_ngram_rules,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
