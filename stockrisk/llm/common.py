@@ -22,6 +22,19 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS == HELD_OUT_FOLD
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """A column name like ``wish`` that ``df`` doesn't have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by name, whatever characters it has."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def checksum(df: DataFrame) -> tuple[int, int]:
     row = df.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))

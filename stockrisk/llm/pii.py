@@ -14,7 +14,10 @@ all texts enter the graph; a mention repeated in copies is one instance.
 
 Defined cases: NULL text is empty and has no span; offsets count code points,
 the end is exclusive; found spans never overlap base spans, which all stay;
-an empty table gives no rows.
+repeated rows each get their spans, and count once as instances; very long
+texts, words and numbers are read whole, in time linear in the text (long
+words stand in patterns by their hash); an empty table gives no rows; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,9 +26,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockrisk.llm.common import free_name, own_columns
 from stockrisk.sources.sinks import pin
 
 # FIXED VALUES of the query contract, in the order that ties at one start follow.
@@ -50,9 +55,10 @@ _LEADS = ("", "+", "(", "+(")
 _TAILS = ".,;:!?)\"'"
 _DIGIT = re.compile("[0-9]")
 ROUNDS = 3
-MIN_SEEDS = 3  # distinct seed instances a pattern needs
+MIN_SEEDS = 4  # distinct seed instances a pattern needs; fewer can't reach the confidence
 CONFIDENCE = 0.8
-CONTEXT = 120  # code points looked at on either side for the words of a pattern
+LONG_WORD = 64  # longer words stand in patterns by their hash
+SMALL_PATTERNS = 16 << 20  # bytes of patterns that are sent to all tasks
 
 SCAN = (
     "doc_id string, text_key string, base array<struct<kind:int,start:int,end:int>>, "
@@ -72,7 +78,9 @@ def _holds(kind: str, found: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split("."))
+        # Without leading zeros: the interpreter refuses numbers of thousands of digits.
+        parts = [p.lstrip("0") or "0" for p in found.split(".")]
+        return all(len(p) <= 3 and int(p) <= 255 for p in parts)
     digits = "".join(_DIGIT.findall(found))
     if kind == "card":
         return 12 <= len(digits) <= 19 and luhn(digits)
@@ -146,28 +154,69 @@ def looks_like(form: str) -> int:
     return 3 if 7 <= digits <= 15 and "/" not in form and ":" not in form else -1
 
 
-def _context(text: str, start: int, end: int) -> tuple[str, str]:
-    """Lexical patterns of a mention: the two words before it; the word on either side. Text ends count as words."""
-    before = [w.lower() for w in text[max(0, start - CONTEXT) : start].split()]
-    after = [w.lower() for w in text[end : end + CONTEXT].split()]
-    before = ["^", "^", *before][-2:]
-    return " ".join(before), f"{before[-1]} _ {after[0] if after else '$'}"
+def _short(word: str) -> str:
+    """A word as patterns and instances hold it: in lower case, a long one by its hash."""
+    word = word.lower()
+    return word if len(word) <= LONG_WORD else f"#{xxhash.xxh64_hexdigest(word.encode('utf-8', 'surrogatepass'))}"
+
+
+def _contexts(text: str, items: list[tuple[int, int]]) -> list[tuple[str, str]]:
+    """Lexical patterns of the mentions of a text, given in order: the two words before each; the word on either side.
+
+    Words are whole, however long; a mention is a word of the next one's
+    context, and so is what stands between two mentions without a blank. Text
+    ends count as words. The text between two mentions is split once.
+    """
+    befores, afters = [], []
+    past, done = ["^", "^"], 0
+    for start, end in items:
+        gap = text[done:start].split() if start > done else []
+        form = _short(text[start:end])
+        if befores:
+            afters.append(_short(gap[0]) if gap else form)
+        past = [*past, *map(_short, gap[-2:])][-2:]
+        befores.append(past)
+        past = [past[-1], form]
+        done = max(done, end)
+    rest = text[done:].split(None, 1)
+    afters.append(_short(rest[0]) if rest else "$")
+    return [(" ".join(b), f"{b[-1]} _ {a}") for b, a in zip(befores, afters)]
 
 
 def scan_text(text: str) -> tuple[list, list]:
     """Base spans (kind, start, end) and mentions (start, end, form, kind, seed, before, around) of a text."""
     base = base_spans(text)
-    mentions = [(s, e, text[s:e].lower(), number, 1, *_context(text, s, e)) for s, number, e in base]
+    found = []
     if base or "@" in text or _DIGIT.search(text):
         low = 0
-        for s, _, e in [*base, (len(text), 0, len(text))]:
+        for s, number, e in [*base, (len(text), -1, len(text))]:
             for a, b in _mentions(text[low:s]):  # nothing for a negative gap: spans that overlap
-                form = text[low + a : low + b].lower()
-                mentions.append((low + a, low + b, form, looks_like(form), 0, *_context(text, low + a, low + b)))
+                found.append((low + a, low + b, looks_like(text[low + a : low + b].lower()), 0))
+            if number >= 0:
+                found.append((s, e, number, 1))
             low = max(low, e)
+    contexts = _contexts(text, [f[:2] for f in found])
+    mentions = [(s, e, _short(text[s:e]), kind, seed, *c) for (s, e, kind, seed), c in zip(found, contexts)]
     return [(number, start, end) for start, number, end in base], mentions
 
 
+def spans_of(text: str, patterns: set[tuple[str, int]]) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of all spans of a text, in order: the base, and what ``patterns`` (pattern, kind) add."""
+    base, mentions = scan_text(text)
+    more = {(k, s, e) for s, e, _, k, seed, before, around in mentions if not seed and not patterns.isdisjoint([(f"b {before}", k), (f"a {around}", k)])}
+    return sorted([*base, *more], key=lambda f: (f[1], f[0]))
+
+
+def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with its spans, in order, replaced by their kinds; spans that overlap by the kind of the first."""
+    parts, done = [], 0
+    for kind, start, end in spans:
+        if start >= done:
+            parts += [text[done:start], f"<{KINDS[kind].upper()}>"]
+        done = max(done, end)
+    return "".join([*parts, text[done:]])
+
+
 def text_key(text: Column) -> Column:
     """Names a text: its SHA-256. NULL counts as the empty text."""
     return F.sha2(F.coalesce(text, F.lit("")), 256)
@@ -239,43 +288,60 @@ def found_spans(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
     return hit.groupBy("text_key").agg(F.collect_set(F.struct("kind", "start", "end")).alias("more"))
 
 
-def detect(docs: DataFrame) -> DataFrame:
-    """Spans of every row: doc_id, text_key, base and spans (arrays of kind, start, end; in order)."""
-    scanned = scan(docs)
-    more = pin(found_spans(scanned, good_patterns(scanned)), "pii_more")
+def _with_spans(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
+    more = pin(found_spans(scanned, patterns), "pii_more")
     every = F.concat("base", F.coalesce("more", F.array().cast("array<struct<kind:int,start:int,end:int>>")))
     in_order = F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
     spans = F.transform(in_order, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return scanned.join(more, "text_key", "left").select("doc_id", "text_key", "base", spans.alias("spans"))
 
 
-def redact(docs: DataFrame) -> DataFrame:
+def detect(docs: DataFrame) -> DataFrame:
+    """Spans of every row: doc_id, text_key, base and spans (arrays of kind, start, end; in order)."""
+    scanned = scan(docs)
+    return _with_spans(scanned, good_patterns(scanned))
+
+
+def redact(docs: DataFrame, small: int = SMALL_PATTERNS) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in angle brackets, and ``n_chars`` to match.
 
     Spans that overlap are replaced as one, by the kind of the first. Columns
-    and rows stay as they are otherwise; a text without spans is not touched.
+    and rows stay as they are otherwise, whatever they are named; a text
+    without spans is not touched. Texts are masked where they are read, by the
+    patterns, while those are at most ``small`` bytes; more patterns than that
+    are joined with the mentions, and the spans they give with the texts.
     """
-    spans = detect(docs).where(F.size("spans") > 0).groupBy("text_key").agg(F.first("spans").alias("spans"))
-    held = pin(spans.withColumnRenamed("text_key", "_key"), "pii_spans")
-    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
-
-    def step(done: Column, span: Column) -> Column:
-        fresh = span["start"] >= done["at"]
-        name = F.element_at(names, span["kind"] + 1)
-        gap = F.substring(F.col("text"), done["at"] + 1, span["start"] - done["at"])
-        text = F.when(fresh, F.concat(done["text"], gap, name)).otherwise(done["text"])
-        return F.struct(text.alias("text"), F.greatest(done["at"], span["end"]).alias("at"))
-
-    masked = F.aggregate("_spans", start, step, lambda d: F.concat(d["text"], F.substring(F.col("text"), d["at"] + 1, F.length("text"))))
-    read = docs.withColumn("_text_key", text_key(F.col("text"))).join(
-        held.select("_key", F.col("spans").alias("_spans")), F.col("_text_key") == F.col("_key"), "left"
-    )
-    columns = {"text": F.coalesce("_masked", "text").alias("text")}
-    if "n_chars" in docs.columns:
-        changed = F.length("_masked").cast(docs.schema["n_chars"].dataType)
-        columns["n_chars"] = F.coalesce(changed, docs["n_chars"]).alias("n_chars")
-    return read.withColumn("_masked", masked).select(*[columns.get(c, docs[c]) for c in docs.columns])
+    scanned = scan(docs)
+    patterns = pin(good_patterns(scanned), "pii_good")
+    size = patterns.agg(F.sum(F.octet_length("pattern") + 64)).first()[0] or 0
+    name = free_name(docs, "masked")
+    if size <= small:
+        held = docs.sparkSession.sparkContext.broadcast({(r["pattern"], r["kind"]) for r in patterns.collect()})
+
+        @F.pandas_udf("string")
+        def masked(texts: pd.Series) -> pd.Series:
+            found = [spans_of(t, held.value) if t else [] for t in texts]
+            return pd.Series([mask(t, f) if f else None for t, f in zip(texts, found, strict=True)], dtype=object)
+
+        read = docs.withColumn(name, masked("text"))
+    else:
+
+        @F.pandas_udf("string")
+        def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+            found = [[] if f is None else [(s["kind"], s["start"], s["end"]) for s in f] for f in spans]
+            return pd.Series([mask(t, f) if f else None for t, f in zip(texts, found, strict=True)], dtype=object)
+
+        spans = _with_spans(scanned, patterns).where(F.size("spans") > 0).groupBy("text_key").agg(F.first("spans").alias("spans"))
+        key, theirs, listed = (free_name(docs, n) for n in ("own_key", "text_key", "spans"))
+        held = pin(spans, "pii_spans").withColumnsRenamed({"text_key": theirs, "spans": listed})
+        joined = docs.withColumn(key, text_key(F.col("text"))).join(held, F.col(key) == F.col(theirs), "left")
+        read = joined.withColumn(name, cut("text", listed))
+    columns = dict(zip(docs.columns, own_columns(docs), strict=True))
+    columns["text"] = F.coalesce(name, "text").alias("text")
+    if "n_chars" in columns:
+        changed = F.length(name).cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.coalesce(changed, F.col("n_chars")).alias("n_chars")
+    return read.select(*columns.values())
 
 
 def span_digest(docs: DataFrame) -> DataFrame:

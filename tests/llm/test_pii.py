@@ -2,15 +2,16 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from stockrisk.llm.pii import KINDS, base_spans, detect, good_patterns, luhn, redact, scan, span_digest
+from stockrisk.llm.pii import KINDS, base_spans, detect, good_patterns, luhn, mask, redact, scan, scan_text, span_digest, spans_of
 
 PLAIN = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
-    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(re.fullmatch("0*([0-9]|[0-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])", p) for p in s.split("."))),
     ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 12 <= len(re.sub("[^0-9]", "", s)) <= 19 and plain_luhn(re.sub("[^0-9]", "", s))),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(re.sub("[^0-9]", "", s)) <= 15),
 ]
@@ -32,6 +33,7 @@ TEXTS = [
     None, "", "no digits here", "a@b.c, x.y%+-z@h-1.ex.org. q@nodot @x.y a@b@c.d", "1.2.3.4.5.6 256.1.1.1 300.1.1.1 0001.2.3.4",
     "4539 1488 0343 6467 4539148803436467 4539-1488-0343-6468 12345678901", "+1 (375) 555-4393 +12 +1(2)3.4-5 678 9 +49 30 1234567 4539148803436467",
     "é" * 50 + " 😀 +1 (375) 555-4393 😀 a@b.co", "9" * 30000, "x@" * 20000,
+    "0" * 5000 + ".1.2.3 1.2.3." + "0" * 6000 + "7", "1.2.3." + "0" * 5000 + "256",
 ]
 
 
@@ -88,6 +90,53 @@ def test_redact(spark):
     assert got == sorted([(1, masked, len(masked))] * 2 + [(2, None, 0), (3, "clean", 5), (None, "<PHONE>", 7)], key=str)
 
 
+def test_redact_by_joined_spans(spark):
+    rows = [(i, t, "x") for i, t in seeds(12)] + [(100, "please call mobile number 375-555-9876 before noon", "x"), (None, None, "x")]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string, masked string")
+    for n in ("own_key", "text_key", "spans", "_key", "_ka"):
+        docs = docs.withColumn(n, F.col("masked"))
+    docs = docs.withColumn("a.b", F.lit(1))
+    one, other = ([tuple(r) for r in redact(docs, small).collect()] for small in (0, 1 << 20))
+    assert sorted(one, key=str) == sorted(other, key=str) and len(one) == 28
+    assert {r[1] for r in one if r[0] == 100} == {"please call mobile number <PHONE> before noon"}
+
+
+def plain_contexts(text, items):
+    """Words around each mention: the text is cut at blanks and at the ends of mentions."""
+    cuts = sorted({x for span in items for x in span} | {0, len(text)})
+    words = []
+    for low, high in zip(cuts, cuts[1:]):
+        words += [(low, text[low:high].lower())] if (low, high) in items else [(low + m.start(), m.group().lower()) for m in re.finditer(r"\S+", text[low:high])]
+    out = []
+    for start, end in items:
+        before = ["^", "^", *[w for at, w in words if at < start]][-2:]
+        after = [w for at, w in words if at >= end][:1] or ["$"]
+        short = [w if len(w) <= 64 else None for w in (*before, *after)]
+        out.append((short[0], short[1], short[2]))
+    return out
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["phone " + "w" * 130 + " 12345678 " + "v" * 200 + " end", "a@b.co,c@d.ee 7 8", "", "1", "tel 5 " + "y" * 300 + "+1 (375) 555-4393 z", "x 1.2.3.4 " * 5],
+)
+def test_contexts_are_whole_words(text):
+    mentions = sorted(scan_text(text)[1])
+    got = []
+    for m in mentions:
+        first, second = m[5].split(" ")
+        assert m[6].startswith(second + " _ ")
+        got.append(tuple(None if w.startswith("#") else w for w in (first, second, m[6].split(" _ ")[1])))
+    assert got == plain_contexts(text, [m[:2] for m in mentions])
+
+
+def test_masking_is_linear():
+    text = "a.b@c.de and " * 80_000  # 1 MB, 80,000 spans
+    started = time.perf_counter()
+    assert mask(text, spans_of(text, set())) == "<EMAIL> and " * 80_000
+    assert time.perf_counter() - started < 8
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
