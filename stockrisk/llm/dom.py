@@ -1,26 +1,36 @@
 """Reading a page as a tree of blocks: the part of HTML's rules that decides where text stands.
 
-Only the standard library. A block is the text between two block boundaries,
-with its character references decoded and its white space folded. Each block
-knows the path of elements it stands in; the path's element names carry class
+A block is the text between two block boundaries, with its character
+references decoded (piece by piece between two tags) and its white space
+folded. Each block knows the path of elements it stands in, as a hash that
+each element works out from its parent's; the path's element names carry class
 and id words, so pages made from one template give equal paths.
+
+One pass, in time linear in the page whatever it holds: where a tag ends is
+worked out for all quotes and brackets beforehand, open elements are found by
+their tag, and no path is copied.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from html import unescape
 from itertools import accumulate
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""")
-_LOOSE_TAG = re.compile(r"</?[a-zA-Z][^>]*>")
+import xxhash
+
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_MARKS = re.compile(r"""["'>]""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _SPLIT = re.compile(r"[^a-z]+")
 
 # FIXED VALUES: HTML's element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template iframe textarea title svg math object select button xmp noframes".split())
+RAW = frozenset("script style iframe textarea title xmp noframes".split())  # text up to their end tag, or the end of the page
+FOREIGN = frozenset("svg math".split())  # may close themselves
+HIDDEN = FOREIGN | frozenset("noscript template object select button".split())  # dropped with all they hold, if they end
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -41,6 +51,10 @@ P_ENDS = frozenset(
 )
 NOISE_TAGS = frozenset("nav aside footer dialog menu head".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu".split())
+PLACE_WORDS = frozenset(  # say where or how, beside a noise word
+    "area bar block bottom box button buttons container content first form global group header icon icons inline inner item items "
+    "last left link links list main outer page panel primary right row secondary section site text top user wrap wrapper".split()
+)
 STATE_WORDS = frozenset("has no not with without is layout open opened closed fixed enabled disabled".split())
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation "
@@ -52,7 +66,7 @@ NOISE_WORDS = frozenset(
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: int
     text: str
     linked: int  # code points of the text inside links
     zone: int  # 0 in a branch taken for boilerplate, 1 in an article or main element, 2 elsewhere
@@ -61,10 +75,10 @@ class Block:
 @dataclass
 class _Open:
     tag: str
-    name: str
     node: int
-    inline: bool
+    path: int
     children: list[str]
+    inline: dict[str, int]  # open inline elements it holds, by tag
 
 
 @dataclass
@@ -84,7 +98,10 @@ LEAST_FREE = 0.05
 def _named(tag: str, attributes: str) -> tuple[str, int]:
     """Name of an element in a path, and what its tag, role and words say.
 
-    A token of class or id that holds a state word (has-sidebar,
+    A token of class or id is evidence as a whole: all its parts are noise
+    words or say where they stand (comment-list, page-sidebar), and one is a
+    noise word. Any other part makes it a subject (social-policy,
+    related-work). A token that holds a state word (has-sidebar,
     comments-open) says how a layout looks, not what stands in the branch.
     """
     words: list[str] = []
@@ -97,7 +114,7 @@ def _named(tag: str, attributes: str) -> tuple[str, int]:
                 for token in value.split():
                     parts = [w for w in _SPLIT.split(token) if w]
                     words += parts
-                    if STATE_WORDS.isdisjoint(parts):
+                    if STATE_WORDS.isdisjoint(parts) and NOISE_WORDS.union(PLACE_WORDS).issuperset(parts):
                         telling += parts
             elif key == "role":
                 role = value.strip()
@@ -144,50 +161,97 @@ def _zones(nodes: list[_Node]) -> list[int]:
     return [0 if shut[i] or depth[i] > opened else 1 if in_main[i] else 2 for i in range(size)]
 
 
-def read_blocks(html: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
+def _tag_ends(html: str) -> tuple[list[int], list[int], list[int]]:
+    """Places of quotes and closing brackets; for each, where a tag ends whose next mark it is: by quotes, and by brackets alone (-1: nowhere)."""
+    marks = [m.start() for m in _MARKS.finditer(html)]
+    ends, loose = [-1] * (len(marks) + 1), [-1] * (len(marks) + 1)
+    following = {}  # of a quote: the next one of its kind
+    for i in range(len(marks) - 1, -1, -1):
+        mark = html[marks[i]]
+        if mark == ">":
+            ends[i] = loose[i] = marks[i]
+        else:
+            loose[i] = loose[i + 1]
+            partner = following.get(mark)
+            ends[i] = -1 if partner is None else ends[partner + 1]
+            following[mark] = i
+    return marks, ends, loose
+
+
+def _hidden_ends(html: str) -> dict[int, int]:
+    """Start and end of the hidden elements that do end; one that never does is no element. A button can't hold a button."""
+    if not _HIDDEN.search(html):
+        return {}
+    open_: dict[str, list[int]] = {}
+    found = {}
+    for m in _HIDDEN.finditer(html):
+        starts = open_.setdefault(m[2].lower(), [])
+        if not m[1]:
+            if m[2].lower() == "button":
+                starts.clear()
+            starts.append(m.start())
+        elif starts:
+            found[starts.pop()] = m.end()
+    return found
+
+
+_HIDDEN = re.compile(rf"<(/?)({'|'.join(sorted(HIDDEN))})(?=[\s/>])", re.IGNORECASE)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW}
+
+
+def path_hash(above: int, name: str) -> int:
+    return xxhash.xxh64_intdigest(above.to_bytes(8, "little") + name.encode("utf-8", "surrogatepass"))
+
+
+def read_blocks(html: str) -> tuple[list[Block], dict[int, list[str]]]:
     """Blocks of a page in order, and the child element names of each path."""
     blocks: list[Block] = []
-    styles: dict[tuple[str, ...], list[str]] = {}
-    stack: list[_Open] = []
+    styles: dict[int, list[str]] = {}
     nodes = [_Node(-1, "", PLAIN)]  # the page itself
-    path: tuple[str, ...] = ()
+    stack = [_Open("", 0, 0, [], {})]
+    open_at: dict[str, list[int]] = {}  # depths of the open elements, by tag
+    inline_at: dict[str, list[int]] = {}  # depths of the elements that hold the open inline ones, by tag
     pieces: list[tuple[str, bool]] = []
     links = 0
 
     def flush() -> None:
         if pieces:
-            text = " ".join(unescape("".join(p for p, _ in pieces)).split())
+            text = " ".join("".join(p for p, _ in pieces).split())
             if text:
-                linked = sum(len(" ".join(unescape(p).split())) for p, inside in pieces if inside)
-                node = stack[-1].node if stack else 0
-                blocks.append(Block(path, text, min(linked, len(text)), node))  # its zone is known at the end
-                nodes[node].text += len(text)
+                linked = sum(len(" ".join(p.split())) for p, inside in pieces if inside)
+                top = stack[-1]
+                blocks.append(Block(top.path, text, min(linked, len(text)), top.node))  # its zone is known at the end
+                nodes[top.node].text += len(text)
             pieces.clear()
 
     def close(depth: int) -> None:
-        nonlocal path, links
+        nonlocal links
         while len(stack) > depth:
+            flush()
             gone = stack.pop()
-            if gone.inline:
-                links -= gone.tag == "a"
-                continue
-            flush_into(gone)
-
-    def flush_into(gone: _Open) -> None:
-        nonlocal path
-        stack.append(gone)
-        flush()
-        stack.pop()
-        styles.setdefault(path, []).extend(gone.children)
-        path = path[:-1]
+            open_at[gone.tag].pop()
+            for tag, many in gone.inline.items():
+                if many:
+                    del inline_at[tag][-many:]
+                    links -= many * (tag == "a")
+            styles.setdefault(gone.path, []).extend(gone.children)
 
-    at, size = 0, len(html)
+    def close_for(names: set[str], stops: set[str]) -> None:
+        """Close the outermost of the named elements that stands inside the innermost of the stops."""
+        stop = max((open_at[t][-1] for t in stops - names if open_at.get(t)), default=0)
+        inside = [held[i] for held in map(open_at.get, names) if held and (i := bisect_right(held, stop)) < len(held)]
+        if inside:
+            close(min(inside))
+
+    marks, ends, loose = _tag_ends(html)
+    hidden = _hidden_ends(html)
+    at, size, mark = 0, len(html), 0
     while at < size:
         low = html.find("<", at)
         if low < 0:
             low = size
         if low > at:
-            pieces.append((html[at:low], links > 0))
+            pieces.append((unescape(html[at:low]), links > 0))
         if low == size:
             break
         if html.startswith("<!--", low):
@@ -198,34 +262,34 @@ def read_blocks(html: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]
             end = html.find(">", low)
             at = size if end < 0 else end + 1
             continue
-        m = _TAG.match(html, low)
-        if not m:
-            loose = _LOOSE_TAG.match(html, low)
-            if not loose:
-                pieces.append(("<", links > 0))
-                at = low + 1
-                continue
-            ending, tag, attributes, at = loose.group().startswith("</"), re.split(r"[\s/>]", loose.group().strip("</>"))[0].lower(), "", loose.end()
-        else:
-            ending, tag, attributes, at = bool(m[1]), m[2].lower(), m[3], m.end()
-        if ending:
-            depth = next((i for i in reversed(range(len(stack))) if stack[i].tag == tag), None)
-            if depth is None:
-                if tag not in INLINE and tag not in VOID:
-                    flush()
-            elif stack[depth].inline:
-                # Misnested inline ends close nothing but themselves.
-                if all(o.inline for o in stack[depth:]):
-                    close(depth)
-                else:
-                    links -= stack[depth].tag == "a"
-                    del stack[depth]
-            else:
-                close(depth)
+        named = _NAME.match(html, low)
+        mark = bisect_left(marks, low, mark)
+        end = ends[mark] if ends[mark] >= 0 else loose[mark]
+        if not named or end < 0:
+            pieces.append(("<", links > 0))
+            at = low + 1
+            continue
+        tag, attributes, at = named[1].lower(), html[named.end() : end], end + 1
+        if html[low + 1] == "/":
+            if tag in INLINE:
+                held = inline_at.get(tag)
+                if held:
+                    stack[held.pop()].inline[tag] -= 1
+                    links -= tag == "a"
+            elif open_at.get(tag):
+                close(open_at[tag][-1])
+            elif tag not in VOID and tag not in HIDDEN:
+                flush()
+            continue
+        if tag in RAW:
+            end = _RAW_END[tag].search(html, at)
+            end = html.find(">", end.end()) if end else -1
+            at = size if end < 0 else end + 1
             continue
-        if tag in SKIPPED:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at)
-            at = size if not end else end.end()
+        if tag in HIDDEN:
+            if low in hidden and not (tag in FOREIGN and attributes.endswith("/")):
+                end = html.find(">", hidden[low])
+                at = max(at, size if end < 0 else end + 1)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -234,27 +298,22 @@ def read_blocks(html: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]
                 pieces.append((" ", links > 0))
             continue
         if tag in INLINE:
-            stack.append(_Open(tag, tag, stack[-1].node if stack else 0, True, []))
+            inline_at.setdefault(tag, []).append(len(stack) - 1)
+            stack[-1].inline[tag] = stack[-1].inline.get(tag, 0) + 1
             links += tag == "a"
             continue
-        ends, stop = CLOSED_BY.get(tag, ("", frozenset()))
-        names = set(ends.split()) | ({"p"} if tag in P_ENDS else set())
-        for i in reversed(range(len(stack))):
-            if stack[i].tag in names:
-                close(i)
-                break
-            if stack[i].tag in stop or stack[i].tag in ("td", "th", "table", "button", "object"):
-                break
+        names, stop = CLOSED_BY.get(tag, ("", frozenset()))
+        close_for({*names.split(), *(["p"] if tag in P_ENDS else [])}, {*stop, "td", "th", "table"})
         flush()
-        name, mark = _named(tag, attributes)
-        above = next((o for o in reversed(stack) if not o.inline), None)
-        if above:
-            above.children.append(name)
-        nodes.append(_Node(above.node if above else 0, tag, mark))
-        stack.append(_Open(tag, name, len(nodes) - 1, False, []))
-        path = (*path, name)
-    close(0)
+        name, told = _named(tag, attributes)
+        above = stack[-1]
+        above.children.append(name)
+        nodes.append(_Node(above.node, tag, told))
+        open_at.setdefault(tag, []).append(len(stack))
+        stack.append(_Open(tag, len(nodes) - 1, path_hash(above.path, name), [], {}))
+    close(1)
     flush()
+    styles.setdefault(0, []).extend(stack[0].children)
     zones = _zones(nodes)
     for b in blocks:
         b.zone = zones[b.zone]

@@ -25,7 +25,9 @@ their unnamed branches lose importance by link text alone.
 
 Defined cases: NULL or empty html gives the empty text; a NULL url is a host
 of its own; repeated pages, and pages with the same article, count once for
-the tree, and each gets its text.
+the tree, and each gets its text; long or broken pages are read in time linear
+in their length; an empty table gives no rows; other columns are not read, so
+their names can't clash.
 """
 
 from __future__ import annotations
@@ -71,16 +73,16 @@ def read_page(html: str) -> tuple[list[dict], bool, list[dict]]:
     own = [b for b in blocks if b.zone == (1 if main else 2)]
     nodes = {}
     for path, children in styles.items():
-        at = _hash("/".join(path))
+        at = path - 2**63
         nodes[at, PAGE, 0] = [1, 0]
         nodes[at, PRESENTATION, _hash(" ".join(children))] = [1, 0]
     for b in blocks:
-        at = _hash("/".join(b.path))
+        at = b.path - 2**63
         nodes[at, PAGE, 0] = [1, 0]
         seen = nodes.setdefault((at, CONTENT, _hash(b.text)), [0, 0])
         seen[0] += len(b.text)
         seen[1] += b.linked
-    kept = [{"path": _hash("/".join(b.path)), "text": b.text} for b in own]
+    kept = [{"path": b.path - 2**63, "text": b.text} for b in own]
     listed = [{"path": p, "kind": k, "value": v, "weight": w, "linked": a} for (p, k, v), (w, a) in nodes.items()]
     return kept, main, listed
 

@@ -1,13 +1,14 @@
 """Site style tree: exact text of article pages, entropy on pages that name nothing."""
 
 import re
+import time
 from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
 
 from stockrisk.llm.dom import read_blocks
-from stockrisk.llm.style_tree import main_text, node_importance, page_report, read_pages, removed_blocks
+from stockrisk.llm.style_tree import main_text, node_importance, page_report, read_page, read_pages, removed_blocks
 
 
 def kept(html):
@@ -32,6 +33,55 @@ def test_blocks(html, want):
     assert kept(html) == want
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        # Elements that close themselves, or never end, hide nothing behind them.
+        ('<article><p>one</p><svg class="i"/><p>two</p><p>three</p></article>', ["one", "two", "three"]),
+        ("<article><p>one</p><button>Go <p>two</p><p>three</p></article><footer><button>x</button></footer>", ["one", "Go", "two", "three"]),
+        ("<article>a<button><b>Go</b></button>b<object>x<object>y</object>z</object>c<svg><g><svg>q</svg></g>r</svg>d</article>", ["abcd"]),
+        ("<article>a<noscript><p>no</noscript>b<select><option>1<option>2</select>c<template><p>t</p></template></article>", ["abc"]),
+        ("<article>a<SCRIPT>'</scriptx>'</SCRIPT >b<textarea></p><p></textarea>c<math/>d", ["abcd"]),
+        ("<article><p>a<title>unclosed <p>b", ["a"]),
+        # A word beside a subject is a subject.
+        ('<article>a<div class="social-policy">b</div><section id="related-work">c</section><p class="notice-period">d</p></article>', ["a", "b", "c", "d"]),
+        ('<article>a<div class="comment-list">b</div><div class="page-sidebar">c</div><div class="Share Buttons">d</div>e</article>', ["a", "e"]),
+        # References are decoded between two tags, not across them.
+        ("<article>AT&<b>amp;</b>T &amp;lt; &#x41;</article>", ["AT&amp;T &lt; A"]),
+        ("<article><table><tr><td>1<p>2<tr><td>3<table><tr><td>4</table>5</table>6</article>", ["1", "2", "3", "4", "5", "6"]),
+        ("<article><b>a<p><i>b</b>c</i>d<a href=x>e<div>f</div></a></p>g</article>", ["a", "bcde", "f", "g"]),
+        ("<article><p x=\"1' <b>a</b></article>", ["a"]),
+        ('<article><a title="x > y">k</a><p title=\'"\'>l</article>', ["k", "l"]),
+    ],
+)
+def test_reader_rules(html, want):
+    assert kept(html) == want
+
+
+HOSTILE = {
+    "nested": "<div>" * 200_000 + "x",
+    "stray ends": "<div>" * 1000 + "</section>" * 100_000 + "</i>" * 10_000,
+    "odd quotes": "<p x=\"1' <" * 100_000,
+    "open quotes": "<p x='\">a" * 120_000,
+    "misnested": "<b><div>" * 60_000 + "</b>" * 60_000 + "</div>" * 60_000,
+    "blocks in deep divs": "<div>" * 100_000 + "<p>a" * 100_000,
+    "controls": "<button>" * 120_000 + "<svg>" * 20_000,
+    "brackets": "<" * 1_000_000,
+    "items": "<ul><li>" * 60_000 + "<li>a" * 60_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_reading_is_linear(name):
+    html = HOSTILE[name]
+    took = []
+    for part in (html[: len(html) // 4], html):
+        started = time.perf_counter()
+        read_page(part)
+        took.append(time.perf_counter() - started)
+    assert took[1] < 12 and (took[1] < 1 or took[1] < 10 * took[0])
+
+
 LONG = "The text of the page, which is longer than all that stands around it. " * 5
 
 
