@@ -35,6 +35,21 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def expand(df: DataFrame, many: str, nth: str, most: int = 1 << 16) -> DataFrame:
+    """Each row of ``df`` as often as its ``many`` says, numbered from 0 in ``nth``.
+
+    A row of more than ``most`` copies is dealt to other tasks in parts of that
+    many before it is multiplied.
+    """
+    large = df.where(F.col(many) > most)
+    parts = large.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(many) - 1) / most))))
+    parts = parts.repartition(*[F.xxhash64("_part", many), F.col("_part")])
+    first, last = F.col("_part") * most, F.least((F.col("_part") + 1) * most, F.col(many)) - 1
+    numbered = parts.withColumn(nth, F.explode(F.sequence(first, last))).drop("_part")
+    small = df.where((F.col(many) <= most) & (F.col(many) > 0))
+    return small.withColumn(nth, F.explode(F.sequence(F.lit(0).cast("long"), F.col(many).cast("long") - 1))).unionByName(numbered)
+
+
 def checksum(df: DataFrame) -> tuple[int, int]:
     row = df.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))

@@ -82,6 +82,25 @@ def test_rows_come_as_often_as_taken_and_reruns_agree(spark):
     assert dict(got) == {d: c for d, c in copies.items() if c}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_repeated_rows_are_taken_by_number(spark, seed):
+    """Rows equal in id and text are a third of the table, and the budget ends among them."""
+    rows = [(1, "w " * 180, "a")] * 600 + [(i, "v " * (i % 40 + 1), "ab"[i % 7 > 0]) for i in range(2, 1200)] + [(5000, "one small text", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = mix(docs, seed=seed).collect()
+    assert len(out) == len(rows)
+    texts = {d: t for d, t, _ in rows}
+    listed = [(r.source, r["size"], quality_of(texts[r.doc_id], r["size"]), r.row_hash) for r in out]
+    targets = {r.source: r.target for r in out}
+    want = plain_mix(listed, targets)
+    assert sorted((r.doc_id, r.copies) for r in out) == sorted((r.doc_id, want[i]) for i, r in enumerate(out))
+    assert len({r.copies for r in out if r.doc_id == 1}) == 2
+    for source, target in targets.items():
+        assert abs(sum(r["size"] * r.copies for r in out if r.source == source) - target) <= 90
+    copies = sorted(r.doc_id for r in out for _ in range(r.copies))
+    assert sorted(r.doc_id for r in mixed_documents(docs, seed=seed).collect()) == copies
+
+
 def test_edge_rows(spark):
     rows = [(1, "a b c", None), (2, None, "s"), (3, "", "s"), (4, "one two", "r"), (4, "one two", "r"), (None, "w " * 30000, "r"), (7, "x", "é")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
