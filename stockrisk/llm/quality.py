@@ -7,7 +7,10 @@ its whole text. Labels, language, source and id are no features.
 
 Defined cases: NULL and empty texts have the features of an empty text; a
 document labelled more than once counts with its mean label, 0.5 and above as
-1; with no labels of both kinds the score is the smoothed share of label 1.
+1; with no labels of both kinds the score is the smoothed share of label 1;
+repeated rows of an id train as one, its least text, and each get a score;
+very long texts are read whole; an empty table gives no rows; columns of any
+name stay as they are where rows are kept.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from stockrisk.llm import gam
-from stockrisk.llm.common import held_out
+from stockrisk.llm.common import free_name, held_out
 
 SAMPLE = 8000  # labelled rows of each label, at most
 THRESHOLD = 0.7
@@ -92,7 +95,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int =
             found = [features(t).tolist() for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "features": found})
 
-    rows = texts.mapInPandas(run, "doc_id long, label int, features array<double>").toPandas().sort_values("doc_id")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = texts.mapInPandas(run, f"doc_id {kind}, label int, features array<double>").toPandas().sort_values("doc_id")
     return np.array(rows["features"].tolist()).reshape(len(rows), len(FEATURES)), rows["label"].to_numpy(float)
 
 
@@ -114,8 +118,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` whose score reaches the threshold, columns unchanged."""
-    scored = score(docs, fit(docs, labels), "_quality_score")
-    return scored.where(F.col("_quality_score") >= threshold).drop("_quality_score")
+    name = free_name(docs, "quality_score")
+    return score(docs, fit(docs, labels), name).where(F.col(name) >= threshold).drop(name)
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

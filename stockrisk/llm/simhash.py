@@ -10,6 +10,10 @@ blocks and only rows of one bucket are compared; this loses no pair. A bucket
 above ``tile`` rows is cut into tiles, every pair of tiles compared in a task
 of its own. Buckets emit links to the smallest fingerprint of a locally
 connected group, never all pairs.
+
+Defined cases, beside those: texts of any length are hashed in pieces of
+bounded size; an empty table gives no rows; columns of any name stay as they
+are where rows are kept, and are not read where fingerprints are reported.
 """
 
 from __future__ import annotations
@@ -20,12 +24,12 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from stockrisk.llm.bitslice import near_pairs
-from stockrisk.llm.common import connected_components
+from stockrisk.llm.common import connected_components, own_columns
 from stockrisk.llm.unionfind import local_roots
 from stockrisk.sources.sinks import pin
 
@@ -183,13 +187,10 @@ def keep_one_per_component(
     """
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb")
     first = simhash_components(docs, radius, shingle, blocks, tile).groupBy("group").agg(F.min(order).alias("kept"))
-    chosen = first.select(F.col("kept.ka").alias("_ka"), F.col("kept.kb").alias("_kb"))
-    ka, kb = row_key()
-    keyed = docs.withColumns({"_doc_ka": ka, "_doc_kb": kb})
-    joined = keyed.join(chosen, (F.col("_doc_ka") == F.col("_ka")) & (F.col("_doc_kb") == F.col("_kb")))
-    # Equal rows lie together after the join: the same keys, no second exchange of the texts.
-    one = F.row_number().over(Window.partitionBy("_doc_ka", "_doc_kb").orderBy("_doc_ka"))
-    return joined.withColumn("_copy", one).where("_copy = 1").select(*[docs[c] for c in docs.columns])
+    chosen = first.select("kept.ka", "kept.kb")
+    # Equal rows become one before they are exchanged, however many there are; then the same keys serve the join.
+    one = docs.select(*row_key(), F.struct(*own_columns(docs)).alias("row")).groupBy("ka", "kb").agg(F.first("row").alias("row"))
+    return one.join(chosen, ["ka", "kb"]).select("row.*")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
