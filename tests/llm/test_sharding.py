@@ -62,6 +62,19 @@ def test_a_text_of_many_rows_and_few_bytes_is_cut_into_cells(spark, monkeypatch)
     assert max(b - a for a, b in zip(starts, starts[1:])) < 750
 
 
+def test_a_repeated_row_is_one_row_until_the_end(spark, monkeypatch):
+    """Rows equal in id and text, a third of the table by rows and more than a shard by bytes."""
+    kept = {}
+    monkeypatch.setattr(sharding, "pin", lambda df, name: kept.setdefault(name, pin(df, name)))
+    rows = [(7, "the same row " * 30)] * 3000 + [(i, f"text {i} " * 40) for i in range(3000, 9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = shard_by_bytes(docs, most_rows=500).collect()
+    load = check_laws(rows, out)
+    mean = sum(load.values()) / SHARDS
+    assert max(load.values()) < 1.05 * mean and min(load.values()) > 0.95 * mean
+    assert kept["keyed"].where("n > 1").count() == 1 and kept["placed"].count() == 6001
+
+
 @pytest.mark.parametrize("shards", [1, 5])
 def test_edge_rows(spark, shards):
     rows = [(1, None), (2, ""), (2, ""), (None, "x"), (4, "é" * 60000), (5, "b")]
