@@ -1,14 +1,19 @@
 """Order MinHash fingerprints: MinHash that also sees the order of what it selects.
 
-The k-mers of a text are its runs of ``k`` words, numbered by occurrence, so
-a repeated run is as many elements. Each of ``slots`` hash functions selects
+The k-mers of a text are its runs of ``k`` words, or of ``k`` code points where
+it has few words (see ``_units``), numbered by occurrence, so a repeated run is
+as many elements. Each of ``slots`` hash functions selects
 the ``picks`` smallest elements, puts them back into text order, and hashes
 the tuple into one slot: two texts share a slot only if they share elements in
 the same order, and the share of equal slots bounds their edit distance.
 
 Defined cases: NULL counts as the empty text; a text with fewer words than a
 k-mer is one element, a text with no word has the fingerprint of no element;
-a text with fewer elements than ``picks`` selects all of them.
+a text with fewer elements than ``picks`` selects all of them; repeated rows
+are compared once and get as many rows, all but one followed by themselves;
+very long texts are hashed whole, their ranks in pieces of bounded size; an
+empty table gives no rows; other columns are not read, so their names can't
+clash.
 
 Neighbours (the next document by descending id) come from one range-sorted
 pass over the texts: documents are compared where they lie, and only the
@@ -22,14 +27,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockrisk.llm.common import expand
 from stockrisk.sources.sinks import pin
 
 K = 2
+FEW_WORDS = 16
+LONG_UNITS = 24
+LEAST_POINTS = 32
 SLOTS = 64
 PICKS = 2
+HELD_KEYS = 200_000  # distinct rows a task remembers
+NO_ID = "\x00"  # stands for a NULL id on the way through pandas
 _RANKS = 1 << 17  # ranks worked out at once
 
 _rng = np.random.default_rng(20240)
@@ -62,9 +74,24 @@ def _word_hashes(data: bytes) -> np.ndarray:
     return _mix(summed + size.astype(np.uint64))
 
 
+def _units(text: str) -> np.ndarray:
+    """Hashes of what a text's k-mers are made of: its words, or its code points where it has few words.
+
+    A rule on the text alone: words of more than ``LONG_UNITS`` code points on
+    average are no words as blanks part them (scripts without blanks, one long
+    token), and a text of fewer than ``FEW_WORDS`` words has too few elements.
+    Texts of fewer than ``LEAST_POINTS`` code points are words in any case.
+    """
+    words = _word_hashes(text.encode("utf-8", "surrogatepass"))
+    if not len(words) or len(text) < LEAST_POINTS or (len(words) >= FEW_WORDS and len(text) <= LONG_UNITS * len(words)):
+        return words
+    points = np.frombuffer(" ".join(text.split()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    return _mix(points + np.uint64(0x51ED270B))
+
+
 def elements(text: str, k: int = K) -> np.ndarray:
     """Hashes of a text's occurrence-numbered k-mers, in text order."""
-    hashed = _word_hashes(text.encode("utf-8", "surrogatepass"))
+    hashed = _units(text)
     if not len(hashed):
         return hashed
     n = max(1, len(hashed) - k + 1)
@@ -121,40 +148,76 @@ def _sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-# place: 0 complete, 1 the last of its partition (still to be compared), 2 only a copy of the first
+def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows a task reads (doc_id, ka, kb, text), equal ones once: ``many`` is 1, and what more there are is told by rows without text."""
+    more: dict[tuple, int] = {}
+
+    def told(schema: pa.Schema) -> pa.RecordBatch:
+        rest = [(k, n) for k, n in more.items() if n]
+        columns = [pa.array([k[i] for k, _ in rest], schema.field(i).type) for i in range(3)]
+        return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(rest), pa.string()), pa.array([n for _, n in rest], pa.int64())], _COLLAPSED)
+
+    schema = None
+    for batch in batches:
+        schema = batch.schema
+        fresh = []
+        for key in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            fresh.append(key not in more)
+            more[key] = more[key] + 1 if key in more else 0
+        kept = batch.filter(pa.array(fresh, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(np.ones(kept.num_rows, np.int64))], _COLLAPSED)
+        if len(more) > HELD_KEYS:
+            yield told(schema)
+            more.clear()
+    if schema is not None:
+        yield told(schema)
+
+
+_COLLAPSED = ["doc_id", "ka", "kb", "text", "many"]
+
+# place: 0 complete (``many`` rows of them), 1 the last of its partition (still to be compared), 2 only a copy of the first
 _RUN = (
-    "place int, doc_id string, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+    "place int, doc_id string, many long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double, text string"
 )
+_COLUMNS = [c.strip().split(" ")[0] for c in _RUN.split(",")]
 
 
-def _row(place: int, doc_id, text: str, own: np.ndarray, following: str, next_own: np.ndarray) -> tuple:
+def _row(doc_id, many: int, text: str, own: np.ndarray, following: str, next_own: np.ndarray) -> tuple:
     changed = edited(text, following)
     other = own if changed == text else fingerprint(changed)
     return (
-        place, doc_id, len(text), _sha(changed), own.tobytes(), other.tobytes(), likeness(own, other), likeness(own, next_own), None,
+        0, doc_id, many, len(text), _sha(changed), own.tobytes(), other.tobytes(), likeness(own, other), likeness(own, next_own), None,
     )
 
 
 def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of one sorted partition: each compared with the one after it; the edges carry their texts on."""
-    columns = [c.strip().split(" ")[0] for c in _RUN.split(",")]
-    held = None
+    """Rows of one sorted partition: each compared with the one after it, equal rows at once; the edges carry their texts on."""
+    held, key, out = None, None, []  # the last distinct row: doc_id, text, fingerprint; how many of it
+    many = 0
+
+    def repeats() -> list[tuple]:
+        # All but the last of equal rows are followed by themselves.
+        return [_row(held[0], many - 1, held[1], held[2], held[1], held[2])] if many > 1 else []
+
     for frame in frames:
-        for low in range(0, len(frame), 256):
-            part = frame.iloc[low : low + 256]
-            out = []
-            for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
-                text = text or ""
-                own = fingerprint(text)
-                if held is None:
-                    out.append((2, doc_id, None, None, None, None, None, None, text))
-                else:
-                    out.append(_row(0, *held, text, own))
-                held = (doc_id, text, own)
-            yield pd.DataFrame(out, columns=columns)
+        for doc_id, ka, kb, text, n in zip(*(frame[c] for c in _COLLAPSED), strict=True):
+            if (doc_id, ka, kb) == key:
+                many += int(n)
+                continue
+            text = text or ""
+            own = fingerprint(text)
+            if held is None:
+                out.append((2, doc_id, 1, *[None] * 6, text))
+            else:
+                out += repeats()
+                out.append(_row(held[0], 1, held[1], held[2], text, own))
+            held, key, many = (doc_id, text, own), (doc_id, ka, kb), int(n)
+            if len(out) >= 256:
+                yield pd.DataFrame(out, columns=_COLUMNS)
+                out = []
     if held is not None:
-        yield pd.DataFrame([(1, held[0], None, None, None, None, None, None, held[1])], columns=columns)
+        yield pd.DataFrame([*out, *repeats(), (1, held[0], 1, *[None] * 6, held[1])], columns=_COLUMNS)
 
 
 def compare_neighbours(docs: DataFrame) -> DataFrame:
@@ -165,13 +228,15 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     n_chars, edited_sha256, fingerprint, edited_fingerprint (binary, 16 bits a
     slot), near_edited, near_next.
     """
-    ranked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("_tie", F.xxhash64("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("_tie")]
+    kind = docs.schema["doc_id"].dataType
+    read = docs.select("doc_id", F.xxhash64("text").alias("ka"), F.xxhash64("text", F.lit(1)).alias("kb"), F.coalesce("text", F.lit("")).alias("text"))
+    once = read.mapInArrow(_collapse, f"doc_id {kind.simpleString()}, ka long, kb long, text string, many long")
+    order = [F.col("doc_id").desc_nulls_last(), F.col("ka"), F.col("kb")]
     run = pin(
-        ranked.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        once.repartitionByRange(*order)
+        .sortWithinPartitions(*order, F.col("text").isNull())
         # As text: pandas has no long column with NULLs.
-        .select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+        .select(F.coalesce(F.col("doc_id").cast("string"), F.lit(NO_ID)).alias("doc_id"), "ka", "kb", "text", "many")
         .mapInPandas(_compare, _RUN)
         .withColumn("partition", F.spark_partition_id()),
         "order_minhash",
@@ -184,15 +249,15 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     open_ = tails.join(linked, "partition").join(heads, "head").select("doc_id", "text", "next_text")
 
     def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [c.strip().split(" ")[0] for c in _RUN.split(",")]
         for frame in frames:
             out = []
             for doc_id, text, following in zip(frame["doc_id"], frame["text"], frame["next_text"], strict=True):
-                out.append(_row(0, doc_id, text, fingerprint(text), following, fingerprint(following)))
-            yield pd.DataFrame(out, columns=columns)
+                out.append(_row(doc_id, 1, text, fingerprint(text), following, fingerprint(following)))
+            yield pd.DataFrame(out, columns=_COLUMNS)
 
-    done = run.where("place = 0").drop("partition").unionByName(open_.mapInPandas(finish, _RUN))
-    return done.withColumn("doc_id", F.col("doc_id").cast("long")).drop("place", "text")
+    done = run.where("place = 0").drop("partition").unionByName(open_.mapInPandas(finish, _RUN)).drop("place", "text")
+    named = F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).cast(kind)
+    return expand(done.withColumn("doc_id", named), "many", "nth").drop("many", "nth")
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from stockrisk.llm import order_minhash
 from stockrisk.llm.order_minhash import _RUN, compare_neighbours, edited, elements, fingerprint, fingerprint_report, likeness
 
 
@@ -77,6 +78,40 @@ def test_order_and_edits():
     assert edited("abcdé", "xyz") == "abcxy" and edited("a", "b") == "a" and edited("abcd", "") == "ab"
 
 
+@pytest.mark.parametrize("text", ["日本語の文章には空白がないので言葉の切れ目が見えません。" * 20, "internationalisation localisation", "x1y2" * 200, "Ein Satz mit wenigen Wörtern, kurz."])
+def test_likeness_without_blanks_and_with_few_words(text):
+    last = text[:-1] + "Q"
+    assert fingerprint(text).tolist() == plain_slots(text)
+    assert likeness(fingerprint(text), fingerprint(text)) == 1
+    assert likeness(fingerprint(text), fingerprint(last)) > (0.9 if len(text) > 500 else 0.5)
+    assert likeness(fingerprint(text), fingerprint("0123456789" * 60)) < 0.3
+
+
+def test_repeated_rows_are_compared_once(spark, monkeypatch):
+    """One row is a third of the table: each row gets its result, no task reads more of it than there are tasks."""
+    rows = [(500, "the repeated row " * 9)] * 300 + [(i, f"text number {i} of its own " * 3) for i in range(600)] + [(700, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    ordered = sorted(rows, key=lambda r: (-r[0], r[1] == "the repeated row " * 9))
+    xx = {r.text: r.ka for r in docs.select("text", F.xxhash64("text").alias("ka")).distinct().collect()}
+    ordered = sorted(rows, key=lambda r: (-r[0], xx[r[1]]))
+    want = []
+    for n, (doc, text) in enumerate(ordered):
+        text, following = text or "", ordered[(n + 1) % len(ordered)][1] or ""
+        changed = edited(text, following)
+        want.append((doc, len(text), hashlib.sha256(changed.encode()).hexdigest(), likeness(fingerprint(text), fingerprint(following))))
+    got = fingerprint_report(docs).collect()
+    assert sorted((r.doc_id, r.n_chars, r.edited_sha256, r.near_next) for r in got) == sorted(want)
+    read = docs.select("doc_id", F.lit(1).cast("long").alias("ka"), F.xxhash64("text").alias("kb"), F.coalesce("text", F.lit("")).alias("text"))
+    once = read.mapInArrow(order_minhash._collapse, "doc_id long, ka long, kb long, text string, many long").where("doc_id = 500")
+    assert once.count() <= 14 and once.agg(F.sum("many")).first()[0] == 301
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "z"), (None, "w")], "doc_id string, text string")
+    got = {r.doc_id: r.edited_sha256 for r in fingerprint_report(docs).collect()}
+    assert got == {"b": hashlib.sha256(b"x z"[:2] + b"z").hexdigest(), "a": hashlib.sha256(b"z").hexdigest(), None: hashlib.sha256(b"w").hexdigest()}
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_whole_table(spark, partitions):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(5)
