@@ -15,8 +15,11 @@ one link per vector and local group, never all pairs.
 
 Defined cases: vectors that are NULL, empty, zero or hold NULL or non-finite
 components, and rows with NULL label, link with nothing and are kept; vectors
-of different lengths link with nothing in common; repeated rows link with each
-other; an empty table gives no rows.
+of different lengths link with nothing in common; components of any finite
+size are compared in full precision; labels of any type are groups; repeated
+rows link with each other; a component's ties go to the smallest vec_id; an
+empty table gives no rows; other columns are not read, so their names can't
+clash.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from stockrisk.llm.common import connected_components
 from stockrisk.llm.quantize import Index
@@ -58,9 +62,13 @@ def _matrix(column: pd.Series, width: int) -> np.ndarray:
     return out
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows by a power of two each, which rounds nothing: squares of tiny or huge components stay in range, cosines the same."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
-    # Scaled first, so squares of tiny or huge components stay in range.
-    scaled = rows / np.abs(rows).max(1, keepdims=True)
+    scaled = _scaled(rows)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
@@ -110,7 +118,7 @@ def _compare(tile: pd.DataFrame, pq: Index, cosine: float, radius: float) -> pd.
     if filed.empty or asking.empty:
         return pd.DataFrame({"kind": [], "a": [], "b": []})
     codes = np.array([np.frombuffer(bytes(c), np.uint8) for c in filed["codes"]])
-    base, query = _matrix(filed["vector"], width), _matrix(asking["vector"], width)
+    base, query = _scaled(_matrix(filed["vector"], width)), _scaled(_matrix(asking["vector"], width))
     base_norm, query_norm = np.linalg.norm(base, axis=1), np.linalg.norm(query, axis=1)
     far = radius + filed["error"].to_numpy() + 1e-6
     unit = _unit(query)
@@ -177,10 +185,12 @@ def near_dedup(
     query_tile: int = QUERY_TILE,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of (vec_id, embedding, label)."""
+    # A label is its own number where it is one, its hash otherwise.
+    group = F.col("label").cast("long") if isinstance(embeddings.schema["label"].dataType, IntegralType) else F.xxhash64("label")
     # Copies are told by 128 bits of hash; the vectors move once, their ids narrow.
     named = embeddings.select(
         "vec_id",
-        "label",
+        group.alias("group"),
         "embedding",
         (usable(F.col("embedding")) & F.col("label").isNotNull()).alias("linked"),
         F.xxhash64("label", "embedding").alias("ka"),
@@ -190,7 +200,7 @@ def near_dedup(
         named.where("linked")
         .groupBy("ka", "kb")
         .agg(
-            F.first("label").cast("long").alias("label"),
+            F.first("group").alias("label"),
             F.first("embedding").alias("vector"),
             F.count(F.lit(1)).alias("copies"),
             F.min("vec_id").alias("first"),

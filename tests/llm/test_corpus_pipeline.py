@@ -5,12 +5,13 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stockrisk.llm import gam
 from stockrisk.llm.mixing import mix
 from stockrisk.llm.pii import KINDS, detect
-from stockrisk.llm.quality import features, training_rows
+from stockrisk.llm.quality import features, fit, score, training_rows
 from test_simhash import plain_components, plain_fingerprint
 
 SF = "/root/testdata/sf0.001"
@@ -72,9 +73,11 @@ def test_personal_data_is_gone(stages):
         assert got[d] == (out + text[at:], len(out + text[at:]))
 
 
-def test_mix_takes_each_document_as_often_as_it_says(stages):
+def test_mix_takes_each_document_as_often_as_it_says(spark, stages):
     before, after = stages["mix"]
-    copies = {r.doc_id: r.copies for r in mix(before).collect()}
+    documents, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    weighed = score(before, fit(documents, labels), "weight")
+    copies = {r.doc_id: r.copies for r in mix(weighed, quality=F.col("weight")).collect()}
     assert Counter(r.doc_id for r in after.collect()) == Counter({d: c for d, c in copies.items() if c})
 
 
@@ -98,3 +101,28 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_any_rows_and_any_column_names(spark):
+    """NULL, empty, very long and repeated rows; columns named like every helper column there is."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    long_text = " ".join(f"word{i % 997} and more {i}" for i in range(30_000))
+    odd = [(9001, None), (9002, ""), (9003, long_text), (None, "a text without id, call +1 (375) 555-4393"), (9004, "tie"), (9004, "tie too")]
+    more = spark.createDataFrame([(*r, None, "src0", len(r[1] or "")) for r in odd], docs.schema)
+    docs = docs.unionByName(more).unionByName(docs.where("doc_id % 3 = 0")).unionByName(docs.where("doc_id % 3 = 0"))
+    names = ["_ka", "_key", "_id", "_quality_score", "quality_score", "quality", "masked", "ka", "kb", "row", "size", "rank", "row_hash", "copies", "_source"]
+    names += ["target", "spans", "text_key", "own_key", "group", "fp", "score", "_pos", "epochs", "a.b", "budget", "labels", "kept"]
+    for n in names:
+        docs = docs.withColumn(n, F.lit(n))
+    for name, stage in corpus_pipeline.STAGES[1:4]:  # the first one keeps few of these
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns, name
+        rows = after.collect()
+        assert rows and all(r[n] == n for r in rows for n in names), name
+    kept = corpus_pipeline.quality(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() > 0
+    once = corpus_pipeline.near_dedup(spark, docs, SF).collect()
+    assert len(once) == len({(r.doc_id, r.text) for r in once}) and any(r.text == long_text for r in once)
+    assert {r.text for r in corpus_pipeline.personal_data(spark, docs, SF).where("doc_id is null").collect()} == {"a text without id, call <PHONE>"}
+    out = corpus_pipeline.tokens(spark, corpus_pipeline.mix(spark, docs, SF), SF)
+    assert out.columns == ["doc_id", "source", "ids", "decoded"] and out.count() > 0

@@ -72,6 +72,19 @@ def test_edge_rows(spark):
     assert run(spark, rows[:3]) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
 
 
+def test_components_of_any_size_and_labels_of_any_type(spark):
+    vectors = [[1e200, 2e200], [1e200, 2.0001e200], [-1e200, 2e200], [1e-310, 2e-310], [3e-310, 6e-310], [5e-324, 1e-323], [1.0, 2.0], [2.0, -1.0], [1e308, -5e307]]
+    rows = [(i, v, "ab"[i == 1]) for i, v in enumerate(vectors)] + [(i + 20, v, "c") for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_dedup(frame).collect())
+    alike = {20 + i for i in (0, 1, 3, 4, 5, 6)}
+    assert {g[0] for g in got if g[2] == 20} == alike and all(g[1] == 5 for g in got if g[0] in alike)
+    assert {g[0] for g in got if g[2] == 0} == {0, 3, 4, 5, 6} and [g for g in got if g[0] == 1] == [(1, 0, 1)]
+    assert {g[0] for g in got if g[2] == 27} == {27, 28}
+    halves = spark.createDataFrame([(1, [1.0, 2.0], 1.2), (2, [1.0, 2.0], 1.7), (3, [2.0, 4.0], 1.2)], "vec_id long, embedding array<double>, label double")
+    assert sorted((r.vec_id, r.component_id) for r in near_dedup(halves).collect()) == [(1, 1), (2, 2), (3, 1)]
+
+
 def test_probes_and_bounds_lose_nothing():
     rng = np.random.default_rng(0)
     rows = rng.normal(size=(3000, 16))
