@@ -6,7 +6,10 @@ each stage's rows as Parquet under the shared checkpoint folder and rereads
 them as the next stage's input, so a lost executor costs one stage's tasks.
 
 Defined cases are those of the operators: NULL and empty texts are scored,
-deduplicated and mixed like any other; an empty table stays empty.
+deduplicated and mixed like any other; rows equal in id and text are one
+document after near_dedup; very long texts are read whole; an empty table
+stays empty; other columns, whatever their names, stay as they are up to the
+mix.
 """
 
 from __future__ import annotations
@@ -15,11 +18,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockrisk.llm.common import table
+from stockrisk.llm.common import free_name, table
 from stockrisk.llm.mixing import mixed_documents
 from stockrisk.llm.pii import redact
-from stockrisk.llm.quality import keep_good
+from stockrisk.llm.quality import fit, keep_good, score
 from stockrisk.llm.sentencepieces import encode_decode
 from stockrisk.llm.simhash import keep_one_per_component
 from stockrisk.sources.sinks import pin
@@ -41,13 +45,16 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, each as often as it is taken."""
-    return mixed_documents(docs)
+    """The documents the mix takes, each as often as it is taken; their weights are the quality classifier's scores."""
+    model = fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    name = free_name(docs, "quality")
+    scored = pin(score(docs, model, name), "scored")
+    return mixed_documents(scored, quality=F.col(name)).drop(name)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids and decoded text of every document."""
-    encoded = encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = encode_decode(docs.select("doc_id", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select("doc_id", "source", "ids", "decoded")
 
 
@@ -67,5 +74,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# Features, fingerprints, spans and ids are no SQL: tests/llm/test_pipeline.py checks the stages by brute force.
+# Features, fingerprints, spans and ids are no SQL: tests/llm/test_corpus_pipeline.py checks the stages by brute force.
 ORACLE_SQL = None
