@@ -2,11 +2,13 @@
 
 Distinct vectors are filed in inverted lists of their nearest coarse centroid;
 a vector is compared with its own list and with every list that can hold a
-neighbour (a bound, not a guess: see ``Index.probes``). Within a list, table
-lookups on residual codes give the distance to each filed vector as its codes
-decode; since the decoding error of every vector is stored, distances above
-radius + error are ruled out for certain. What is left gets its exact cosine in
-double precision.
+neighbour (a bound, not a guess: see ``Index.probes``). The vectors lie in
+their own list alone; to the others they go as residual codes, a few bytes
+each. There, table lookups give the distance of each vector filed to each
+visitor as its codes decode; since the decoding error of every vector is
+stored, distances above radius + error are ruled out for certain. Visitors that
+are left are joined with their vectors, and the pairs left get their exact
+cosine in double precision.
 
 Only vectors with one label are compared. Equal vectors (of one label) are
 collapsed first and counted in the links. A list is cut into tiles of bounded
@@ -42,9 +44,12 @@ TRAIN_ROWS = 16384  # vectors the index is fitted on; every vector is filed
 SUBSPACES = 8
 LEAST_LISTS, MOST_LISTS = 8, 2048
 FILED_TILE = 1024
-QUERY_TILE = 4096
+QUERY_TILE = 16384
+HELD = 1 << 20  # links a task holds before it folds them
 
-_PROBED = "label long, width int, list int, filed boolean, rid long, copies long, codes binary, error double"
+_KEY = ["label", "width", "list", "row", "column"]
+_PLACED = "label long, width int, home int, asks array<int>, rid long, copies long, codes binary, error double"
+_CANDIDATES = "label long, width int, list int, row int, column int, rid long, copies long, crossed boolean, hits binary"
 _FOUND = "kind int, a long, b long"
 
 
@@ -73,8 +78,12 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def fit_index(vectors: DataFrame, lists: int | None = None, rows: int = TRAIN_ROWS) -> Index | None:
-    """Index fitted by the driver on at most ``rows`` vectors, smallest hashes first."""
-    many = vectors.count()
+    """Index fitted by the driver on at most ``rows`` vectors, smallest hashes first.
+
+    Vectors meet those of their label alone, so the lists are as many as a
+    list of the most frequent label holds vectors.
+    """
+    many = vectors.groupBy("label").count().agg(F.max("count")).first()[0]
     if not many:
         return None
     lists = lists or min(max(round(many**0.5), LEAST_LISTS), MOST_LISTS)
@@ -84,8 +93,8 @@ def fit_index(vectors: DataFrame, lists: int | None = None, rows: int = TRAIN_RO
     return Index.fit(_unit(_matrix(sample, width)), lists, SUBSPACES)
 
 
-def _probe(vectors: DataFrame, index: Index, radius: float) -> DataFrame:
-    """A row for each vector and list it is filed in or asks. Of two lists, the vector of the lower asks the higher."""
+def _place(vectors: DataFrame, index: Index, radius: float) -> DataFrame:
+    """The vectors with their list, the lists they ask and their codes. Of two lists, the vector of the lower asks the higher."""
     held = vectors.sparkSession.sparkContext.broadcast(index)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,54 +106,66 @@ def _probe(vectors: DataFrame, index: Index, radius: float) -> DataFrame:
                 home, reach = pq.probes(rows, radius)
                 codes, error = pq.encode(rows, home)
                 reach &= np.arange(reach.shape[1])[None, :] >= home[:, None]
-                row, asked = np.nonzero(reach)
-                out = frame.iloc[row][["label", "width", "rid", "copies", "vector"]].reset_index(drop=True)
-                out["list"] = asked
-                out["filed"] = asked == home[row]
-                packed = np.array([c.tobytes() for c in codes], dtype=object)
-                out["codes"] = np.where(out["filed"], packed[row], None)
-                out["error"] = error[row]
-                yield out[["label", "width", "list", "filed", "rid", "copies", "codes", "error", "vector"]]
+                asks = [np.flatnonzero(r).astype(np.int32) for r in reach]
+                out = frame.assign(home=home, asks=asks, codes=[c.tobytes() for c in codes], error=error)
+                yield out[["label", "width", "home", "asks", "rid", "copies", "codes", "error", "vector"]]
 
     # Vectors travel as they are stored, in single precision if they came so; tasks compute in double.
-    return vectors.mapInPandas(run, f"{_PROBED}, vector {vectors.schema['vector'].dataType.simpleString()}")
+    return vectors.mapInPandas(run, f"{_PLACED}, vector {vectors.schema['vector'].dataType.simpleString()}")
+
 
+def _candidates(filed: pd.DataFrame, visitors: pd.DataFrame, pq: Index, radius: float) -> pd.DataFrame:
+    """Visitors that may have a neighbour in a tile, each with a mask of the tile's vectors, by rid."""
+    filed = filed.sort_values("rid")
+    unit = _unit(_matrix(filed["vector"], pq.centroids.shape[1]))
+    own = filed["rid"].to_numpy()
+    out = []
+    for low in range(0, len(visitors) if len(filed) else 0, 1024):
+        some = visitors.iloc[low : low + 1024]
+        codes = np.frombuffer(b"".join(map(bytes, some["codes"])), np.uint8).reshape(len(some), -1)
+        near = pq.table_distances(unit, some["home"].to_numpy(), codes).T <= (radius + some["error"].to_numpy() + 1e-6)[:, None]
+        near &= some["rid"].to_numpy()[:, None] != own[None, :]
+        left = near.any(1)
+        hits = [m.tobytes() for m in np.packbits(near[left], axis=1)]
+        out.append(some[left].assign(hits=hits, crossed=(some["home"] != some["list"])[left]))
+    names = [*_KEY, "rid", "copies", "crossed", "hits"]
+    return pd.concat(out)[names] if out else pd.DataFrame({n: [] for n in names})
 
-def _compare(tile: pd.DataFrame, pq: Index, cosine: float, radius: float) -> pd.DataFrame:
+
+def _rerank(filed: pd.DataFrame, asking: pd.DataFrame, width: int, cosine: float) -> pd.DataFrame:
     """Links of one tile: (0, vector, linked rows) and (1, vector, vector of its local group)."""
-    width = pq.centroids.shape[1]
-    filed = tile[tile["as_filed"]].reset_index(drop=True)
-    asking = tile[~tile["as_filed"]].reset_index(drop=True)
     if filed.empty or asking.empty:
         return pd.DataFrame({"kind": [], "a": [], "b": []})
-    codes = np.array([np.frombuffer(bytes(c), np.uint8) for c in filed["codes"]])
-    base, query = _scaled(_matrix(filed["vector"], width)), _scaled(_matrix(asking["vector"], width))
-    base_norm, query_norm = np.linalg.norm(base, axis=1), np.linalg.norm(query, axis=1)
-    far = radius + filed["error"].to_numpy() + 1e-6
-    unit = _unit(query)
-    which = int(tile["list"].iloc[0])
-    left, right = [], []
-    for low in range(0, len(asking), 512):
-        near = pq.table_distances(unit[low : low + 512], which, codes) <= far[None, :]
-        q, f = np.nonzero(near)
-        dots = np.einsum("ij,ij->i", query[low + q], base[f])
-        linked = (dots / (query_norm[low + q] * base_norm[f]) >= cosine) & (
-            asking["rid"].to_numpy()[low + q] != filed["rid"].to_numpy()[f]
-        )
-        left.append(low + q[linked])
-        right.append(f[linked])
-    left, right = np.concatenate(left), np.concatenate(right)
-    asked, held = asking["rid"].to_numpy()[left], filed["rid"].to_numpy()[right]
-    # Two vectors of one list both ask; of two lists, only one does, and counts for both.
-    crossed = ~asking["home"].to_numpy(bool)[left]
-    ids = np.concatenate([asked, held[crossed]])
-    links = np.concatenate([filed["copies"].to_numpy()[right], asking["copies"].to_numpy()[left][crossed]])
-    counted = pd.DataFrame({"a": ids, "b": links}).groupby("a", as_index=False)["b"].sum().assign(kind=0)
-    names, place = np.unique(np.concatenate([asked, held]), return_inverse=True)
-    root = local_roots(len(names), place[: len(asked)], place[len(asked) :])
-    own = np.flatnonzero(root != np.arange(len(root)))
+    filed = filed.sort_values("rid")
+    base = _scaled(_matrix(filed["vector"], width))
+    base_norm = np.linalg.norm(base, axis=1)
+    names, place = np.unique(np.concatenate([asking["rid"], filed["rid"]]), return_inverse=True)
+    asked, held = place[: len(asking)], place[len(asking) :]
+    copies, held_copies = asking["copies"].to_numpy(), filed["copies"].to_numpy()
+    crossed = asking["crossed"].to_numpy(bool)
+    links = np.zeros(len(names), np.int64)
+    left, right, many = [], [], 0
+    for low in range(0, len(asking), 128):
+        some = asking.iloc[low : low + 128]
+        query = _scaled(_matrix(some["vector"], width))
+        hits = np.frombuffer(b"".join(map(bytes, some["hits"])), np.uint8).reshape(len(some), -1)
+        q, f = np.nonzero(np.unpackbits(hits, axis=1)[:, : len(filed)])
+        dots = np.einsum("ij,ij->i", query[q], base[f])
+        linked = dots / (np.linalg.norm(query, axis=1)[q] * base_norm[f]) >= cosine
+        q, f = low + q[linked], f[linked]
+        np.add.at(links, asked[q], held_copies[f])
+        # Two vectors of one list both ask; of two lists, only one does, and counts for both.
+        np.add.at(links, held[f[crossed[q]]], copies[q[crossed[q]]])
+        left, right, many = [*left, asked[q]], [*right, held[f]], many + len(q)
+        if many > HELD:  # a dense tile: keep one link for each vector
+            root = local_roots(len(names), np.concatenate(left), np.concatenate(right))
+            own = np.flatnonzero(root != np.arange(len(root)))
+            left, right, many = [own], [root[own]], len(own)
+    root = local_roots(len(names), np.concatenate(left), np.concatenate(right))
+    own, counted = np.flatnonzero(root != np.arange(len(root))), np.flatnonzero(links)
+    counts = pd.DataFrame({"kind": 0, "a": names[counted], "b": links[counted]})
     edges = pd.DataFrame({"kind": 1, "a": names[own], "b": names[root[own]]})
-    return pd.concat([counted, edges])[["kind", "a", "b"]].astype("int64")
+    return pd.concat([counts, edges]).astype("int64")
 
 
 def find_links(
@@ -152,29 +173,37 @@ def find_links(
 ) -> DataFrame:
     """Link counts and local links of distinct vectors (rid, label, width, vector, copies): kind, a, b."""
     radius = float(np.sqrt(2 - 2 * cosine))
-    probed = pin(_probe(vectors, index, radius), "probed")
-    key = ["label", "width", "list"]
-    sizes = probed.groupBy(*key).agg(
-        F.ceil(F.sum(F.col("filed").cast("long")) / filed_tile).cast("int").alias("rows"),
+    placed = pin(_place(vectors, index, radius), "placed")
+    key = _KEY[:3]
+    visits = placed.select("label", "width", F.explode("asks").alias("list"), "home", "rid", "copies", "codes", "error")
+    sizes = visits.groupBy(*key).agg(
+        F.ceil(F.sum((F.col("home") == F.col("list")).cast("long")) / filed_tile).cast("int").alias("rows"),
         F.ceil(F.count(F.lit(1)) / query_tile).cast("int").alias("columns"),
     )
     # Lists nothing is filed in need no comparison.
     grids = pin(sizes.where("rows > 0").select(*[F.col(k).alias(f"_{k}") for k in key], "rows", "columns"), "grids")
     same = [F.col(k) == F.col(f"_{k}") for k in key]
-    placed = probed.join(grids, same).select(*probed.columns, "rows", "columns")
     mine = F.xxhash64("rid")
-    columns = [*key, "rid", "copies", "error", "vector"]
-    as_filed = placed.where("filed").select(
-        *columns, "codes", F.lit(True).alias("as_filed"), F.lit(True).alias("home"),
-        F.pmod(mine, "rows").cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"),
-    )
-    asking = placed.select(
-        *columns, F.lit(None).cast("binary").alias("codes"), F.lit(False).alias("as_filed"), F.col("filed").alias("home"),
-        F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), F.pmod(mine, "columns").cast("int").alias("column"),
-    )
+    row, column = F.pmod(mine, "rows").cast("int").alias("row"), F.pmod(mine, "columns").cast("int").alias("column")
+    # The two sides of a tile come of one table: columns of their own for this one.
+    apart = placed.select(*[F.col(c).alias("list" if c == "home" else c) for c in ("label", "width", "home", "rid", "copies", "vector")])
+    filed = apart.join(grids, same).select(
+        *key, row, F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"), "rid", "copies", "vector"
+    )
+    visitors = visits.join(grids, same).select(
+        *key, F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), column, "home", "rid", "copies", "codes", "error"
+    )
     held = vectors.sparkSession.sparkContext.broadcast(index)
-    tiles = as_filed.unionByName(asking).groupBy(*key, "row", "column")
-    return tiles.applyInPandas(lambda tile: _compare(tile, held.value, cosine, radius), _FOUND)
+    kept = pin(
+        filed.select(*_KEY, "rid", "vector")
+        .groupBy(*_KEY)
+        .cogroup(visitors.groupBy(*_KEY))
+        .applyInPandas(lambda own, others: _candidates(own, others, held.value, radius), _CANDIDATES),
+        "candidates",
+    )
+    asking = kept.join(placed.select(F.col("rid").alias("_rid"), "vector"), F.col("rid") == F.col("_rid")).drop("_rid")
+    width = index.centroids.shape[1]
+    return filed.groupBy(*_KEY).cogroup(asking.groupBy(*_KEY)).applyInPandas(lambda own, others: _rerank(own, others, width, cosine), _FOUND)
 
 
 def near_dedup(

@@ -73,10 +73,18 @@ class Index:
         decoded = np.concatenate([b[c] for b, c in zip(self.codebooks, codes.T, strict=True)], axis=1)
         return codes.astype(np.uint8), np.linalg.norm(residual - decoded, axis=1)
 
-    def table_distances(self, queries: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric distances (queries, coded rows) in one list, by lookup: queries exact, rows as their codes decode."""
-        parts = np.split(queries - self.centroids[which], len(self.codebooks), axis=1)
-        total = np.zeros((len(queries), len(codes)))
+    def table_distances(self, queries: np.ndarray, which: np.ndarray | int, codes: np.ndarray) -> np.ndarray:
+        """Asymmetric distances (queries, coded rows) by lookup: queries exact, rows as the codes of their list ``which`` decode.
+
+        |q - c - d|^2 is |q|^2 + |c + d|^2 - 2 (q c + q d): one table a query of
+        its products with every code serves the rows of all lists.
+        """
+        which = np.broadcast_to(which, len(codes))
+        lists, place = np.unique(which, return_inverse=True)
+        dots = (self.centroids[lists] @ queries.T)[place]
+        parts = np.split(queries, len(self.codebooks), axis=1)
         for part, book, code in zip(parts, self.codebooks, codes.T, strict=True):
-            total += squared_distances(part, book)[:, code]
-        return np.sqrt(total)
+            dots += (book @ part.T)[code]
+        decoded = self.centroids[which] + np.concatenate([b[c] for b, c in zip(self.codebooks, codes.T, strict=True)], axis=1)
+        squared = (queries**2).sum(1)[None, :] + (decoded**2).sum(1)[:, None] - 2 * dots
+        return np.sqrt(np.maximum(squared, 0)).T
