@@ -10,6 +10,9 @@ running.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -70,17 +73,41 @@ def write_layer(
     return WriteResult(name, int(metrics["rows"]), metrics)
 
 
+# The folder of the run that owns the pins, where one does.
+_OWNER: ContextVar[str | None] = ContextVar("owner", default=None)
+
+
+def _write_in(df: DataFrame, folder: str | None, name: str, fmt: str) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else shared_path(spark, name)
+    df.write.format(fmt).mode("overwrite").save(path)
+    # The schema is known: reading it back needs no footer inference.
+    return spark.read.format(fmt).schema(df.schema).load(path)
+
+
 def pin(df: DataFrame, name: str = "pinned", fmt: str = "parquet") -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts the lineage: later plans scan a columnar table (with column pruning
     and pushed filters) instead of recomputing windows and shuffles.
     """
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.format(fmt).mode("overwrite").save(path)
-    # The schema is known: reading it back needs no footer inference.
-    return spark.read.format(fmt).schema(df.schema).load(path)
+    return _write_in(df, _OWNER.get(), name, fmt)
+
+
+@contextmanager
+def owned_pins(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """Pins written inside are removed at the end, by failure too.
+
+    Gives a pin that writes where pins went before, for what must outlive
+    them: ``with owned_pins(spark) as keep: result = keep(work(), "result")``.
+    """
+    outer, own = _OWNER.get(), shared_path(spark, "run")
+    token = _OWNER.set(own)
+    try:
+        yield lambda df, name="kept", fmt="parquet": _write_in(df, outer, name, fmt)
+    finally:
+        _OWNER.reset(token)
+        remove_path(spark, own)
 
 
 def create_view(spark: SparkSession, db: str, view: str, select: str) -> DataFrame:

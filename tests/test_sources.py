@@ -7,7 +7,7 @@ from stockrisk.operators.kpis import filter_report
 from stockrisk.operators.layers import dedup_bronze
 from stockrisk.sources.fixture import load_product_master, load_raw, product_number
 from stockrisk.sources.readers import read_layer, read_product_master, read_raw
-from stockrisk.sources.sinks import Scratch, create_view, ensure_database, pin, write_layer
+from stockrisk.sources.sinks import Scratch, create_view, ensure_database, owned_pins, pin, write_layer
 from stockrisk.session import shared_path
 
 
@@ -122,3 +122,24 @@ def test_write_layer_takes_other_formats(spark):
     res = write_layer(df, "t_orc_db", "t", f"{root}/t_orc", fmt="orc")
     assert res.rows == 1
     assert read_layer(spark, f"{root}/t_orc", "orc").collect()[0].k == "A"
+
+
+def test_owned_pins_go_with_their_run(spark, tmp_path):
+    df = spark.range(5)
+    with owned_pins(spark) as keep:
+        lost = pin(df, "lost")
+        with owned_pins(spark) as keep_inner:
+            inner = pin(lost, "inner")
+            middle = keep_inner(inner.where("id > 0"), "middle")
+        assert middle.count() == 4 and lost.count() == 5
+        kept = keep(middle.where("id > 1"), "kept")
+    assert sorted(r.id for r in kept.collect()) == [2, 3, 4]
+    for gone in (lost, inner, middle):
+        with pytest.raises(Exception):
+            gone.count()
+    assert pin(df, "after").count() == 5
+    with pytest.raises(ValueError), owned_pins(spark):
+        failed = pin(df, "failed")
+        raise ValueError
+    with pytest.raises(Exception):
+        failed.count()
