@@ -4,6 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on every row its predecessor
 kept. All but the last return the columns of ``documents``. ``run`` writes
 each stage's rows as Parquet under the shared checkpoint folder and rereads
 them as the next stage's input, so a lost executor costs one stage's tasks.
+What a stage stored on its way is removed when its rows are written, the rows
+of all but the last stage at the end of the run.
 
 Defined cases are those of the operators: NULL and empty texts are scored,
 deduplicated and mixed like any other; rows equal in id and text are one
@@ -26,7 +28,7 @@ from stockrisk.llm.pii import redact
 from stockrisk.llm.quality import fit, keep_good, score
 from stockrisk.llm.sentencepieces import encode_decode
 from stockrisk.llm.simhash import keep_one_per_component
-from stockrisk.sources.sinks import pin
+from stockrisk.sources.sinks import owned_pins, pin
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,8 +71,11 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = pin(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    with owned_pins(spark) as keep_result:
+        for name, stage in STAGES:
+            with owned_pins(spark) as keep_rows:
+                keep = keep_result if name == STAGES[-1][0] else keep_rows
+                docs = keep(stage(spark, docs, sf_dir), f"pipeline_{name}")
     return docs
 
 
