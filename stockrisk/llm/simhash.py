@@ -6,7 +6,9 @@ words than a shingle is one shingle). Equal fingerprints are collapsed before
 the search, so a group of copies of any size costs one row. Two fingerprints
 that differ in at most ``radius`` bits agree on at least ``blocks - radius``
 of ``blocks`` bit blocks, so each is filed under every choice of that many
-blocks and only rows of one bucket are compared; this loses no pair. A bucket
+blocks and only rows of one bucket are compared; this loses no pair. The more
+fingerprints there are, the more blocks, so the chosen bits grow and even
+buckets stay far below a tile (``blocks_for``). A bucket
 above ``tile`` rows is cut into tiles, every pair of tiles compared in a task
 of its own. Buckets emit links to the smallest fingerprint of a locally
 connected group, never all pairs.
@@ -36,7 +38,7 @@ from stockrisk.sources.sinks import pin
 SHINGLE = 4
 RADIUS = 4
 SEED = 42  # FIXED VALUE of the fingerprint hash (XXH64)
-BLOCKS = 6
+MOST_BLOCKS = 9  # 126 choices of 5 blocks, 35 bits
 TILE = 4096
 CHUNK = 65536  # shingles hashed at once, and rows compared at once
 
@@ -73,9 +75,23 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
     return simhash(text)
 
 
+def _edges(blocks: int) -> list[int]:
+    return [round(i * 64 / blocks) for i in range(blocks + 1)]
+
+
+def blocks_for(rows: int, radius: int = RADIUS, tile: int = TILE) -> int:
+    """Fewest blocks whose narrowest choice puts ``rows`` evenly spread fingerprints in buckets of a quarter of a tile at most."""
+    for blocks in range(radius + 2, MOST_BLOCKS):
+        edges = _edges(blocks)
+        bits = sum(sorted(b - a for a, b in zip(edges, edges[1:]))[: blocks - radius])
+        if rows >> bits <= tile // 4:
+            return blocks
+    return max(MOST_BLOCKS, radius + 2)
+
+
 def _bucket_keys(fp: Column, radius: int, blocks: int) -> Column:
     """One long for each choice of ``blocks - radius`` blocks: number of the choice, then the chosen bits."""
-    edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
+    edges = _edges(blocks)
     keys = []
     for number, chosen in enumerate(combinations(range(blocks), blocks - radius)):
         key = F.lit(number).cast("long")
@@ -124,11 +140,12 @@ def _links(frames: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame
         yield from compare(pd.concat(rest, ignore_index=True))
 
 
-def link_fingerprints(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
+def link_fingerprints(fps: DataFrame, radius: int = RADIUS, blocks: int | None = None, tile: int = TILE) -> DataFrame:
     """Component of every fingerprint that has another within ``radius`` bits: (node, component).
 
-    ``fps`` has one distinct long ``fp`` per row.
+    ``fps`` has one distinct long ``fp`` per row; ``blocks`` goes by their number if not given.
     """
+    blocks = blocks or blocks_for(fps.count(), radius, tile)
     if blocks <= radius:
         raise ValueError("blocks must exceed the radius")
     filed = fps.select("fp", F.explode(_bucket_keys(F.col("fp"), radius, blocks)).alias("key"))
@@ -155,7 +172,7 @@ def row_key() -> list[Column]:
 
 
 def simhash_components(
-    docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int = BLOCKS, tile: int = TILE
+    docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int | None = None, tile: int = TILE
 ) -> DataFrame:
     """Fingerprint and component of every row of ``docs`` (doc_id, text).
 
@@ -177,7 +194,7 @@ def simhash_components(
 
 
 def keep_one_per_component(
-    docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int = BLOCKS, tile: int = TILE
+    docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int | None = None, tile: int = TILE
 ) -> DataFrame:
     """One row of ``docs`` for each component: that with the smallest doc_id, NULL last.
 

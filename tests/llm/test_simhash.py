@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from stockrisk.llm.bitslice import near_pairs
-from stockrisk.llm.simhash import fingerprint, keep_one_per_component, link_fingerprints, near_dedup, simhash_components
+from stockrisk.llm.simhash import blocks_for, fingerprint, keep_one_per_component, link_fingerprints, near_dedup, simhash_components
 
 
 def plain_fingerprint(text, width=4):
@@ -86,6 +86,21 @@ def test_components_over_tiles(spark, tile):
         assert {got.get(m, m) for m in members} == {min(members)}
 
 
+def test_blocks_grow_with_the_rows_and_links_stay(spark):
+    for rows in (0, 10**6, 10**9, 10**10, 10**12):
+        blocks = blocks_for(rows)
+        edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
+        bits = sum(sorted(b - a for a, b in zip(edges, edges[1:]))[: blocks - 4])
+        assert rows / 2**bits <= 1025
+    assert [blocks_for(n) for n in (0, 10**8, 10**10, 10**12, 10**15)] == [6, 6, 7, 8, 9]
+    rng = random.Random(6)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    fps = sorted({b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(6))) for b in base for _ in range(5)})
+    frame = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f,) for f in fps], "fp long")
+    found = [sorted(map(tuple, link_fingerprints(frame, blocks=b).collect())) for b in (None, 6, 7, 8, 9)]
+    assert found[0] and all(f == found[0] for f in found)
+
+
 def test_edge_rows(spark):
     long = " ".join(f"w{i}" for i in range(30000))
     rows = [(5, long), (3, long), (9, None), (8, ""), (8, ""), (None, "a b c d e"), (11, "solo text here")]
