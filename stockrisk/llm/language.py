@@ -8,7 +8,7 @@ machines fitted on about ``SAMPLE`` distinct documents of every language there
 is, profiled by Spark, never from the held-out fold. A sample of up to
 ``DRIVER_ROWS`` rows is fitted by the driver. A larger one, of more languages,
 stays in the shared folder: its mean profiles are gathered per language, the
-families' machines descend by gradients summed over its parts, and each task
+families' machines descend by gradients that Spark sums in a tree, and each task
 fits the machines inside one family.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0;
@@ -176,6 +176,7 @@ def fit_spread(profiles: DataFrame, counts: dict[str, int]) -> Model:
     positive = np.array([sum(counts[n] for n in f) for f in families], dtype=np.float32)
     negative = np.maximum(sum(counts.values()) - positive, 1)
     sc = profiles.sparkSession.sparkContext
+    middle = max(1, round(sc.defaultParallelism**0.5))
 
     def slope(w: np.ndarray) -> np.ndarray:
         held = sc.broadcast(w)
@@ -192,9 +193,20 @@ def fit_spread(profiles: DataFrame, counts: dict[str, int]) -> Model:
                     total -= 2 * x.T @ (weight * sign * np.maximum(1 - sign * (x @ held.value), 0))
             yield pd.DataFrame({"slope": [total.tobytes()]})
 
-        parts = profiles.mapInPandas(part, "slope binary").collect()
+        def total(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            first, summed = 0, np.zeros(w.size, np.float32)
+            for frame in frames:
+                first = int(frame["at"].iloc[0])
+                for s in frame["slope"]:
+                    summed = summed + np.frombuffer(bytes(s), dtype=np.float32)
+            yield pd.DataFrame({"at": [first], "slope": [summed.tobytes()]})
+
+        # A tree of sums, in one order always: the partitions, some, one. So one matrix a step reaches the driver.
+        parts = profiles.mapInPandas(part, "slope binary").withColumn("at", F.spark_partition_id())
+        some = parts.repartition(middle, F.col("at") % middle).sortWithinPartitions("at").mapInPandas(total, "at int, slope binary")
+        summed = some.repartition(1).sortWithinPartitions("at").mapInPandas(total, "at int, slope binary").first()["slope"]
         held.destroy()
-        return sum(np.frombuffer(bytes(r["slope"]), dtype=np.float32).reshape(w.shape) for r in parts)
+        return np.frombuffer(bytes(summed), dtype=np.float32).reshape(w.shape)
 
     # Profiles are unit vectors, and one more for the bias.
     family_weights = descend(slope, np.zeros((BUCKETS + 1, len(families)), np.float32), 4.0)
