@@ -1,5 +1,6 @@
 """The corpus pipeline, stage by stage, against plain Python on the stage's own input."""
 
+import pathlib
 from collections import Counter
 
 import public_tokenizers
@@ -126,3 +127,13 @@ def test_any_rows_and_any_column_names(spark):
     assert {r.text for r in corpus_pipeline.personal_data(spark, docs, SF).where("doc_id is null").collect()} == {"a text without id, call <PHONE>"}
     out = corpus_pipeline.tokens(spark, corpus_pipeline.mix(spark, docs, SF), SF)
     assert out.columns == ["doc_id", "source", "ids", "decoded"] and out.count() > 0
+
+
+def test_only_the_result_stays_stored(spark):
+    def stored():
+        root = spark.sparkContext.getCheckpointDir()
+        return {str(p) for p in pathlib.Path(root.removeprefix("file:"), "tables").glob("*") if any(p.rglob("*.parquet"))}
+
+    before = stored()
+    out = corpus_pipeline.run(spark, SF)
+    assert len(stored() - before) == 1 and out.count() > 0

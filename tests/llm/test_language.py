@@ -1,5 +1,8 @@
 """Language identification: held-out accuracy, families, undetermined texts."""
 
+import math
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -83,3 +86,55 @@ def test_edge_rows(spark):
     assert language_report(docs.limit(0)).count() == 0
     one = fit_model(np.array([profile("only one")]), np.array(["xx"], dtype=object))
     assert [(r.lang_pred, r.score) for r in predict(docs.where("doc_id = 6"), one).collect()] == [("xx", 1.0)]
+
+
+def plain_profile(text):
+    """Counts of hashed byte pairs and triples of the letters, one by one."""
+    data, letters = b" " + text.lower().encode() + b" ", []
+    for b in data:
+        c = b if b > 127 or 97 <= b <= 122 else 32
+        if c != 32 or not letters or letters[-1] != 32:
+            letters.append(c)
+    counts = [0] * 4096
+    for width, salt in ((2, 0x9E3779B1), (3, 0x85EBCA77)):
+        for i in range(len(letters) - width + 1):
+            gram = int.from_bytes(bytes(letters[i : i + width]), "big")
+            counts[gram * salt % 2**32 >> 20] += 1
+    size = math.sqrt(sum(counts))
+    return [math.sqrt(c) / size for c in counts] + [1.0]
+
+
+def plain_prediction(model, text):
+    """The family of the greatest margin, then the language with the most duels won, margins breaking ties."""
+    x = plain_profile(text)
+    margins = [float(np.dot(x, w)) for w in model.family_weights.T]
+    family = max(range(len(margins)), key=margins.__getitem__)
+    sure = 1 / (1 + math.exp(-4 * margins[family])) if len(margins) > 1 else 1.0
+    names = model.families[family]
+    won, weakest = [0.0] * len(names), [math.inf] * len(names)
+    for (f, a, b), w in zip(model.pairs, model.pair_weights.T, strict=True):
+        if f == family:
+            m = float(np.dot(x, w))
+            for place, margin in ((a, m), (b, -m)):
+                won[place] += (margin > 0) + 1e-3 * math.tanh(margin)
+                weakest[place] = min(weakest[place], margin)
+    best = max(range(len(names)), key=won.__getitem__)
+    low = weakest[best]
+    return names[best], sure if math.isinf(low) else sure / (1 + math.exp(-4 * low))
+
+
+def test_whole_table_by_plain_margins(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = train(docs)
+    assert sum(map(len, model.families)) == 4
+    got = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in language_report(docs).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        held, lang, score = got[r.doc_id]
+        assert held == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if any(c.isalpha() for c in r.text or ""):
+            want = plain_prediction(model, r.text)
+            assert lang == want[0] and abs(score - want[1]) < 1e-4
+        else:
+            assert (lang, score) == ("und", 0.0)

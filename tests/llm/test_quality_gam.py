@@ -1,12 +1,15 @@
 """The additive model on made-up effects; the classifier on held-out rows."""
 
+import math
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stockrisk.llm import gam
 from stockrisk.llm.common import held_out
-from stockrisk.llm.quality import FEATURES, features, keep_good, quality_report, training_rows
+from stockrisk.llm.quality import FEATURES, features, fit, keep_good, quality_report, training_rows
 
 SF = "/root/testdata/sf0.01"
 
@@ -79,3 +82,51 @@ def test_an_id_of_many_rows_is_one_row_of_the_sample(spark):
     ids = [r.doc_id for r in labels.where(~held_out(F.col("doc_id"))).orderBy("doc_id").collect()]
     want = {1: features("Aa first text"), 2: features(None), 4: features("four words of text")}
     assert 1 in ids and np.allclose(rows, [want[i] for i in ids]) and marks.tolist() == [i % 2 for i in ids]
+
+
+def plain_features(text):
+    """The figures of ``FEATURES``, byte by byte."""
+    data = list((text or "").encode())
+    is_upper = [chr(b) in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in data]
+    is_letter = [u or b > 127 or chr(b) in "abcdefghijklmnopqrstuvwxyz" for u, b in zip(is_upper, data, strict=True)]
+    digits = sum(chr(b) in "0123456789" for b in data)
+    spaces = sum(b in (32, 9, 10, 11, 12, 13) for b in data)
+    stops = sum(chr(b) in ".,;:'\"()-" for b in data)
+    shouts = sum(chr(b) in "!?" for b in data)
+    symbols = len(data) - sum(is_letter) - digits - spaces - stops - shouts
+    words, word = [], []
+    for b in [*data, 32]:
+        if b in (32, 9, 10, 11, 12, 13):
+            words += [tuple(word)] if word else []
+            word = []
+        else:
+            word.append(b)
+    lines = [line for line in bytes(data).split(b"\n") if line != b""]
+    n, many, cased = max(len(data), 1), max(len(words), 1), max(sum(is_letter), 1)
+    triples = {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+    return [
+        math.log(1 + len(data)), cased / n, sum(is_upper) / cased, digits / n, symbols / n, shouts / n, stops / n, spaces / n,
+        sum(len(w) for w in words) / many, len(set(words)) / many, max((words.count(w) for w in set(words)), default=0) / many,
+        sum(a == b for a, b in zip(words, words[1:])) / many, len(triples) / max(len(words) - 2, 1),
+        len(set(lines)) / max(len(lines), 1), math.log(1 + many / max(len(lines), 1)), (shouts + symbols) / many,
+    ]
+
+
+def test_whole_table_by_plain_sums(spark):
+    """Every row's score is the sum of what its figures find in the model's tables, looked up one by one."""
+    small = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    model = fit(docs, labels)
+    assert any(np.ptp(t) > 0 for t in model.tables) and len(model.pairs) == 5
+    got = {r.doc_id: (r.held_out, r.score, r.predicted) for r in quality_report(docs, labels).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        x = plain_features(r.text)
+        total = model.intercept + sum(t[sum(c <= v for c in cuts)] for t, cuts, v in zip(model.tables, model.cuts, x, strict=True))
+        for (i, j), t in zip(model.pairs, model.pair_tables, strict=True):
+            total += t[sum(c <= x[i] for c in model.pair_cuts[i]), sum(c <= x[j] for c in model.pair_cuts[j])]
+        want = 1 / (1 + math.exp(-total))
+        held, found, predicted = got[r.doc_id]
+        assert found == pytest.approx(want, abs=1e-9) and predicted == int(found >= 0.7)
+        assert held == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
