@@ -203,10 +203,11 @@ def path_hash(above: int, name: str) -> int:
     return xxhash.xxh64_intdigest(above.to_bytes(8, "little") + name.encode("utf-8", "surrogatepass"))
 
 
-def read_blocks(html: str) -> tuple[list[Block], dict[int, list[str]]]:
-    """Blocks of a page in order, and the child element names of each path."""
+def read_blocks(html: str) -> tuple[list[Block], dict[int, list[str]], dict[int, int]]:
+    """Blocks of a page in order, the child element names of each path, and the path above it (the page's own: itself)."""
     blocks: list[Block] = []
     styles: dict[int, list[str]] = {}
+    around = {0: 0}
     nodes = [_Node(-1, "", PLAIN)]  # the page itself
     stack = [_Open("", 0, 0, [], {})]
     open_at: dict[str, list[int]] = {}  # depths of the open elements, by tag
@@ -310,11 +311,13 @@ def read_blocks(html: str) -> tuple[list[Block], dict[int, list[str]]]:
         above.children.append(name)
         nodes.append(_Node(above.node, tag, told))
         open_at.setdefault(tag, []).append(len(stack))
-        stack.append(_Open(tag, len(nodes) - 1, path_hash(above.path, name), [], {}))
+        path = path_hash(above.path, name)
+        around[path] = above.path
+        stack.append(_Open(tag, len(nodes) - 1, path, [], {}))
     close(1)
     flush()
     styles.setdefault(0, []).extend(stack[0].children)
     zones = _zones(nodes)
     for b in blocks:
         b.zone = zones[b.zone]
-    return blocks, styles
+    return blocks, styles, around

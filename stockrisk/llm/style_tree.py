@@ -20,6 +20,14 @@ line that stands everywhere goes even where it is one paragraph of many. Links
 are no sign of a template there. A page that would lose its whole article
 keeps it.
 
+A node on fewer than ``MIN_PAGES`` distinct pages tells nothing about itself
+(generated class names give each page nodes of its own). Importance is
+propagated over the tree for it: a branch has the mean importance of all it
+holds, by code points, such nodes counting as content; and such a node is worth
+no more than the branch of the nearest node above it that enough pages have. So
+a generated item goes with the menu that holds it, and a page's own text under
+generated names stays, as it makes most of the branch it stands in.
+
 Hosts with fewer than ``MIN_PAGES`` distinct pages have no template to learn;
 their unnamed branches lose importance by link text alone.
 
@@ -68,17 +76,16 @@ def _hash(value: str) -> int:
 
 def read_page(html: str) -> tuple[list[dict], bool, list[dict]]:
     """Blocks a page may keep, whether an article or main element holds them, and its nodes for the tree."""
-    blocks, styles = read_blocks(html)
+    blocks, styles, around = read_blocks(html)
     main = any(b.zone == 1 for b in blocks)
     own = [b for b in blocks if b.zone == (1 if main else 2)]
     nodes = {}
     for path, children in styles.items():
         at = path - 2**63
-        nodes[at, PAGE, 0] = [1, 0]
+        nodes[at, PAGE, around[path] - 2**63] = [1, 0]
         nodes[at, PRESENTATION, _hash(" ".join(children))] = [1, 0]
     for b in blocks:
         at = b.path - 2**63
-        nodes[at, PAGE, 0] = [1, 0]
         seen = nodes.setdefault((at, CONTENT, _hash(b.text)), [0, 0])
         seen[0] += len(b.text)
         seen[1] += b.linked
@@ -122,10 +129,10 @@ def weighed(read: DataFrame, *columns: Column | str) -> DataFrame:
 
 
 def node_importance(read: DataFrame, content_weight: float = CONTENT_WEIGHT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The merged trees: host, path, pages, importance of every node.
+    """The merged trees: host, path, above (the path around it), pages, importance of every node.
 
     ``learned`` is the importance without links, ``common`` the pages of the
-    node's most repeated text.
+    node's most repeated text, ``weight`` the code points it holds itself.
     """
     nodes = weighed(read, "nodes").select("host", "share", F.explode("nodes").alias("n")).select("host", "share", "n.*")
     spread = nodes.groupBy("host", "path", "kind", "value").agg(
@@ -135,6 +142,7 @@ def node_importance(read: DataFrame, content_weight: float = CONTENT_WEIGHT, min
     )
     node = spread.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == PAGE, F.col("n"))).alias("pages"),
+        F.max(F.when(F.col("kind") == PAGE, F.col("value"))).alias("above"),
         F.sum(F.when(F.col("kind") == PRESENTATION, F.col("n") * F.log("n"))).alias("styled"),
         F.sum(F.when(F.col("kind") == PRESENTATION, F.col("n"))).alias("styles"),
         F.sum(F.when(F.col("kind") == CONTENT, F.col("weight"))).alias("weight"),
@@ -142,14 +150,61 @@ def node_importance(read: DataFrame, content_weight: float = CONTENT_WEIGHT, min
         F.sum(F.when(F.col("kind") == CONTENT, F.col("linked"))).alias("linked"),
         F.max(F.when(F.col("kind") == CONTENT, F.col("n"))).alias("common"),
     )
-    scale = F.log("pages")
+    scale = F.nullif(F.log("pages"), F.lit(0.0))
     # sum p log(1/p) over styles with p = n / styles
     entropy = F.coalesce((F.log("styles") - F.col("styled") / F.col("styles")) / scale, F.lit(0.0))
     content = F.coalesce(1 - F.col("repeated") / F.col("weight") / scale, F.lit(1.0))
     links = F.coalesce(F.col("linked") / F.col("weight"), F.lit(0.0))
     learned = (1 - content_weight) * F.least(entropy, F.lit(1.0)) + content_weight * content
     known = F.when(F.col("pages") >= min_pages, learned).otherwise(1.0)
-    return node.select("host", "path", "pages", (known * (1 - links)).alias("importance"), learned.alias("learned"), "common")
+    return node.select(
+        "host", "path", "above", "pages", (known * (1 - links)).alias("importance"), learned.alias("learned"), "common",
+        F.coalesce("weight", F.lit(0.0)).alias("weight"),
+    )
+
+
+def branch_importance(tree: DataFrame) -> DataFrame:
+    """host, path, branch: mean importance of all that a node's branch holds, by code points; 1 for a branch without text.
+
+    Sums over the branch by doubling: in each round a node gets the sums of
+    those that stand as far below it as all rounds before have reached, so a
+    tree of depth d takes log2(d) rounds of one join and one grouped sum.
+    """
+    up = F.when(F.col("above") != F.col("path"), F.col("above"))
+    sums = pin(tree.select("host", "path", up.alias("up"), F.col("weight").alias("total"), (F.col("weight") * F.col("importance")).alias("gained")), "branches")
+    nowhere, nothing = F.lit(None).cast("long"), F.lit(0.0)
+    while not (moving := sums.where("up IS NOT NULL")).isEmpty():
+        target = sums.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("up").alias("_up"))
+        hops = moving.join(target, (F.col("host") == F.col("_host")) & (F.col("up") == F.col("_path")))
+        parts = (
+            sums.select("host", "path", nowhere.alias("up"), "total", "gained")
+            .union(moving.select("host", "up", nowhere, "total", "gained"))
+            .union(hops.select("host", "path", "_up", nothing, nothing))
+        )
+        grouped = parts.groupBy("host", "path").agg(F.max("up").alias("up"), F.sum("total").alias("total"), F.sum("gained").alias("gained"))
+        sums = pin(grouped, "branches")
+    mean = F.when(F.col("total") > 0, F.col("gained") / F.col("total")).otherwise(1.0)
+    return sums.select("host", "path", F.round(mean, 9).alias("branch"))
+
+
+def enclosing_importance(tree: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """host, path, around, around_pages of every node on fewer than ``min_pages`` pages that stands in one on more.
+
+    ``around`` is the branch importance of the nearest such node above. The
+    way up is halved in each round.
+    """
+    rare = pin(tree.where(F.col("pages") < min_pages).select("host", "path", F.col("above").alias("up")), "rare_nodes")
+    while True:
+        target = rare.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("up").alias("_up"))
+        hop = rare.join(target, (F.col("host") == F.col("_host")) & (F.col("up") == F.col("_path")), "left")
+        # The page's own node stands above itself, so where it is rare itself the way ends there.
+        moved = pin(hop.select("host", "path", F.coalesce("_up", "up").alias("up"), (F.col("_up") != F.col("up")).alias("on")), "rare_nodes")
+        rare = moved.drop("on")
+        if moved.where("on").isEmpty():
+            break
+    known = tree.where(F.col("pages") >= min_pages).select("host", F.col("path").alias("up"), F.col("pages").alias("around_pages"))
+    branches = branch_importance(tree).withColumnRenamed("path", "up")
+    return rare.join(known, ["host", "up"]).join(branches, ["host", "up"]).select("host", "path", F.col("branch").alias("around"), "around_pages")
 
 
 def _repeats(n: Column, pages: Column) -> Column:
@@ -160,11 +215,14 @@ def _repeats(n: Column, pages: Column) -> Column:
 def removed_blocks(read: DataFrame, least: float, content_weight: float, min_pages: int) -> DataFrame:
     """_host, _key (of the page), _removed: the places of the blocks a page loses, where it loses any."""
     enough = F.col("pages") >= max(min_pages, MIN_MAIN_PAGES)
+    tree = pin(node_importance(read, content_weight, min_pages), "tree")
+    around = enclosing_importance(tree, min_pages).withColumnsRenamed({"host": "_host", "path": "_path"})
+    in_template = (F.col("around") < LEAST_IN_MAIN) & (F.col("around_pages") >= max(min_pages, MIN_MAIN_PAGES))
     judged = (
-        node_importance(read, content_weight, min_pages)
+        tree.join(around, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")), "left")
         .select(
-            "host", "path", "pages", (F.col("importance") < least).alias("low"),
-            (enough & (F.col("learned") < LEAST_IN_MAIN)).alias("low_in_main"),
+            "host", "path", "pages", (F.least("importance", "around") < least).alias("low"),
+            ((enough & (F.col("learned") < LEAST_IN_MAIN)) | F.coalesce(in_template, F.lit(False))).alias("low_in_main"),
             F.coalesce(enough & _repeats(F.col("common"), F.col("pages")), F.lit(False)).alias("mixed"),
         )
         .where("low or low_in_main or mixed")

@@ -1,14 +1,26 @@
 """Site style tree: exact text of article pages, entropy on pages that name nothing."""
 
+import math
+import random
 import re
 import time
+from collections import Counter, defaultdict
 from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
 
 from stockrisk.llm.dom import read_blocks
-from stockrisk.llm.style_tree import main_text, node_importance, page_report, read_page, read_pages, removed_blocks
+from stockrisk.llm.style_tree import (
+    branch_importance,
+    enclosing_importance,
+    main_text,
+    node_importance,
+    page_report,
+    read_page,
+    read_pages,
+    removed_blocks,
+)
 
 
 def kept(html):
@@ -176,6 +188,96 @@ def test_nameless_pages_lose_by_generated_names(spark):
     assert len(lost) == 20 and all(len(r["_removed"]) == 4 for r in lost)  # of its own blocks, not the host's paths
 
 
+def plain_tree(htmls):
+    """One host's merged tree by plain sums, pages being distinct: importance, branch and around by path; kept texts by page."""
+    read = [read_blocks(h) for h in htmls]
+    pages, styles, texts, weight, linked, above = Counter(), defaultdict(Counter), defaultdict(Counter), Counter(), Counter(), {}
+    for blocks, children, around in read:
+        above |= around
+        pages.update(set(around))
+        for path in around:
+            styles[path][" ".join(children[path])] += 1
+        held = defaultdict(list)
+        for b in blocks:
+            held[b.path, b.text].append(b)
+        for (path, text), many in held.items():
+            texts[path][text] += 1
+            weight[path, text] += sum(len(b.text) for b in many)
+            linked[path] += sum(b.linked for b in many)
+    importance, mass = {}, {}
+    for path, m in pages.items():
+        mass[path] = sum(weight[path, t] for t in texts[path])
+        scale = math.log(m) or 1
+        style = -sum(n / m * math.log(n / m) for n in styles[path].values()) / scale
+        content = 1 - sum(weight[path, t] * math.log(n) for t, n in texts[path].items()) / mass[path] / scale if mass[path] else 1
+        links = linked[path] / mass[path] if mass[path] else 0
+        importance[path] = (0.1 * min(style, 1) + 0.9 * content if m >= 3 else 1) * (1 - links)
+
+    def stands_in(path, branch):
+        while path not in (branch, above[path]):
+            path = above[path]
+        return path == branch
+
+    branch = {}
+    for path in pages:
+        inside = [p for p in pages if mass[p] and stands_in(p, path)]
+        branch[path] = sum(mass[p] * importance[p] for p in inside) / sum(mass[p] for p in inside) if inside else 1
+    around = {}
+    for path in pages:
+        up = path
+        while pages[up] < 3 and up != above[up]:
+            up = above[up]
+        if pages[path] < 3 <= pages[up]:
+            around[path] = branch[up]
+    worth = {p: min(importance[p], around.get(p, 1)) for p in pages}
+    return importance, branch, around, ["\n".join(b.text for b in blocks if b.zone == 2 and worth[b.path] >= 0.3) for blocks, _, _ in read]
+
+
+def test_against_a_plain_style_tree(spark):
+    """Random nested pages: fixed and own texts under fixed and generated names."""
+    draw = random.Random(5)
+
+    def branch(n, depth):
+        name = draw.choice(["q", "r", "s", "g" + "".join(chr(97 + int(d)) for d in str(n))])
+        if depth == 0 or draw.random() < 0.3:
+            text = draw.choice(["Home and more", "All rights kept by us", f"Own words of page {n}, {draw.random()}"])
+            return f"<div class={name}>{text}</div>"
+        return f"<div class={name}>" + "".join(branch(n, depth - 1) for _ in range(draw.randint(1, 3))) + "</div>"
+
+    hosts = {f"{c}.example": [f"<body>{n}" + "".join(branch(n, 5) for _ in range(3)) for n in range(k)] for c, k in (("a", 30), ("b", 4), ("c", 2))}
+    rows = [(f"{h}/{n}", f"http://{h}/{n}", html) for h, htmls in hosts.items() for n, html in enumerate(htmls)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    tree = node_importance(read_pages(pages))
+    got = {(r.host, r.path + 2**63): r.importance for r in tree.collect()}
+    branches = {(r.host, r.path + 2**63): r.branch for r in branch_importance(tree).collect()}
+    around = {(r.host, r.path + 2**63): r.around for r in enclosing_importance(tree).collect()}
+    texts = {r.page_id: r.text for r in main_text(pages).collect()}
+    plain = {h: plain_tree(htmls) for h, htmls in hosts.items()}
+    for found, at in ((got, 0), (branches, 1), (around, 2)):
+        assert found == pytest.approx({(h, p): v for h in hosts for p, v in plain[h][at].items()}, abs=1e-8)
+    assert texts == {f"{h}/{n}": t for h in hosts for n, t in enumerate(plain[h][3])}
+    assert len(around) > 50
+
+
+def test_generated_names_go_with_the_branch_around_them(spark):
+    """A menu's item under a name of its own is no content; a page's own text under such a name is."""
+
+    def page(n):
+        own = "".join(chr(97 + int(d)) for d in f"{n:02d}")
+        menu = f"<div class=m><p>Home, news and all the other sections of this place</p><div class=k{own}><div class=j{own}>Item</div></div></div>"
+        return f"<body>{menu}<div class=t{own}><h1>Title {n}</h1><span>{'Words of its own. ' * 5}{n}</span></div></body>"
+
+    pages = spark.createDataFrame([(n, f"http://i.example/{n}", page(n)) for n in range(40)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert got == {n: f"Title {n}\n{'Words of its own. ' * 5}{n}" for n in range(40)}
+
+
+def test_very_deep_pages_of_a_host(spark):
+    deep = "<div>" * 3000
+    pages = spark.createDataFrame([(n, f"http://j.example/{n}", f"<p>same{deep}<p>own {n}") for n in range(6)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in main_text(pages).collect()} == {n: f"own {n}" for n in range(6)}
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (None, "http://h/", ""), (3, "no url", "<p>x"), (3, "no url", "<p>x"), (4, "http://h/q", "<article>same</article>"),
             (5, "http://h/r", "<article>same</article>"), (6, "http://h/s", "<article>same</article>")]
