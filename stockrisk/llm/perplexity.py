@@ -1,6 +1,9 @@
-"""Quality rules with n-gram perplexity: a modified Kneser-Ney model of the whole corpus, bands of perplexity by language.
+"""Quality rules with n-gram perplexity: modified Kneser-Ney models of the whole corpus, bands of perplexity by language.
 
-The model predicts the symbols of a text's words from the ``ORDER - 1``
+Two models judge. ``word_model`` predicts whole words from the words before
+them, with all n-grams of the corpus; a text above its language's band of
+that surprise is rejected (below it stands what other texts hold too, which
+is no fault of a text). The other model, of spelling, is this module's. It predicts the symbols of a text's words from the ``ORDER - 1``
 symbols before them. Symbols are ``SYMBOLS`` classes of UTF-8 bytes: blank,
 the letters a-z whatever their case, digit, ordinary punctuation, other ASCII,
 lead byte and continuation byte; blanks between words count as one. So an
@@ -38,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockrisk.llm.word_model import discounts_of, word_surprises
 from stockrisk.sources.sinks import pin
 
 ORDER = 4
@@ -109,11 +113,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
 def discounts(counts: np.ndarray) -> np.ndarray:
     """What is taken off counts of 1, 2 and more; fixed values where the counts of counts don't tell."""
-    n = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-    if not all(n):
-        return np.array([0.5, 1.0, 1.5])
-    y = n[0] / (n[0] + 2 * n[1])
-    return np.clip([k + 1 - (k + 2) * y * n[k + 1] / n[k] for k in range(3)], 0.0, [1.0, 2.0, 3.0])
+    return discounts_of([int((counts == k).sum()) for k in (1, 2, 3, 4)])
 
 
 @dataclass
@@ -243,12 +243,12 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_SHARE * F.col("n_words"))
 
 
-def bands(measured: DataFrame, reach: float = REACH, least: float = LEAST_REACH) -> DataFrame:
+def bands(measured: DataFrame, reach: float = REACH, least: float = LEAST_REACH, figure: str = "surprise") -> DataFrame:
     """lang, low, high: the band of surprise of every language, from its distinct texts that pass the base rules."""
-    passed = measured.where(~base_failed() & F.col("surprise").isNotNull())
-    step = F.floor(F.col("surprise") * GRID).alias("step")
+    passed = measured.where(~base_failed() & F.col(figure).isNotNull())
+    step = F.floor(F.col(figure) * GRID).alias("step")
     # Copies of one text have one surprise. The grid has a bounded number of steps, -log p being bounded.
-    counted = passed.groupBy("lang", "text_key").agg(F.first("surprise").alias("surprise")).groupBy("lang", step).agg(F.count(F.lit(1)).alias("n"))
+    counted = passed.groupBy("lang", "text_key").agg(F.first(figure).alias(figure)).groupBy("lang", step).agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("lang").orderBy("step")
     placed = counted.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("lang")))
 
@@ -260,11 +260,20 @@ def bands(measured: DataFrame, reach: float = REACH, least: float = LEAST_REACH)
     return sides.select("lang", (F.col("first") - wide).alias("low"), (F.col("third") + wide).alias("high"))
 
 
-def judge(docs: DataFrame, reach: float = REACH, least: float = LEAST_REACH) -> DataFrame:
-    """doc_id, lang, the figures, surprise, base_failed, low, high and kept of every row of ``docs`` (doc_id, text, lang)."""
+def judge(docs: DataFrame, reach: float = REACH, least: float = LEAST_REACH, word_order: int = 0) -> DataFrame:
+    """doc_id, lang, the figures, surprise, base_failed, low, high and kept of every row of ``docs`` (doc_id, text, lang).
+
+    With a ``word_order`` word_surprise and word_high too, and texts above that are not kept.
+    """
     measured = pin(measure(docs, fit(docs)), "measured")
-    held = bands(measured, reach, least).withColumnRenamed("lang", "_lang")
     inside = F.coalesce((F.col("surprise") >= F.col("low")) & (F.col("surprise") <= F.col("high")), F.lit(True))
+    if word_order:
+        measured = pin(measured.join(word_surprises(docs, word_order), "text_key", "left"), "measured")
+        inside &= F.coalesce(F.col("word_surprise") <= F.col("word_high"), F.lit(True))
+    held = bands(measured, reach, least).withColumnRenamed("lang", "_lang")
+    if word_order:
+        words = bands(measured, reach, least, "word_surprise").select(F.col("lang").alias("_words_lang"), F.col("high").alias("word_high"))
+        held = held.join(words, F.col("_lang").eqNullSafe(F.col("_words_lang")), "left").drop("_words_lang")
     return (
         measured.join(held, F.col("lang").eqNullSafe(F.col("_lang")), "left")
         .withColumn("base_failed", base_failed())
@@ -273,6 +282,7 @@ def judge(docs: DataFrame, reach: float = REACH, least: float = LEAST_REACH) ->
     )
 
 
-def rules_report(docs: DataFrame) -> DataFrame:
+def rules_report(docs: DataFrame, word_order: int = 0) -> DataFrame:
     """The query's digest: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
-    return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    judged = judge(docs, word_order=word_order)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

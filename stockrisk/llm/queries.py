@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockrisk.llm import alignment, embedding_dedup, language, mixing, order_minhash, perplexity, pii, quality, sentencepieces, sharding, simhash, spelling, style_tree
+from stockrisk.llm import alignment, embedding_dedup, language, mixing, order_minhash, perplexity, pii, quality, sentencepieces, sharding, simhash, spelling, style_tree, word_model
 from stockrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,7 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perplexity.rules_report(table(spark, sf_dir, "documents"))
+    return perplexity.rules_report(table(spark, sf_dir, "documents"), word_model.WORD_ORDER)
 
 
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
