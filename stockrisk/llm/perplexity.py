@@ -12,7 +12,8 @@ at most 2**20 n-grams however large the corpus: a proven bound for what is
 gathered and sent to the tasks. Spark counts the n-grams of all texts (tasks
 sum theirs first); discounts and probabilities follow from the counts and are
 kept in arrays sorted by packed n-gram, searched by bisection, with back-off
-to shorter contexts for n-grams the model lacks.
+to shorter contexts for n-grams the model lacks. Tasks get the result for each
+n-gram there can be, so they only look up.
 
 A document's surprise is the mean -log p of its symbols. For each language
 the band is ``REACH`` interquartile ranges wide on either side of the middle
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockrisk.llm.word_model import discounts_of, word_surprises
+from stockrisk.llm.word_model import BLANKS, Keys, discounts_of, pieces, word_keys, word_surprises
 from stockrisk.sources.sinks import pin
 
 ORDER = 4
@@ -56,7 +57,6 @@ PIECE = 1 << 20  # symbols worked on at once
 LEAST_WORDS = 50
 REPEATED_SHARE = 50  # per cent of the words
 CONTRACT_SYMBOLS = b"#*$%&|<>"
-BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 _CLASS = np.full(256, 29, np.uint8)
 _CLASS[list(b".,;:'\"()-!?")] = 28
@@ -68,6 +68,14 @@ _CLASS[0xC0:] = 30
 _CLASS[list(BLANKS)] = 0
 
 
+# What counts in a text: characters that aren't blank, and from bit 32 on the contract's symbols.
+_COUNTED = np.ones(256, np.int64)
+_COUNTED[0x80:0xC0] = 0
+_COUNTED[list(BLANKS)] = 0
+_COUNTED[list(CONTRACT_SYMBOLS)] += 1 << 32
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
+
+
 def symbol_codes(data: bytes) -> Iterator[np.ndarray]:
     """Packed n-grams that end in each symbol of a text, in order: words between single blanks, ``ORDER - 1`` blanks before the first."""
     before = np.zeros(ORDER - 1, np.uint8)
@@ -80,6 +88,34 @@ def symbol_codes(data: bytes) -> Iterator[np.ndarray]:
         yield _packed(before, np.zeros(1, np.uint8))
 
 
+def symbol_lines(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the texts between ``cuts`` of ``data``, one after another, and how many each has."""
+    symbols = _CLASS[data]
+    held = symbols != 0
+    after = held[:-1].copy()
+    after[cuts[(cuts > 0) & (cuts < len(data))] - 1] = False
+    held[1:] |= after
+    upto = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(held, out=upto[1:])
+    many = np.diff(upto[cuts])
+    symbols = symbols[held]
+    ends = np.cumsum(many)
+    # A text that ends in a word gets a blank after it.
+    more = np.zeros(len(many), np.int64)
+    more[many > 0] = symbols[ends[many > 0] - 1] != 0
+    sizes = np.where(many > 0, many + more + ORDER - 1, 0)
+    low = np.cumsum(sizes) - sizes
+    line = np.zeros(int(sizes.sum()), np.int32)
+    line[np.arange(len(symbols)) + np.repeat(low + ORDER - 1 - (ends - many), many)] = symbols
+    out = line.copy()
+    for back in range(1, ORDER):
+        out[back:] |= line[:-back] << (back * SYMBOL_BITS)
+    inside = np.ones(len(line), bool)
+    for i in range(ORDER - 1):
+        inside[low[many > 0] + i] = False
+    return out[inside], many + more
+
+
 def _packed(before: np.ndarray, part: np.ndarray) -> np.ndarray:
     line = np.concatenate([before, part]).astype(np.int32)
     out = np.zeros(len(part), np.int32)
@@ -95,8 +131,8 @@ def count_grams(docs: DataFrame) -> DataFrame:
         total = np.zeros(1 << (ORDER * SYMBOL_BITS), np.int64)
         held, size = [], 0
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                for codes in symbol_codes(data):
+            for _, _, data, cuts in pieces(batch.column(0)):
+                for codes in [symbol_lines(data, cuts)[0]] if len(data) <= PIECE else symbol_codes(data.tobytes()):
                     held.append(codes)
                     size += len(codes)
                     if size > PIECE:
@@ -167,6 +203,11 @@ class Model:
         out[open_] = weight[open_] - np.log(SYMBOLS)
         return out
 
+    def all_log_p(self) -> np.ndarray:
+        """log p of every packed n-gram there can be, in their order."""
+        every = np.arange(1 << (ORDER * SYMBOL_BITS), dtype=np.int64)
+        return np.concatenate([self.log_p(every[low : low + PIECE // 8]) for low in range(0, len(every), PIECE // 8)])
+
 
 def _find(held: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of values in a sorted array, and whether they are there."""
@@ -209,30 +250,59 @@ def figures(data: bytes) -> tuple[int, int, int, int, int]:
     return len(words), chars, int(kinds[list(CONTRACT_SYMBOLS)].sum()), len(lines) - len(set(lines)), repeated_words(words)
 
 
+def many_figures(data: np.ndarray, cuts: np.ndarray, long_keys: Keys) -> list[np.ndarray]:
+    """``figures`` of the texts between ``cuts`` of ``data``; keys of words and of windows stand for them within a text."""
+    keys, starts = word_keys(data, cuts, long_keys)
+    words = np.searchsorted(starts, cuts)
+    many = np.diff(words)
+    upto = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(_COUNTED[data], out=upto[1:])
+    counted = upto[cuts]
+    chars, symbols = np.diff(counted & 0xFFFFFFFF), np.diff(counted >> 32)
+    text = np.repeat(np.arange(len(many), dtype=np.uint64), many)
+    first = np.flatnonzero(text[:-2] == text[2:]) if len(keys) > 2 else np.zeros(0, np.int64)
+    codes = text[first] * np.uint64(_ODD[3])
+    for i in range(3):
+        codes += keys[first + i] * np.uint64(_ODD[i])
+    at = np.argsort(codes)
+    same = codes[at[1:]] == codes[at[:-1]]
+    twice = first[np.concatenate([at[1:][same], at[:-1][same]])]
+    held = np.zeros(len(keys) + 1, np.int64)
+    for i in range(3):
+        held[twice + i + 1] = 1
+    repeated = np.diff(np.cumsum(held)[words])
+    lines = np.zeros(len(many), np.int64)
+    own = data.tobytes()
+    for i, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+        listed = [line for line in own[low:high].split(b"\n") if line.strip()]
+        lines[i] = len(listed) - len(set(listed))
+    return [many, chars, symbols, lines, repeated]
+
+
 def measure(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang, text_key, the five figures and the surprise (NULL without words) of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model.all_log_p())
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = held.value
+        own, long_keys = held.value, Keys()
         for whole in batches:
-            for low in range(0, whole.num_rows, 512):
-                batch = whole.slice(low, 512)
-                rows, surprise = [], []
-                for data in batch.column(3).to_pylist():
-                    data = data or b""
-                    rows.append(figures(data))
-                    many, lost = 0, 0.0
-                    if rows[-1][0]:
-                        for codes in symbol_codes(data):
-                            many += len(codes)
-                            lost -= float(own.log_p(codes).sum())
-                    surprise.append(lost / many if many else None)
-                listed = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:3], *listed, pa.array(surprise, pa.float64())], ["doc_id", "lang", "text_key", *names, "surprise"]
-                )
+            for low, high, data, cuts in pieces(whole.column(3)):
+                if len(data) <= PIECE:
+                    listed = many_figures(data, cuts, long_keys)
+                    codes, many = symbol_lines(data, cuts)
+                    lost = np.zeros(len(many))
+                    if len(codes):
+                        lost[many > 0] = -np.add.reduceat(own[codes], (np.cumsum(many) - many)[many > 0])
+                else:  # one long text
+                    text = data.tobytes()
+                    listed, many, lost = [np.array([x]) for x in figures(text)], np.zeros(1, np.int64), np.zeros(1)
+                    for codes in symbol_codes(text):
+                        many += len(codes)
+                        lost -= own[codes].sum()
+                surprise = pa.array(lost / np.maximum(many, 1), pa.float64(), mask=many == 0)
+                columns = [c.slice(low, high - low) for c in whole.columns[:3]]
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(x, pa.int64()) for x in listed], surprise], ["doc_id", "lang", "text_key", *names, "surprise"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     read = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("text_key"), F.col("text").cast("binary"))

@@ -4,10 +4,13 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import random
+
 import numpy as np
 import pytest
 
-from stockrisk.llm.perplexity import GRID, LEAST_REACH, ORDER, REACH, SYMBOLS, Model, count_grams, figures, fit, judge, rules_report, symbol_codes
+from stockrisk.llm.perplexity import GRID, LEAST_REACH, ORDER, REACH, SYMBOLS, Model, count_grams, figures, fit, judge, many_figures, rules_report, symbol_codes, symbol_lines
+from stockrisk.llm.word_model import Keys
 
 SF = "/root/testdata/sf0.001"
 BLANK = "\x20\t\n\x0b\x0c\r"
@@ -142,3 +145,15 @@ def test_defined_cases(spark):
     assert rules_report(docs.limit(0)).count() == 0
     assert {r.surprise for r in judge(docs.where("text is null")).collect()} == {None}
     assert len(fit(docs.limit(0)).grams[-1]) == 0
+
+
+def test_many_texts_at_once():
+    rng = random.Random(4)
+    pieces = ["a", "b c", "\n", "\n\n", "  ", "é", "日本", "#*", "x" * 50, "the the the the", " a b c a b c", "\t", "\x1c", "A1"]
+    texts = [None, "", " ", "\n"] + ["".join(p + " " * rng.randint(0, 1) for p in rng.choices(pieces, k=rng.randint(0, 40))) for _ in range(400)]
+    data = [(t or "").encode() for t in texts]
+    whole, cuts = np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+    assert list(zip(*[f.tolist() for f in many_figures(whole, cuts, Keys())])) == [figures(d) for d in data]
+    codes, many = symbol_lines(whole, cuts)
+    plain = [np.concatenate([np.zeros(0, int), *symbol_codes(d)]).tolist() for d in data]
+    assert many.tolist() == list(map(len, plain)) and codes.tolist() == [c for codes in plain for c in codes]
