@@ -1,11 +1,10 @@
 """Quality rules against plain Python: figures by string rules, the model by its recursive definition, bands by sorted lists."""
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
-import random
-
 import numpy as np
 import pytest
 
